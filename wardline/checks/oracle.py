@@ -266,3 +266,82 @@ def with_fixtures(sql: str) -> str:
 
 def oracle_sql() -> dict[str, str]:
     return {k: with_fixtures(v) for k, v in QUERIES.items()}
+
+
+def _task_sql(src: str, y: str, p: str, d: str | None, where: str = "TRUE", group: str | None = None,
+              task: str | None = None) -> str:
+    """Metrics of one task written the textbook way: Mann-Whitney average
+    ranks for AUC, ordered window sums per distinct score for AP."""
+    g = group or "1"
+    d = d or f"CAST({p} >= 0.5 AS INTEGER)"
+    gb = "GROUP BY g" if group else ""
+    sel_g = "g AS \"group\", " if group else ""
+    join = "USING (g)" if group else "ON TRUE"
+    tname = f"'{task}' AS task, " if task else ""
+    return f"""(WITH src AS (SELECT {g} AS g, CAST({y} AS INTEGER) AS y, CAST({p} AS DOUBLE) AS p, {d} AS d
+                   FROM {src} WHERE {where}),
+  tot AS (SELECT {'g, ' if group else ''}count(*) AS n_eval, count_if(y <> 1 AND d <> 1) AS tn,
+                 count_if(y <> 1 AND d = 1) AS fp, count_if(y = 1 AND d <> 1) AS fn, count_if(y = 1 AND d = 1) AS tp
+          FROM src {gb}),
+  rk AS (SELECT g, y, rank() OVER (PARTITION BY g ORDER BY p) + (count(*) OVER (PARTITION BY g, p) - 1) / 2.0 AS ar
+         FROM src),
+  au AS (SELECT {'g, ' if group else ''}sum(CASE WHEN y = 1 THEN ar END) AS sr, count_if(y = 1) AS np,
+                count_if(y <> 1) AS nn FROM rk {gb}),
+  dp AS (SELECT g, p, sum(CASE WHEN y = 1 THEN 1 ELSE 0 END) AS pos, count(*) AS cnt FROM src GROUP BY g, p),
+  cp AS (SELECT g, pos, sum(pos) OVER (PARTITION BY g ORDER BY p DESC) AS cpos,
+                sum(cnt) OVER (PARTITION BY g ORDER BY p DESC) AS ccnt FROM dp),
+  ap AS (SELECT {'g, ' if group else ''}sum(pos * cpos / ccnt) AS s FROM cp {gb})
+  SELECT {tname}{sel_g}
+         round(CASE WHEN np > 0 AND nn > 0 THEN (sr - np * (np + 1) / 2.0) / (np * nn) END, 6) AS auc,
+         round(CASE WHEN np > 0 AND nn > 0 THEN ap.s / np END, 6) AS pr_auc,
+         round(CASE WHEN tp + fn > 0 THEN tp / (tp + fn) END, 6) AS recall,
+         round(CASE WHEN tp + fp > 0 THEN tp / (tp + fp) WHEN n_eval > 0 THEN 0.0 END, 6) AS precision,
+         CAST(0.5 AS DOUBLE) AS threshold, n_eval, tn, fp, fn, tp
+  FROM tot JOIN au {join} JOIN ap {join})"""
+
+
+_T1 = dict(src="predictions", y="y1_true", p="y1_prob", d=None)
+_T2 = dict(src="predictions", y="y2_true", p="y2_prob", d=None, where="y2_mask = 1")
+_TJ = dict(src="predictions", y="CAST(y1_true = 1 AND y2_true = 1 AS INTEGER)", p="y1_prob * y2_prob",
+           d="CAST(y1_prob >= 0.5 AND y2_prob >= 0.5 AS INTEGER)")
+
+_LL = ("avg(-(CAST({y} AS DOUBLE) * ln(least(greatest({p}, 2.220446049250313e-16), 1 - 2.220446049250313e-16)) "
+       "+ (1 - CAST({y} AS DOUBLE)) * ln(1 - least(greatest({p}, 2.220446049250313e-16), 1 - 2.220446049250313e-16))))")
+
+QUERIES.update({
+    "confusion": "SELECT count(*) AS n_eval, count_if(y1_true <> 1 AND y1_prob < 0.5) AS tn, "
+                 "count_if(y1_true <> 1 AND y1_prob >= 0.5) AS fp, count_if(y1_true = 1 AND y1_prob < 0.5) AS fn, "
+                 "count_if(y1_true = 1 AND y1_prob >= 0.5) AS tp FROM predictions",
+    "precision_recall": f"SELECT recall, precision, n_eval FROM {_task_sql(**_T1)}",
+    "roc_auc": f"SELECT auc FROM {_task_sql(**_T1)}",
+    "average_precision": f"SELECT pr_auc FROM {_task_sql(**_T1)}",
+    "roc_points": """SELECT round(p, 6) AS threshold,
+            round(CASE WHEN nn > 0 THEN (ccnt - cpos) / nn END, 6) AS fpr,
+            round(CASE WHEN np > 0 THEN cpos / np END, 6) AS tpr
+        FROM (SELECT p, sum(pos) OVER (ORDER BY p DESC) AS cpos, sum(cnt) OVER (ORDER BY p DESC) AS ccnt,
+                     sum(pos) OVER () AS np, sum(cnt) OVER () - sum(pos) OVER () AS nn
+              FROM (SELECT y1_prob AS p, sum(CASE WHEN y1_true = 1 THEN 1 ELSE 0 END) AS pos, count(*) AS cnt
+                    FROM predictions GROUP BY y1_prob))""",
+    "log_loss": f"SELECT 'task1_discharge' AS task, round({_LL.format(y='y1_true', p='y1_prob')}, 6) AS log_loss, "
+                "count(*) AS n_eval FROM predictions UNION ALL "
+                f"SELECT 'task2_no_return72_masked', round({_LL.format(y='y2_true', p='y2_prob')}, 6), count(*) "
+                "FROM predictions WHERE y2_mask = 1",
+    "brier": "SELECT 'task1_discharge' AS task, round(avg(pow(y1_prob - y1_true, 2)), 6) AS brier, count(*) AS n_eval "
+             "FROM predictions UNION ALL SELECT 'task2_no_return72_masked', round(avg(pow(y2_prob - y2_true, 2)), 6), "
+             "count(*) FROM predictions WHERE y2_mask = 1",
+    "calibration_bins": """SELECT CAST(bin AS INTEGER) AS bin, round(avg(p), 6) AS mean_pred, round(avg(y), 6) AS frac_pos,
+            count(*) AS n
+        FROM (SELECT p, y, len(list_filter(e, lambda x: x < p)) AS bin
+              FROM (SELECT y1_prob AS p, CAST(y1_true AS DOUBLE) AS y FROM predictions),
+                   (SELECT quantile_cont(y1_prob, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
+                    FROM predictions))
+        GROUP BY bin""",
+    "subgroup_metrics": "SELECT * FROM " + _task_sql(
+        "(SELECT *, coalesce(first_careunit, 'UNKNOWN') AS grp FROM predictions)", "y1_true", "y1_prob", None,
+        group="grp", task="task1_discharge") + " UNION ALL SELECT * FROM " + _task_sql(
+        "(SELECT *, coalesce(first_careunit, 'UNKNOWN') AS grp FROM predictions)", "y2_true", "y2_prob", None,
+        where="y2_mask = 1", group="grp", task="task2_no_return72_masked"),
+    "metrics_bundle": f"SELECT * FROM {_task_sql(**_T1, task='task1_discharge')} UNION ALL "
+                      f"SELECT * FROM {_task_sql(**_T2, task='task2_no_return72_masked')} UNION ALL "
+                      f"SELECT * FROM {_task_sql(**_TJ, task='joint_both_positive')}",
+})

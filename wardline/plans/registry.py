@@ -189,3 +189,70 @@ def q_note_asof(spark, d):
 @query("master_trailing")
 def q_master_trailing(spark, d):
     return rounded(without_timestamps(M.master_trailing(cohort_inputs(spark, d))))
+
+
+# ---- step 5: evaluation -----------------------------------------------------------
+
+from ..operators import evaluate as EV  # noqa: E402
+
+
+def _pred(spark, d):
+    return fixtures.predictions(spark, d)
+
+
+@query("confusion")
+def q_confusion(spark, d):
+    return EV.confusion(_pred(spark, d), "y1_true", "y1_prob")
+
+
+@query("precision_recall")
+def q_precision_recall(spark, d):
+    cf = EV.confusion(_pred(spark, d), "y1_true", "y1_prob")
+    rec, prec = EV.recall_precision_cols()
+    return rounded(cf.select(rec, prec, "n_eval"))
+
+
+@query("roc_auc")
+def q_roc_auc(spark, d):
+    return rounded(EV.ranking_metrics(_pred(spark, d), "y1_true", "y1_prob").select("auc"))
+
+
+@query("average_precision")
+def q_average_precision(spark, d):
+    return rounded(EV.ranking_metrics(_pred(spark, d), "y1_true", "y1_prob").select("pr_auc"))
+
+
+@query("roc_points")
+def q_roc_points(spark, d):
+    return rounded(EV.roc_points(_pred(spark, d), "y1_true", "y1_prob"))
+
+
+def _per_task(fn, pred):
+    t1 = fn(pred, "y1_true", "y1_prob").withColumn("task", F.lit(EV.TASK1))
+    t2 = fn(pred.where(F.col("y2_mask") == 1), "y2_true", "y2_prob").withColumn("task", F.lit(EV.TASK2))
+    return t1.unionByName(t2)
+
+
+@query("log_loss")
+def q_log_loss(spark, d):
+    return rounded(_per_task(EV.log_loss, _pred(spark, d)))
+
+
+@query("brier")
+def q_brier(spark, d):
+    return rounded(_per_task(EV.brier, _pred(spark, d)))
+
+
+@query("calibration_bins")
+def q_calibration(spark, d):
+    return rounded(EV.calibration_bins(_pred(spark, d), "y1_true", "y1_prob"))
+
+
+@query("subgroup_metrics")
+def q_subgroup(spark, d):
+    return rounded(EV.subgroup_metrics(_pred(spark, d)))
+
+
+@query("metrics_bundle")
+def q_bundle(spark, d):
+    return rounded(EV.metrics_bundle(_pred(spark, d)))
