@@ -261,6 +261,8 @@ QUERIES: dict[str, str] = {
 
 
 def with_fixtures(sql: str) -> str:
+    if sql.startswith("WITH "):
+        return f"WITH {FIXTURES},\n{sql[5:]}"
     return f"WITH {FIXTURES}\n{sql}"
 
 
@@ -345,3 +347,51 @@ QUERIES.update({
                       f"SELECT * FROM {_task_sql(**_T2, task='task2_no_return72_masked')} UNION ALL "
                       f"SELECT * FROM {_task_sql(**_TJ, task='joint_both_positive')}",
 })
+
+
+def _split_expr(col: str, seed: int = 42) -> str:
+    r = lambda s: f"CAST('0x' || substr(md5('{s}:' || CAST({col} AS VARCHAR)), 1, 8) AS BIGINT) % 10000"
+    return f"CASE WHEN {r(seed)} >= 8000 THEN 'test' WHEN {r(seed + 1)} >= 8000 THEN 'val' ELSE 'train' END"
+
+
+WIDE = ("f1", "f2", "f3", "f4", "f5_const", "f6_dup", "f7_sparse")
+_WIDE_CTE = (f"ws AS (SELECT *, {_split_expr('subject_id')} AS split FROM wide), "
+             "med AS (SELECT " + ", ".join(f"quantile_cont({c}, 0.5) AS {c}" for c in WIDE)
+             + " FROM ws WHERE split = 'train'), "
+             "imp AS (SELECT ws.row_id, ws.subject_id, ws.split, "
+             + ", ".join(f"coalesce(ws.{c}, med.{c}) AS {c}" for c in WIDE) + " FROM ws, med) ")
+_CORR_PAIRS = " OR ".join(
+    f"coalesce(abs(corr({a}, {b})) > 0.95 AND NOT isnan(corr({a}, {b})), false)" for a in WIDE for b in WIDE
+    if WIDE.index(a) < WIDE.index(b))
+
+QUERIES.update({
+    "group_split": f"SELECT row_id, subject_id, {_split_expr('subject_id')} AS split FROM wide",
+    "split_summary": f"SELECT split, count(*) AS rows, count(DISTINCT subject_id) AS patients, "
+                     f"round(avg(label_can_discharge_24h), 6) AS pos_rate "
+                     f"FROM (SELECT *, {_split_expr('subject_id')} AS split FROM master_tr) GROUP BY split",
+    "debug_sample": "SELECT stay_id, subject_id FROM kept ORDER BY "
+                    "CAST('0x' || substr(md5('42:' || CAST(stay_id AS VARCHAR)), 1, 8) AS BIGINT), stay_id LIMIT 50",
+    "leakage_drop": f"SELECT stay_id, subject_id, hadm_id, {_r('age', 'age')}, first_careunit FROM kept",
+    "missing_rate": f"WITH {_WIDE_CTE.split(', med AS')[0]} " + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", round(avg(CASE WHEN {c} IS NULL OR isnan({c}) THEN 1.0 ELSE 0.0 END), 6) "
+        f"AS missing_rate FROM ws WHERE split = 'train'" for c in WIDE),
+    "median_impute": f"WITH {_WIDE_CTE} SELECT row_id, subject_id, split, "
+                     + ", ".join(f"round({c}, 6) AS {c}" for c in WIDE) + " FROM imp",
+    "standardize": f"WITH {_WIDE_CTE}, sd AS (SELECT "
+                   + ", ".join(f"avg({c}) AS m_{c}, CASE WHEN stddev_pop({c}) = 0 THEN 1 ELSE stddev_pop({c}) END "
+                               f"AS s_{c}" for c in WIDE)
+                   + " FROM imp WHERE split = 'train') SELECT row_id, split, "
+                   + ", ".join(f"round(({c} - m_{c}) / s_{c}, 6) AS {c}" for c in WIDE) + " FROM imp, sd",
+    "corr_drop": f"WITH {_WIDE_CTE}, tr AS (SELECT * FROM imp WHERE split = 'train') "
+                 + " UNION ALL ".join(
+                     (f"SELECT '{b}' AS \"column\", CAST("
+                      + " OR ".join(f"coalesce(abs(corr({a}, {b})) > 0.95 AND NOT isnan(corr({a}, {b})), false)"
+                                    for a in WIDE[:j])
+                      + " AS INTEGER) AS dropped FROM tr") if j else f"SELECT '{b}' AS \"column\", 0 AS dropped"
+                     for j, b in enumerate(WIDE)),
+    "top_variance": f"WITH {_WIDE_CTE}, v AS (" + " UNION ALL ".join(
+        f"SELECT '{c}' AS \"column\", var_samp({c}) AS variance FROM imp WHERE split = 'train'" for c in WIDE)
+        + ") SELECT \"column\", round(variance, 4) AS variance, "
+          "CAST(row_number() OVER (ORDER BY variance DESC, \"column\") AS INTEGER) AS rank FROM v "
+          "WHERE variance IS NOT NULL QUALIFY rank <= 12",
+})

@@ -256,3 +256,79 @@ def q_subgroup(spark, d):
 @query("metrics_bundle")
 def q_bundle(spark, d):
     return rounded(EV.metrics_bundle(_pred(spark, d)))
+
+
+# ---- step 6: split and fitted transforms ------------------------------------------
+
+from ..operators import fit as FT  # noqa: E402
+
+WIDE = list(fixtures.WIDE_FEATURES)
+
+
+def _wide_split(spark, d):
+    return FT.group_split(fixtures.wide(spark, d))
+
+
+@query("group_split")
+def q_group_split(spark, d):
+    return _wide_split(spark, d).select("row_id", "subject_id", "split")
+
+
+@query("split_summary")
+def q_split_summary(spark, d):
+    m = FT.group_split(M.master_trailing(cohort_inputs(spark, d)))
+    return rounded(FT.split_summary(m, labels.TASK1_COL))
+
+
+@query("debug_sample")
+def q_debug_sample(spark, d):
+    return cohort.debug_sample(_kept(spark, d), 50).select("stay_id", "subject_id")
+
+
+@query("leakage_drop")
+def q_leakage_drop(spark, d):
+    return rounded(without_timestamps(cohort.drop_leakage(_kept(spark, d))))
+
+
+@query("missing_rate")
+def q_missing_rate(spark, d):
+    tr = _wide_split(spark, d).where("split = 'train'")
+    return rounded(FT.missing_rates(tr, WIDE))
+
+
+def _imputed(spark, d):
+    w = _wide_split(spark, d)
+    params = FT.fit_median(w.where("split = 'train'"), WIDE)
+    return w, FT.apply_median(w, params, passthrough=["row_id", "subject_id", "split"])
+
+
+@query("median_impute")
+def q_median_impute(spark, d):
+    return rounded(_imputed(spark, d)[1])
+
+
+@query("standardize")
+def q_standardize(spark, d):
+    _, imp = _imputed(spark, d)
+    cols = [c for c in imp.columns if c in WIDE]
+    sp = FT.fit_standard(imp.where("split = 'train'"), cols)
+    return rounded(FT.apply_standard(imp, sp, passthrough=["row_id", "split"]))
+
+
+@query("corr_drop")
+def q_corr_drop(spark, d):
+    _, imp = _imputed(spark, d)
+    cols = [c for c in imp.columns if c in WIDE]
+    dropped = set(FT.fit_corr_drop(imp.where("split = 'train'"), cols))
+    var = FT.variance_table(imp.where("split = 'train'"), cols)   # one row per fitted column
+    return var.select("column", F.col("column").isin(list(dropped) or [""]).cast("int").alias("dropped"))
+
+
+@query("top_variance")
+def q_top_variance(spark, d):
+    _, imp = _imputed(spark, d)
+    cols = [c for c in imp.columns if c in WIDE]
+    vt = FT.variance_table(imp.where("split = 'train'"), cols).where(F.col("variance").isNotNull())
+    from pyspark.sql import Window
+    r = F.row_number().over(Window.orderBy(F.desc("variance"), "column"))
+    return rounded(vt.withColumn("rank", r).where(F.col("rank") <= 12), 4)
