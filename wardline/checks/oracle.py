@@ -395,3 +395,53 @@ QUERIES.update({
           "CAST(row_number() OVER (ORDER BY variance DESC, \"column\") AS INTEGER) AS rank FROM v "
           "WHERE variance IS NOT NULL QUALIFY rank <= 12",
 })
+
+
+_TOK = r"regexp_extract_all(lower(coalesce({t}, '')), '[\p{{L}}\p{{N}}_]{{2,}}')"
+
+
+def _terms_sql(tok: str) -> str:
+    """Unigrams then bigrams of an already computed token list column."""
+    return (f"list_concat({tok}, CASE WHEN len({tok}) >= 2 THEN "
+            f"list_transform(range(1, len({tok})), lambda i: {tok}[i] || ' ' || {tok}[i + 1]) "
+            f"ELSE []::VARCHAR[] END)")
+
+
+QUERIES.update({
+    "tfidf": f"""WITH tk AS (SELECT doc_id, {_TOK.format(t='text')} AS tok FROM documents),
+        dt AS (SELECT doc_id, unnest({_terms_sql('tok')}) AS term FROM tk),
+        ndoc AS (SELECT count(*) AS n FROM documents),
+        pd AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY doc_id, term),
+        pt AS (SELECT term, count(*) AS df, sum(tf) AS tf FROM pd GROUP BY term),
+        voc AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM pt, ndoc WHERE df >= 5
+                ORDER BY tf DESC, term LIMIT 300),
+        raw AS (SELECT pd.doc_id, pd.term, pd.tf * voc.idf AS w FROM pd JOIN voc USING (term))
+        SELECT doc_id, term, round(w / sqrt(sum(w * w) OVER (PARTITION BY doc_id)), 6) AS weight FROM raw""",
+    "vocab_encode": f"""WITH tok AS (SELECT doc_id, {_TOK.format(t='text')} AS t, {_split_expr('doc_id')} AS split
+                             FROM documents),
+        voc AS (SELECT w, CAST(row_number() OVER (ORDER BY c DESC, w) + 1 AS INTEGER) AS id
+                FROM (SELECT unnest(t) AS w, count(*) AS c FROM tok WHERE split = 'train' GROUP BY 1)
+                QUALIFY id <= 30001),
+        ex AS (SELECT doc_id, unnest(t[1:128]) AS w, unnest(range(0, len(t[1:128]))) AS pos FROM tok),
+        enc AS (SELECT ex.doc_id, list(coalesce(voc.id, 1) ORDER BY ex.pos) AS ids
+                FROM ex LEFT JOIN voc USING (w) GROUP BY ex.doc_id)
+        SELECT tok.doc_id, CAST(len(tok.t) AS INTEGER) AS n_tokens,
+               array_to_string(list_concat(coalesce(enc.ids, []::INTEGER[]),
+                   list_transform(range(128 - len(coalesce(enc.ids, []::INTEGER[]))), lambda x: 0)), ' ') AS input_ids,
+               CAST(len(coalesce(enc.ids, []::INTEGER[])) AS INTEGER) AS attention_len
+        FROM tok LEFT JOIN enc USING (doc_id)""",
+    "history_tensor": "SELECT m.stay_id, m.t_end, CAST(p.pos AS INTEGER) AS pos, "
+                      + ", ".join(f"round(h.{v}, 6) AS {v}" for v in VARS)
+                      + " FROM master_tr m, (SELECT unnest(range(0, 24)) AS pos) p "
+                        "LEFT JOIN hourly_f h ON h.stay_id = m.stay_id AND h.hour = CAST(floor(m.t_end) AS INTEGER) - 23 + p.pos",
+    "tensor_normalize": "WITH sl AS (SELECT h.* FROM (SELECT * FROM master_tr WHERE "
+                        + _split_expr("subject_id") + " = 'train') m, (SELECT unnest(range(0, 24)) AS pos) p "
+                        "LEFT JOIN hourly_f h ON h.stay_id = m.stay_id AND h.hour = CAST(floor(m.t_end) AS INTEGER) - 23 + p.pos) "
+                        + " UNION ALL ".join(
+                            f"SELECT '{v}' AS variable, round(coalesce(avg({v}), 0.0), 6) AS mean, "
+                            f"round(CASE WHEN stddev_pop({v}) > 1e-6 THEN stddev_pop({v}) ELSE 1.0 END, 6) AS std FROM sl"
+                            for v in VARS),
+    "modality_switch": "SELECT m.stay_id, m.t_end, CAST(p.pos AS INTEGER) AS pos, "
+                       + ", ".join(f"0.0 AS {v}" for v in VARS)
+                       + " FROM master_tr m, (SELECT unnest(range(0, 24)) AS pos) p",
+})

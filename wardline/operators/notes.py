@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import SEPARATOR_PATTERN, clean_report, strip_ws
 from ..functions.timecols import relative_hour
+from ..session import spread
 from .cohort import ID_COL, attach_intime
 
 # --- fixed values: note time columns, in priority order ----------------------
@@ -33,7 +34,7 @@ def note_segments(text_df: DataFrame, static: DataFrame, row_key: str | None = "
     """
     if TEXT_COL not in text_df.columns:
         raise ValueError(f"text table needs column {TEXT_COL!r}")
-    t = attach_intime(text_df, static)
+    t = spread(attach_intime(text_df, static))
     tcol = note_time_column(t.columns)
     if tcol is None:
         rt = F.lit(None).cast("double")

@@ -332,3 +332,60 @@ def q_top_variance(spark, d):
     from pyspark.sql import Window
     r = F.row_number().over(Window.orderBy(F.desc("variance"), "column"))
     return rounded(vt.withColumn("rank", r).where(F.col("rank") <= 12), 4)
+
+
+# ---- step 7: text features and history tensors ------------------------------------
+
+from ..operators import tensors as TS  # noqa: E402
+from ..operators import text_features as TX  # noqa: E402
+from ..sources.tables import read_table  # noqa: E402
+
+
+@query("tfidf")
+def q_tfidf(spark, d):
+    docs = read_table(spark, d, "documents").select("doc_id", "text")
+    model = TX.fit_tfidf(docs, "doc_id", "text")
+    return rounded(TX.tfidf_long(docs, "doc_id", "text", model))
+
+
+@query("vocab_encode")
+def q_vocab_encode(spark, d):
+    docs = FT.group_split(read_table(spark, d, "documents").select("doc_id", "text"), group="doc_id")
+    vocab = TX.fit_vocab(docs.where("split = 'train'"), "text")
+    enc = TX.encode(docs, "doc_id", "text", vocab)
+    return enc.select("doc_id", "n_tokens", F.array_join("input_ids", " ").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("attention_len"))
+
+
+def _tensor_inputs(spark, d):
+    inp = cohort_inputs(spark, d)
+    mt = M.master_trailing(inp)
+    kept = cohort.los_filter(inp.static)
+    rel = hourly.with_relative_hour(cohort.restrict(inp.time_series, kept), kept)
+    hf = hourly.hourly_means(rel, VARS, "floor")
+    return mt, hf
+
+
+def _tensor_long(df):
+    x = df.select("stay_id", "t_end", F.posexplode("time_series").alias("pos", "_v"))
+    return x.select("stay_id", "t_end", "pos", *[F.col("_v")[i].alias(v) for i, v in enumerate(VARS)])
+
+
+@query("history_tensor")
+def q_history_tensor(spark, d):
+    mt, hf = _tensor_inputs(spark, d)
+    return rounded(_tensor_long(TS.history_tensor(mt.select("stay_id", "t_end"), hf, VARS)))
+
+
+@query("tensor_normalize")
+def q_tensor_normalize(spark, d):
+    mt, hf = _tensor_inputs(spark, d)
+    train = FT.group_split(mt).where("split = 'train'").select("stay_id", "t_end")
+    return rounded(TS.tensor_norm_table(TS.history_slots(train, hf, VARS), VARS))
+
+
+@query("modality_switch")
+def q_modality_switch(spark, d):
+    mt, hf = _tensor_inputs(spark, d)
+    t = TS.history_tensor(mt.select("stay_id", "t_end"), hf, VARS)
+    return rounded(_tensor_long(TS.modality_switch(t, use_time=False)))

@@ -71,3 +71,17 @@ def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=eager)
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin a DataFrame whose scan yields fewer partitions than the
+    cluster has cores, before CPU-heavy per-row work (regex, tokenizing).
+
+    Large inputs already arrive in many splits and are returned unchanged,
+    so no shuffle is added where the scan is parallel already.
+    """
+    spark = df.sparkSession
+    target = min_partitions or spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
