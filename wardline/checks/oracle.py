@@ -445,3 +445,53 @@ QUERIES.update({
                        + ", ".join(f"0.0 AS {v}" for v in VARS)
                        + " FROM master_tr m, (SELECT unnest(range(0, 24)) AS pos) p",
 })
+
+
+def _softmax_sql(b: int) -> tuple[str, str]:
+    n, d, m = (f"CAST(embedding[{3 * b + k + 1}] AS DOUBLE)" for k in range(3))
+    mx = f"greatest({n}, {d}, {m})"
+    den = f"(exp({n} - {mx}) + exp({d} - {mx}) + exp({m} - {mx}))"
+    return f"exp({d} - {mx}) / {den}", f"exp({m} - {mx}) / {den}"
+
+
+def _cif_sql(rescale: bool) -> str:
+    names = ("0_24h", "24_48h", "48_72h")
+    hz = [_softmax_sql(b) for b in range(3)]
+    cols = []
+    for b, (hd, hm) in enumerate(hz):
+        cols += [f"{hd} AS hazard_discharge_{names[b]}", f"{hm} AS hazard_death_{names[b]}"]
+    inner = f"SELECT vec_id, {', '.join(cols)} FROM embeddings"
+    parts, s, cd, cm = [], "1.0", "0.0", "0.0"
+    for b in range(3):
+        hd, hm = f"hazard_discharge_{names[b]}", f"hazard_death_{names[b]}"
+        if rescale:
+            k = f"(CASE WHEN {hd} + {hm} > 0.999 THEN 0.999 / greatest({hd} + {hm}, 1e-8) ELSE 1.0 END)"
+            hd, hm = f"({hd} * {k})", f"({hm} * {k})"
+        cd = f"({cd} + {s} * {hd})"
+        cm = f"({cm} + {s} * {hm})"
+        parts += [f"round({cd}, 6) AS cif_discharge_{('24h', '48h', '72h')[b]}",
+                  f"round({cm}, 6) AS cif_death_{('24h', '48h', '72h')[b]}"]
+        s = f"({s} * least(greatest(1.0 - {hd} - {hm}, 0.0), 1.0))"
+    hcols = [f"round({c.rsplit(' AS ', 1)[1]}, 6) AS {c.rsplit(' AS ', 1)[1]}" for c in cols]
+    return (f"SELECT vec_id, {', '.join(hcols)}, round(hazard_discharge_0_24h, 6) AS task1_prob, "
+            f"{', '.join(parts)} FROM ({inner})")
+
+
+QUERIES.update({
+    "class_weight": "WITH tr AS (SELECT * FROM master_tr WHERE " + _split_expr("subject_id") + " = 'train') "
+                    + " UNION ALL ".join(
+                        f"SELECT '{task}' AS task, count(*) AS n_rows, CAST(coalesce(sum({lab}), 0) AS BIGINT) AS n_pos, "
+                        f"count(*) - CAST(coalesce(sum({lab}), 0) AS BIGINT) AS n_neg, "
+                        f"round(CASE WHEN coalesce(sum({lab}), 0) > 0 THEN (count(*) - sum({lab})) / sum({lab}) "
+                        f"ELSE 1.0 END, 6) AS scale_pos_weight, "
+                        f"round(least(greatest(CASE WHEN count(*) > 0 THEN coalesce(sum({lab}), 0) / count(*) "
+                        f"ELSE 0.5 END, 1e-6), 1 - 1e-6), 6) AS constant_prob FROM tr {where}"
+                        for task, lab, where in (("task1_discharge", "label_can_discharge_24h", ""),
+                                                 ("task2_no_return72_masked", "label_no_return_72h",
+                                                  "WHERE task2_mask = 1"))),
+    "seeded_sample": "SELECT stay_id, t_end FROM master_tr ORDER BY CAST('0x' || substr(md5('42:' || "
+                     "concat_ws('|', CAST(stay_id AS VARCHAR), CAST(CAST(t_end AS BIGINT) AS VARCHAR))), 1, 8) AS BIGINT), "
+                     "concat_ws('|', CAST(stay_id AS VARCHAR), CAST(CAST(t_end AS BIGINT) AS VARCHAR)) LIMIT 2000",
+    "cif": _cif_sql(False),
+    "cif_rescaled": _cif_sql(True),
+})

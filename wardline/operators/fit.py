@@ -57,8 +57,9 @@ def split_summary(df: DataFrame, label: str | None = None, group: str = GROUP_CO
 def missing_rates(train: DataFrame, columns) -> DataFrame:
     """Share of NULL (or NaN) per column on the training rows, long format."""
     cols = list(columns)
-    one = train.agg(*[F.avg((F.col(c).isNull() | F.isnan(F.col(c).cast("double"))).cast("double"))
-                      .alias(c) for c in cols])
+    floats = {f.name for f in train.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
+    miss = lambda c: (F.col(c).isNull() | F.isnan(c)) if c in floats else F.col(c).isNull()
+    one = train.agg(*[F.avg(miss(c).cast("double")).alias(c) for c in cols])
     return one.unpivot([], cols, "column", "missing_rate")
 
 

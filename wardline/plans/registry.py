@@ -389,3 +389,123 @@ def q_modality_switch(spark, d):
     mt, hf = _tensor_inputs(spark, d)
     t = TS.history_tensor(mt.select("stay_id", "t_end"), hf, VARS)
     return rounded(_tensor_long(TS.modality_switch(t, use_time=False)))
+
+
+# ---- step 8: models, loss curves, survival ----------------------------------------
+
+from ..operators import curves as CV  # noqa: E402
+from ..operators import models as MD  # noqa: E402
+from ..operators import survival as SV  # noqa: E402
+from . import matrices as MX  # noqa: E402
+from . import runs as RN  # noqa: E402
+
+GBT_ROUNDS = 20   # per-query training budget (the library default is 300)
+
+
+def _master_split(spark, d):
+    return FT.group_split(M.master_trailing(cohort_inputs(spark, d)))
+
+
+@query("class_weight")
+def q_class_weight(spark, d):
+    tr = _master_split(spark, d).where("split = 'train'")
+    t1 = MD.class_balance(tr, labels.TASK1_COL).withColumn("task", F.lit(EV.TASK1))
+    t2 = MD.class_balance(tr, labels.TASK2_COL, F.col(labels.TASK2_MASK_COL) == 1).withColumn("task", F.lit(EV.TASK2))
+    return rounded(t1.unionByName(t2))
+
+
+@query("seeded_sample")
+def q_seeded_sample(spark, d):
+    m = M.master_trailing(cohort_inputs(spark, d)).select("stay_id", "t_end")
+    s = MD.seeded_sample(m.withColumn("t_hour", F.col("t_end").cast("bigint")), 2000, ["stay_id", "t_hour"])
+    return s.select("stay_id", "t_end")
+
+
+@query("cif")
+def q_cif(spark, d):
+    return rounded(SV.cif_from_logits(fixtures.survival_logits(spark, d)).drop(
+        *[c for c in fixtures.survival_logits(spark, d).columns if c.startswith("logit")]))
+
+
+@query("cif_rescaled")
+def q_cif_rescaled(spark, d):
+    return rounded(SV.cif_from_logits(fixtures.survival_logits(spark, d), rescale=True).drop(
+        *[c for c in fixtures.survival_logits(spark, d).columns if c.startswith("logit")]))
+
+
+@query("base_matrix")
+def q_base_matrix(spark, d):
+    return MX.base_matrices(_master_split(spark, d), scale_for_linear=True).data
+
+
+@query("cumulative_matrix")
+def q_cumulative_matrix(spark, d):
+    return MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False)))).data
+
+
+@query("landmark_matrix")
+def q_landmark_matrix(spark, d):
+    return MX.landmark_matrices(FT.group_split(M.landmark_table(cohort_inputs(spark, d, False)))).data
+
+
+@query("logistic_two_head")
+def q_logistic(spark, d):
+    return RN.run_logistic(MX.base_matrices(_master_split(spark, d), scale_for_linear=True)).predictions
+
+
+@query("gbt_two_head")
+def q_gbt(spark, d):
+    m = MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False))))
+    return RN.run_gbt(m, rounds=GBT_ROUNDS).predictions
+
+
+def _gbt_curve(spark, d):
+    m = MX.base_matrices(_master_split(spark, d), scale_for_linear=False)
+    model = MD.fit_two_head(m.split("train"), m.features, "gbt", {"rounds": GBT_ROUNDS})
+    return MD.gbt_loss_table(model, m.split("train"), m.split("val"), GBT_ROUNDS)
+
+
+@query("lambda_curve")
+def q_lambda_curve(spark, d):
+    return CV.lambda_curve(_gbt_curve(spark, d))
+
+
+@query("best_round")
+def q_best_round(spark, d):
+    return CV.best_round(CV.lambda_curve(_gbt_curve(spark, d)))
+
+
+@query("early_stop")
+def q_early_stop(spark, d):
+    return CV.early_stop(CV.lambda_curve(_gbt_curve(spark, d)), patience=5)
+
+
+@query("attribution_linear")
+def q_attribution(spark, d):
+    m = MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
+    run = RN.run_logistic(m)
+    train = m.split("train")
+    means = train.agg(*[F.avg(c).alias(c) for c in m.features]).first().asDict()
+    sample = MD.seeded_sample(m.split("test").withColumn("t_hour", F.col("t_end").cast("bigint")), 2000,
+                              ["stay_id", "t_hour"])
+    return MD.linear_attribution(run.model.head1, sample, means)
+
+
+@query("cause_specific_cif")
+def q_cause_specific(spark, d):
+    inp = cohort_inputs(spark, d, with_text=False)
+    table = M.landmark_table(inp)
+    m = MX.landmark_matrices(FT.group_split(table))
+    return RN.cause_specific_cif(m, labels.survival_targets(table))
+
+
+@query("tensor_dataset")
+def q_tensor_dataset(spark, d):
+    inp = cohort_inputs(spark, d)
+    kept = cohort.los_filter(inp.static)
+    mt = M.master_trailing(inp)
+    rel = hourly.with_relative_hour(cohort.restrict(inp.time_series, kept), kept)
+    hf = hourly.hourly_means(rel, VARS, "floor")
+    ev = labels.event_table(kept, require_positive=False)
+    out, _ = MX.tensor_dataset(mt.drop("split"), kept, hf, VARS, ["age"], ev)
+    return out
