@@ -495,3 +495,37 @@ QUERIES.update({
     "cif": _cif_sql(False),
     "cif_rescaled": _cif_sql(True),
 })
+
+
+_SWAP = ("(SELECT row_id, first_careunit, y1_true, y2_prob AS y1_prob, y2_true, y1_prob AS y2_prob, y2_mask "
+         "FROM predictions)")
+_FLIP = ("(SELECT row_id, first_careunit, y1_true, 1 - y1_prob AS y1_prob, y2_true, 1 - y2_prob AS y2_prob, "
+         "y2_mask FROM predictions)")
+
+
+def _bundle_sql(src: str) -> str:
+    t1 = dict(src=src, y="y1_true", p="y1_prob", d=None)
+    t2 = dict(src=src, y="y2_true", p="y2_prob", d=None, where="y2_mask = 1")
+    tj = dict(src=src, y="CAST(y1_true = 1 AND y2_true = 1 AS INTEGER)", p="y1_prob * y2_prob",
+              d="CAST(y1_prob >= 0.5 AND y2_prob >= 0.5 AS INTEGER)")
+    return (f"(SELECT * FROM {_task_sql(**t1, task='task1_discharge')} UNION ALL "
+            f"SELECT * FROM {_task_sql(**t2, task='task2_no_return72_masked')} UNION ALL "
+            f"SELECT * FROM {_task_sql(**tj, task='joint_both_positive')})")
+
+
+_MET = ("auc", "pr_auc", "recall", "precision")
+_BUNDLES = f"bc AS {_bundle_sql('predictions')}, ba AS {_bundle_sql(_SWAP)}, bb AS {_bundle_sql(_FLIP)}"
+_LONG = lambda b: " UNION ALL ".join(f"SELECT task, '{m}' AS metric, {m} AS v FROM {b}" for m in _MET)
+
+QUERIES.update({
+    "comparison_long": f"WITH {_BUNDLES}, lc AS ({_LONG('bc')}), la AS ({_LONG('ba')}), lb AS ({_LONG('bb')}) "
+                       "SELECT lc.task, lc.metric, lc.v AS candidate, la.v AS baseline_a, lb.v AS baseline_b, "
+                       "round(lc.v - la.v, 6) AS delta_vs_baseline_a, round(lc.v - lb.v, 6) AS delta_vs_baseline_b "
+                       "FROM lc JOIN la USING (task, metric) JOIN lb USING (task, metric)",
+    "comparison_wide": f"WITH {_BUNDLES} SELECT bc.task, "
+                       + ", ".join(f"{x}.{m} AS {m}_{n}" for m in _MET
+                                   for x, n in (("bc", "candidate"), ("ba", "baseline_a"), ("bb", "baseline_b")))
+                       + ", " + ", ".join(f"round(bc.{m} - {x}.{m}, 6) AS {m}_candidate_minus_{n}" for m in _MET
+                                          for x, n in (("ba", "baseline_a"), ("bb", "baseline_b")))
+                       + " FROM bc JOIN ba USING (task) JOIN bb USING (task)",
+})

@@ -509,3 +509,30 @@ def q_tensor_dataset(spark, d):
     ev = labels.event_table(kept, require_positive=False)
     out, _ = MX.tensor_dataset(mt.drop("split"), kept, hf, VARS, ["age"], ev)
     return out
+
+
+# ---- comparisons ---------------------------------------------------------------------
+
+from ..operators import compare as CP  # noqa: E402
+
+
+def _three_bundles(spark, d):
+    p = _pred(spark, d)
+    swapped = p.select("row_id", "first_careunit", "y1_true", F.col("y2_prob").alias("y1_prob"), "y2_true",
+                       F.col("y1_prob").alias("y2_prob"), "y2_mask")
+    flipped = p.select("row_id", "first_careunit", "y1_true", (1 - F.col("y1_prob")).alias("y1_prob"), "y2_true",
+                       (1 - F.col("y2_prob")).alias("y2_prob"), "y2_mask")
+    # tables as a metrics file stores them (6 decimals), then compared
+    return {"candidate": rounded(EV.metrics_bundle(p)), "baseline_a": rounded(EV.metrics_bundle(swapped)),
+            "baseline_b": rounded(EV.metrics_bundle(flipped))}
+
+
+@query("comparison_long")
+def q_comparison_long(spark, d):
+    b = _three_bundles(spark, d)
+    return rounded(CP.comparison_long(b["candidate"], {"baseline_a": b["baseline_a"], "baseline_b": b["baseline_b"]}))
+
+
+@query("comparison_wide")
+def q_comparison_wide(spark, d):
+    return rounded(CP.comparison_wide(_three_bundles(spark, d), "candidate"))
