@@ -36,15 +36,24 @@ def _col(c) -> Column:
 def strip_ws(c) -> Column:
     """Remove leading/trailing whitespace (Python semantics; ``trim`` only
     removes spaces)."""
-    return F.regexp_replace(_col(c), rf"^{WS}+|{WS}+$", "")
+    # possessive runs: a whitespace run that does not reach the end fails
+    # without backtracking through every shorter run
+    return F.regexp_replace(_col(c), rf"^{WS}++|{WS}++$", "")
 
 
-def clean_report(c) -> Column:
-    """Drop the communicated/signature tail, collapse whitespace, trim;
-    empty result becomes NULL (C6)."""
+def clean_report_text(c) -> Column:
+    """Drop the communicated/signature tail, collapse whitespace, trim (C6);
+    may return the empty string."""
     t = F.regexp_replace(_col(c), COMMUNICATED, "")
     t = F.regexp_replace(t, SIGNED, "")
-    t = strip_ws(F.regexp_replace(t, f"{WS}+", " "))
+    return strip_ws(F.regexp_replace(t, f"{WS}++", " "))
+
+
+def clean_report(c) -> Column:
+    """:func:`clean_report_text` with an empty result as NULL.  Inside a
+    larger projection prefer computing :func:`clean_report_text` into a
+    column and testing its length, so the regex chain runs once."""
+    t = clean_report_text(c)
     return F.when(F.length(t) > 0, t)
 
 

@@ -42,19 +42,18 @@ def recall_precision_cols():
     return recall.alias("recall"), precision.alias("precision")
 
 
-def _score_prefix(df, label, prob, keys, n_buckets):
+def _score_prefix(df, label, prob, keys, n_buckets, with_totals=False):
     return running_sums(df, prob, {"pos": F.when(_c(label) == 1, 1).otherwise(0), "cnt": F.lit(1)},
-                        keys, descending=True, n_buckets=n_buckets)
+                        keys, descending=True, n_buckets=n_buckets, with_totals=with_totals)
 
 
-def ranking_metrics(df: DataFrame, label: str, prob, keys=(), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def ranking_metrics(df: DataFrame, label: str, prob, keys=(), n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Exact ROC AUC (ties count one half, A11) and average precision
     (step-wise, A12) per key; NULL when only one class is present."""
     keys = list(keys)
     src = df.select(*keys, _c(label).alias("_y"), _c(prob).cast("double").alias("_p"))
-    ps = _score_prefix(src, "_y", "_p", keys, n_buckets)
-    tot = src.groupBy(*keys).agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_npos"),
-                                 F.count(F.lit(1)).alias("_ntot"))
+    ps, tot = _score_prefix(src, "_y", "_p", keys, n_buckets, with_totals=True)
+    tot = tot.select(*keys, F.col("tot_pos").alias("_npos"), F.col("tot_cnt").alias("_ntot"))
     j = ps.join(tot, on=keys, how="inner") if keys else ps.withColumns(
         {"_npos": tot.select("_npos").scalar(), "_ntot": tot.select("_ntot").scalar()})
     neg = F.col("cnt") - F.col("pos")
@@ -70,13 +69,12 @@ def ranking_metrics(df: DataFrame, label: str, prob, keys=(), n_buckets: int = D
                       F.when(two, F.col("_ap_num") / F.col("_npos")).alias("pr_auc"))
 
 
-def roc_points(df: DataFrame, label: str, prob: str, keys=(), n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+def roc_points(df: DataFrame, label: str, prob: str, keys=(), n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """ROC curve: (threshold, fpr, tpr) at every distinct score."""
     keys = list(keys)
     src = df.select(*keys, _c(label).alias("_y"), _c(prob).cast("double").alias("_p"))
-    ps = _score_prefix(src, "_y", "_p", keys, n_buckets)
-    tot = src.groupBy(*keys).agg(F.sum(F.when(F.col("_y") == 1, 1).otherwise(0)).alias("_npos"),
-                                 F.count(F.lit(1)).alias("_ntot"))
+    ps, tot = _score_prefix(src, "_y", "_p", keys, n_buckets, with_totals=True)
+    tot = tot.select(*keys, F.col("tot_pos").alias("_npos"), F.col("tot_cnt").alias("_ntot"))
     j = ps.join(tot, on=keys, how="inner") if keys else ps.withColumns(
         {"_npos": tot.select("_npos").scalar(), "_ntot": tot.select("_ntot").scalar()})
     n = F.col("_ntot") - F.col("_npos")
@@ -100,7 +98,7 @@ def brier(df: DataFrame, label: str, prob: str, keys=()) -> DataFrame:
 
 
 def calibration_bins(df: DataFrame, label: str, prob: str, n_bins: int = 10,
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Quantile reliability table (A16): edges are exact linear-interpolated
     percentiles of the probability; a row's bin is the number of inner edges
     strictly below it; one row per non-empty bin."""
@@ -116,7 +114,7 @@ def calibration_bins(df: DataFrame, label: str, prob: str, n_bins: int = 10,
 
 
 def task_metrics(df: DataFrame, label: str, prob, pred=None, keys=(), threshold: float = THRESHOLD,
-                 n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                 n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """auc, pr_auc, recall, precision, threshold, n_eval, tn, fp, fn, tp per key."""
     keys = list(keys)
     cf = confusion(df, label, prob if pred is None else None, pred, keys, threshold)
@@ -131,7 +129,7 @@ def task_metrics(df: DataFrame, label: str, prob, pred=None, keys=(), threshold:
 
 
 def metrics_bundle(pred: DataFrame, threshold: float = THRESHOLD, keys=(),
-                   n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                   n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Task 1, task 2 on the masked rows, and the joint event.
 
     Expects y1_true, y1_prob, y2_true, y2_prob, y2_mask.  An empty mask gives
@@ -152,7 +150,7 @@ def metrics_bundle(pred: DataFrame, threshold: float = THRESHOLD, keys=(),
 
 
 def subgroup_metrics(pred: DataFrame, group_col: str = "first_careunit", threshold: float = THRESHOLD,
-                     n_buckets: int = DEFAULT_BUCKETS) -> DataFrame:
+                     n_buckets: int | None = DEFAULT_BUCKETS) -> DataFrame:
     """Task 1 and masked task 2 metrics per subgroup (A17); NULL group is
     ``UNKNOWN``; task 2 rows only where the group has masked rows."""
     if group_col not in pred.columns:

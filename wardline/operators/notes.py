@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.text import SEPARATOR_PATTERN, clean_report, strip_ws
+from ..functions.text import SEPARATOR_PATTERN, clean_report_text, strip_ws
 from ..functions.timecols import relative_hour
 from ..session import spread
 from .cohort import ID_COL, attach_intime
@@ -48,7 +48,7 @@ def note_segments(text_df: DataFrame, static: DataFrame, row_key: str | None = "
     seg = t.select(F.col(ID_COL), rt.alias("report_time"), key.alias("note_row"),
                    F.posexplode(parts).alias("pos", "seg"))
     seg = seg.withColumn("seg", strip_ws("seg")).where(F.length("seg") > 0)
-    seg = seg.withColumn("clean_text", clean_report("seg")).where(F.col("clean_text").isNotNull()).drop("seg")
+    seg = seg.withColumn("clean_text", clean_report_text("seg")).drop("seg").where(F.length("clean_text") > 0)
     if not keep_unknown_time:
         seg = seg.where(F.col("report_time").isNotNull())
     return seg
