@@ -529,3 +529,25 @@ QUERIES.update({
                                           for x, n in (("ba", "baseline_a"), ("bb", "baseline_b")))
                        + " FROM bc JOIN ba USING (task) JOIN bb USING (task)",
 })
+
+
+_LM_FEATS = list(CUM_FEATS) + ["age", "landmark_hour", "landmark_hour_sq"]
+
+QUERIES["interactions"] = (
+    "WITH lt AS (SELECT *, t_end AS landmark_hour, t_end * t_end AS landmark_hour_sq, "
+    + _split_expr("subject_id") + " AS split FROM lmk), "
+    "lg AS (SELECT * FROM (SELECT stay_id, t_end, split, "
+    + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _LM_FEATS) + " FROM lt) UNPIVOT INCLUDE NULLS (v FOR feature IN ("
+    + ", ".join(_LM_FEATS) + "))), "
+    "miss AS (SELECT feature, avg(CASE WHEN v IS NULL OR isnan(v) THEN 1.0 ELSE 0.0 END) AS r FROM lg "
+    "WHERE split = 'train' GROUP BY feature), "
+    "kf AS (SELECT feature FROM miss WHERE r <= 0.9 OR suffix(feature, '_measured_frac')), "
+    "med AS (SELECT feature, quantile_cont(v, 0.5) AS m FROM lg WHERE split = 'train' GROUP BY feature), "
+    "imp AS (SELECT l.stay_id, l.t_end, l.split, l.feature, coalesce(l.v, med.m) AS v FROM lg l "
+    "JOIN kf USING (feature) JOIN med USING (feature) WHERE med.m IS NOT NULL), "
+    "vr AS (SELECT feature, var_samp(v) AS s FROM imp WHERE split = 'train' "
+    "AND feature NOT IN ('landmark_hour', 'landmark_hour_sq') GROUP BY feature), "
+    "top AS (SELECT feature FROM vr WHERE s IS NOT NULL ORDER BY s DESC, feature LIMIT 12) "
+    "SELECT i.stay_id, i.t_end, i.feature || '_x_landmark' AS feature, round(i.v * lh.v, 6) AS value "
+    "FROM imp i JOIN top USING (feature) "
+    "JOIN imp lh ON lh.stay_id = i.stay_id AND lh.t_end = i.t_end AND lh.feature = 'landmark_hour'")

@@ -181,3 +181,28 @@ def tensor_dataset(master: DataFrame, static: DataFrame, hourly_floor: DataFrame
            .join(enc.drop("n_tokens"), [ID_COL, "t_end"], "left"))
     return out, {"time_mean": norm.mean, "time_std": norm.std, "static_medians": imp.medians,
                  "static_scaler": scaler, "vocab_size": len(vocab.ids)}
+
+
+def landmark_interactions(table: DataFrame, max_interactions: int = 12, checkpoint: bool = True) -> DataFrame:
+    """X5 on its own: the landmark path up to the interaction step (missing
+    drop, median imputation fitted on train), then ``{col}_x_landmark`` for
+    the top-variance training columns, in long form
+    (stay_id, t_end, feature, value) for every split."""
+    df = table if "split" in table.columns else FT.group_split(table)
+    if checkpoint:
+        df = cut_lineage(df)
+    train = df.where("split = 'train'")
+    drop = FT.fit_missing(train, [c for c in df.columns if c != "split"], safe=LANDMARK_SAFE,
+                          keep_suffixes=("_measured_frac",))
+    df = df.drop(*drop)
+    feats = FT.feature_columns(df, exclude=LANDMARK_SAFE + LANDMARK_EXTRA_EXCLUDE + ("split",))
+    imp = FT.fit_median(df.where("split = 'train'"), feats)
+    work = FT.apply_median(df, imp, passthrough=[ID_COL, "t_end", "split"])
+    feats = [c for c in feats if imp.medians.get(c) is not None]
+    top = FT.top_variance(work.where("split = 'train'"), feats, k=max_interactions)
+    if not top:
+        return work.select(ID_COL, "t_end", F.lit(None).cast("string").alias("feature"),
+                           F.lit(None).cast("double").alias("value")).limit(0)
+    pairs = F.array(*[F.struct(F.lit(f"{c}_x_landmark").alias("feature"),
+                               (F.col(c) * F.col("landmark_hour")).alias("value")) for c in top])
+    return work.select(ID_COL, "t_end", F.explode(pairs).alias("p")).select(ID_COL, "t_end", "p.feature", "p.value")

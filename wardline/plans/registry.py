@@ -470,6 +470,13 @@ def q_lambda_curve(spark, d):
     return CV.lambda_curve(_gbt_curve(spark, d))
 
 
+@query("lambda_curve_gated")
+def q_lambda_curve_gated(spark, d):
+    """Update only with at least 64 valid task-2 rows, ratio L1/max(L2, eps)."""
+    return CV.lambda_curve(_gbt_curve(spark, d), min_valid=64, valid_count_col="train_task2_valid_count",
+                           ratio_mode="max_eps")
+
+
 @query("best_round")
 def q_best_round(spark, d):
     return CV.best_round(CV.lambda_curve(_gbt_curve(spark, d)))
@@ -536,3 +543,9 @@ def q_comparison_long(spark, d):
 @query("comparison_wide")
 def q_comparison_wide(spark, d):
     return rounded(CP.comparison_wide(_three_bundles(spark, d), "candidate"))
+
+
+@query("interactions")
+def q_interactions(spark, d):
+    lt = FT.group_split(M.landmark_table(cohort_inputs(spark, d, with_text=False)))
+    return rounded(MX.landmark_interactions(lt))
