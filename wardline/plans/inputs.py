@@ -9,10 +9,8 @@ from .master import CohortInputs
 
 
 def cohort_inputs(spark: SparkSession, sf_dir: str, with_text: bool = True) -> CohortInputs:
-    st = fixtures.stays(spark, sf_dir)
-    vt = fixtures.vitals(spark, sf_dir, st)
-    nt = fixtures.notes(spark, sf_dir, st) if with_text else None
-    return CohortInputs(static=st, time_series=vt, text=nt)
+    t = fixtures.cohort_tables(spark, sf_dir)
+    return CohortInputs(static=t["stays"], time_series=t["vitals"], text=t["notes"] if with_text else None)
 
 
 def rounded(df: DataFrame, digits: int = 6, overrides: dict | None = None) -> DataFrame:

@@ -26,14 +26,18 @@ def query(name: str):
 VARS = [v for v, _ in fixtures.VITAL_SOURCES]
 
 
+def _tables(spark, d):
+    return fixtures.cohort_tables(spark, d)
+
+
 def _kept(spark, d):
-    return cohort.los_filter(fixtures.stays(spark, d))
+    return cohort.los_filter(_tables(spark, d)["stays"])
 
 
 def _rel(spark, d):
-    st = fixtures.stays(spark, d)
-    kept = cohort.los_filter(st)
-    ts = cohort.restrict(fixtures.vitals(spark, d, st), kept)
+    t = _tables(spark, d)
+    kept = cohort.los_filter(t["stays"])
+    ts = cohort.restrict(t["vitals"], kept)
     return kept, hourly.with_relative_hour(ts, kept)
 
 
@@ -46,7 +50,7 @@ def q_los_filter(spark, d):
 
 @query("los_report")
 def q_los_report(spark, d):
-    return rounded(cohort.los_report(fixtures.stays(spark, d)))
+    return rounded(cohort.los_report(_tables(spark, d)["stays"]))
 
 
 @query("cohort_semi_join")
@@ -99,7 +103,7 @@ def q_task1(spark, d):
 
 @query("icu_death_flag")
 def q_icu_death(spark, d):
-    return rounded(labels.stay_outcomes(fixtures.stays(spark, d)))
+    return rounded(labels.stay_outcomes(_tables(spark, d)["stays"]))
 
 
 @query("readmit_labels")
@@ -109,7 +113,7 @@ def q_readmit(spark, d):
 
 @query("event_table")
 def q_event_table(spark, d):
-    return rounded(labels.event_table(fixtures.stays(spark, d)))
+    return rounded(labels.event_table(_tables(spark, d)["stays"]))
 
 
 @query("landmark_labels")
@@ -166,9 +170,9 @@ def q_landmark_table(spark, d):
 # ---- step 4: notes ----------------------------------------------------------------
 
 def _segments(spark, d):
-    st = fixtures.stays(spark, d)
-    kept = cohort.los_filter(st)
-    return kept, notes.note_segments(cohort.restrict(fixtures.notes(spark, d, st), kept), kept)
+    t = _tables(spark, d)
+    kept = cohort.los_filter(t["stays"])
+    return kept, notes.note_segments(cohort.restrict(t["notes"], kept), kept)
 
 
 @query("note_segments")
@@ -180,7 +184,7 @@ def q_note_segments(spark, d):
 @query("note_asof_text")
 def q_note_asof(spark, d):
     kept, seg = _segments(spark, d)
-    ts = cohort.restrict(fixtures.vitals(spark, d, fixtures.stays(spark, d)), kept)
+    ts = cohort.restrict(_tables(spark, d)["vitals"], kept)
     rel = hourly.with_relative_hour(ts, kept)
     spine = landmarks.trailing_features(hourly.hourly_means(rel, VARS, "rint"), VARS).select("stay_id", "t_end")
     return rounded(notes.asof_text(spine, seg))

@@ -62,15 +62,21 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
-def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
-    """Reliable checkpoint into the shared checkpoint folder.
+def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
+    """Materialise ``df`` as a parquet table in the shared checkpoint folder
+    and continue from that table.
 
-    Used before a fitted transform makes several passes over the same input,
-    so an executor loss re-reads the checkpoint instead of recomputing the
-    whole upstream plan.
+    Used before a fitted transform makes several passes over the same input:
+    the upstream plan runs once (a reliable ``checkpoint()`` of an unpersisted
+    plan runs it twice), later passes read only the columns they need, and an
+    executor loss re-reads the table instead of recomputing the lineage.
     """
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=eager)
+    import uuid
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark)
+    path = f"{base.rstrip('/')}/wardline-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("error").parquet(path)
+    return spark.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

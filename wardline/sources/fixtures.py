@@ -135,3 +135,29 @@ def survival_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
     cols = [F.col("embedding")[i].cast("double").alias(f"logit_b{i // 3 + 1}_{('none', 'dis', 'death')[i % 3]}")
             for i in range(9)]
     return emb.select("vec_id", *cols)
+
+
+_MATERIALIZED: dict = {}
+
+
+def cohort_tables(spark: SparkSession, sf_dir: str) -> dict:
+    """The three cohort views written once per session as parquet tables in
+    the shared checkpoint folder, then read like any input table (the role
+    the source's CSV files play).  Deriving them inline would rebuild
+    ``stays`` from ``events`` in every branch of a plan."""
+    import os
+    import uuid
+
+    from ..session import ensure_checkpoint_dir
+    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    paths = _MATERIALIZED.get(key)
+    if paths is None:
+        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardline-inputs/{uuid.uuid4().hex}"
+        st = stays(spark, sf_dir)
+        paths = {"stays": f"{base}/stays", "vitals": f"{base}/vitals", "notes": f"{base}/notes"}
+        st.write.parquet(paths["stays"])
+        st_t = spark.read.parquet(paths["stays"])
+        vitals(spark, sf_dir, st_t).write.parquet(paths["vitals"])
+        notes(spark, sf_dir, st_t).write.parquet(paths["notes"])
+        _MATERIALIZED[key] = paths
+    return {k: spark.read.parquet(p) for k, p in paths.items()}
