@@ -1,0 +1,7 @@
+"""No streaming operators.
+
+The surveyed pipeline is batch-only: it reads three static files, and none
+of its operators keeps state across arrivals, uses event-time watermarks or
+streaming windows.  The per-stay windows (trailing and cumulative landmark
+statistics) are batch windows and live in :mod:`wardline.operators.landmarks`.
+"""
