@@ -38,16 +38,18 @@ def main() -> None:
     names = sys.argv[1:] or list(HEADLINE)
     spark = get_session(f"local[{cpus}]", shuffle_partitions=2 * cpus, app_name="wardline-bench",
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "16g")})
-    times = {}
-    for name in names:
-        best = None
-        for i in range(repeat + 1):
-            t0 = time.perf_counter()
-            REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            dt = time.perf_counter() - t0
-            if i > 0:   # first run warms the JVM and the file cache
-                best = dt if best is None else min(best, dt)
-        times[name] = round(best, 3)
+    def run(name):
+        t0 = time.perf_counter()
+        REGISTRY[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
+        return time.perf_counter() - t0
+
+    for name in names:          # warm-up pass: JIT, generated code, file cache, input tables
+        run(name)
+    times = {name: float("inf") for name in names}
+    for _ in range(repeat):
+        for name in names:
+            times[name] = min(times[name], run(name))
+    times = {k: round(v, 3) for k, v in times.items()}
     print(json.dumps({"metric": "headline_total_sec", "value": round(sum(times.values()), 3), "unit": "sec",
                       "queries": times, "sf": _sf(sf_dir), "cpus": cpus, "repeat": repeat}))
     spark.stop()

@@ -348,8 +348,7 @@ from ..sources.tables import read_table  # noqa: E402
 @query("tfidf")
 def q_tfidf(spark, d):
     docs = read_table(spark, d, "documents").select("doc_id", "text")
-    model = TX.fit_tfidf(docs, "doc_id", "text")
-    return rounded(TX.tfidf_long(docs, "doc_id", "text", model))
+    return rounded(TX.tfidf_counts_model(docs, "doc_id", "text")[0])
 
 
 @query("vocab_encode")

@@ -91,3 +91,16 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     if df.rdd.getNumPartitions() >= target:
         return df
     return df.repartition(target)
+
+
+def by_key(df: DataFrame, keys) -> DataFrame:
+    """Hash-partition rows by ``keys`` (at least one partition per core).
+
+    Used before exploding a row into many rows that are then aggregated by
+    ``keys`` plus something else: the aggregate and later windows on ``keys``
+    reuse this partitioning, so only the compact input is shuffled, not the
+    exploded rows.
+    """
+    spark = df.sparkSession
+    n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
+    return df.repartition(n, *keys)
