@@ -146,3 +146,29 @@ def test_master_without_text(spark):
     m = M.master_trailing(M.CohortInputs(st, ts, None)).collect()
     assert [r["t_end"] for r in sorted(m, key=lambda r: r["t_end"])] == [24.0, 36.0, 48.0]
     assert all(r["final_text"] == "" and r["has_text"] == 0 for r in m)
+
+
+def test_next_in_group_matches_window(spark):
+    import random
+    from pyspark.sql import Window
+    from wardline.operators.sequence import next_in_group
+    rnd = random.Random(5)
+    # one hot group holding most rows, NULL order values, ties broken by id
+    rows = [(i, 1 if i % 4 else rnd.randint(2, 9), None if i % 17 == 0 else float(rnd.randint(0, 50)))
+            for i in range(400)]
+    df = spark.createDataFrame(rows, "id long, g long, t double")
+    got = {r["id"]: r["nv"] for r in next_in_group(df, "g", ["t", "id"], "t", "nv", n_parts=7).collect()}
+    w = Window.partitionBy("g").orderBy(F.asc_nulls_last("t"), "id")
+    exp = {r["id"]: r["nv"] for r in df.select("id", F.lead("t").over(w).alias("nv")).collect()}
+    exp_last = {r["id"]: r["x"] for r in df.select("id", F.lead("id").over(w).alias("x")).collect()}
+    assert got == exp
+    assert sum(v is None for v in exp_last.values()) == df.select("g").distinct().count()
+
+
+def test_readmission_skew_safe_equals_window(spark):
+    rows = [static_row(i, i // 3, (i // 3) if i % 7 else None, 24 + (i % 5), start=30.0 * (i % 3) + (i % 2))
+            for i in range(60)]
+    st = spark.createDataFrame(rows, STATIC_SCHEMA)
+    a = {r["stay_id"]: r["readmit_72h"] for r in labels.readmit_labels(st).collect()}
+    b = {r["stay_id"]: r["readmit_72h"] for r in labels.readmit_labels(st, skew_safe=False).collect()}
+    assert a == b and sum(a.values()) > 0

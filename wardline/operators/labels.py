@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 from ..functions.timecols import hours_between
 from ..sources.tables import with_optional_column
 from .cohort import GROUP_COL, HADM_COL, ID_COL
+from .sequence import next_in_group
 
 TASK1_COL = "label_can_discharge_24h"
 TASK2_COL = "label_no_return_72h"
@@ -29,19 +30,28 @@ def stay_outcomes(static: DataFrame) -> DataFrame:
                     died.cast("int").alias("icu_death_flag"))
 
 
-def readmit_labels(static: DataFrame, gap_hours: float = READMIT_GAP_HOURS) -> DataFrame:
+def readmit_labels(static: DataFrame, gap_hours: float = READMIT_GAP_HOURS, skew_safe: bool = True) -> DataFrame:
     """Return to the ICU within ``gap_hours`` of exit in the same admission.
 
     Next stay = next ``intime`` in the same ``hadm_id`` (NULL times last,
     ``stay_id`` breaks ties).  Stays with a NULL admission id never link:
     they bypass the window, so NULL keys cannot pile up in one partition.
+    By default :func:`next_in_group` is used, which splits an admission with
+    very many stays across tasks (one extra table write); ``skew_safe=False``
+    uses a plain window that keeps each admission's stays in one task.
     """
     base = static.select(ID_COL, HADM_COL, "intime", "outtime")
     keyed = base.where(F.col(HADM_COL).isNotNull())
-    w = Window.partitionBy(HADM_COL).orderBy(F.asc_nulls_last("intime"), ID_COL)
-    gap = hours_between("outtime", F.lead("intime").over(w))
-    linked = keyed.select(ID_COL, F.coalesce((gap >= 0) & (gap <= gap_hours), F.lit(False)).cast("int")
-                          .alias("readmit_72h"))
+    if skew_safe:
+        nxt = next_in_group(keyed, HADM_COL, ["intime", ID_COL], "intime", "_next_intime")
+        gap = hours_between("outtime", "_next_intime")
+        src = nxt
+    else:
+        w = Window.partitionBy(HADM_COL).orderBy(F.asc_nulls_last("intime"), ID_COL)
+        gap = hours_between("outtime", F.lead("intime").over(w))
+        src = keyed
+    linked = src.select(ID_COL, F.coalesce((gap >= 0) & (gap <= gap_hours), F.lit(False)).cast("int")
+                        .alias("readmit_72h"))
     unkeyed = base.where(F.col(HADM_COL).isNull()).select(ID_COL, F.lit(0).alias("readmit_72h"))
     return linked.unionByName(unkeyed).withColumn(TASK2_COL, 1 - F.col("readmit_72h"))
 
