@@ -93,8 +93,8 @@ def median_table(train: DataFrame, columns) -> DataFrame:
     """Exact per-column median of the training rows (mean of the two middle
     values), computed with distributed ranks rather than a per-column value
     map in one task."""
-    return exact_quantiles(long_values(train, columns), "value", [0.5], keys=["column"]).select(
-        "column", F.col("value").alias("median"))
+    return exact_quantiles(long_values(train, columns), "value", [0.5], keys=["column"],
+                           materialize=True).select("column", F.col("value").alias("median"))
 
 
 def fit_median(train: DataFrame, columns, keep_empty: bool = False) -> ImputeParams:
