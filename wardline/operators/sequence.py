@@ -21,8 +21,8 @@ def next_in_group(df: DataFrame, group: str, order, value: str, out: str = "next
     ``order`` (a list of column names; NULLs sort last, then the next column
     breaks ties).  ``group`` must be non-NULL."""
     spark = df.sparkSession
-    n = n_parts or max(spark.sparkContext.defaultParallelism,
-                       int(spark.conf.get("spark.sql.shuffle.partitions", "200")))
+    # one chunk per core: enough to spread a hot group over the whole cluster
+    n = n_parts or spark.sparkContext.defaultParallelism
     # total order without NULL ambiguity: (g, o1 is null, o1, o2 is null, o2, ...)
     keys = [F.col(group)]
     for c in order:
