@@ -123,12 +123,16 @@ class ScaleParams:
 
 def fit_standard(train: DataFrame, columns) -> ScaleParams:
     """Train mean and population standard deviation; a zero deviation
-    divides by 1 (A5)."""
+    divides by 1 (A5).  Long format: two aggregates grouped by column name,
+    so hundreds of columns do not become hundreds of generated aggregates,
+    and the shuffle carries one partial row per column and partition."""
     cols = list(columns)
-    row = train.agg(*[F.avg(c).alias(f"m_{i}") for i, c in enumerate(cols)],
-                    *[F.stddev_pop(c).alias(f"s_{i}") for i, c in enumerate(cols)]).first()
-    mean = {c: row[f"m_{i}"] for i, c in enumerate(cols)}
-    scale = {c: (row[f"s_{i}"] if row[f"s_{i}"] not in (None, 0.0) else 1.0) for i, c in enumerate(cols)}
+    if not cols:
+        return ScaleParams()
+    got = {r["column"]: (r["m"], r["s"]) for r in long_values(train, cols).groupBy("column").agg(
+        F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()}
+    mean = {c: got.get(c, (None, None))[0] for c in cols}
+    scale = {c: (got[c][1] if c in got and got[c][1] not in (None, 0.0) else 1.0) for c in cols}
     return ScaleParams(mean, scale)
 
 
@@ -183,9 +187,12 @@ def fit_corr_drop(train: DataFrame, columns, threshold: float = CORR_DROP) -> li
 # ---- A8 / X5: top-variance interactions ----------------------------------------------
 
 def variance_table(train: DataFrame, columns) -> DataFrame:
-    """Sample variance per column, long format."""
+    """Sample variance per column, long format (A8); a column without values
+    has a NULL variance."""
     cols = list(columns)
-    return train.agg(*[F.var_samp(c).alias(c) for c in cols]).unpivot([], cols, "column", "variance")
+    got = long_values(train, cols).groupBy("column").agg(F.var_samp("value").alias("variance"))
+    names = train.sparkSession.createDataFrame([(c,) for c in cols], "column string")
+    return names.join(got, "column", "left")
 
 
 def top_variance(train: DataFrame, columns, k: int = 12, exclude=("landmark_hour", "landmark_hour_sq")) -> list[str]:
