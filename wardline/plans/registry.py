@@ -462,10 +462,22 @@ def q_gbt(spark, d):
     return RN.run_gbt(m, rounds=GBT_ROUNDS).predictions
 
 
+_LOSS_TABLES: dict = {}
+
+
 def _gbt_curve(spark, d):
-    m = MX.base_matrices(_master_split(spark, d), scale_for_linear=False)
-    model = MD.fit_two_head(m.split("train"), m.features, "gbt", {"rounds": GBT_ROUNDS})
-    return MD.gbt_loss_table(model, m.split("train"), m.split("val"), GBT_ROUNDS)
+    """Per-round losses of the boosted heads on the trailing matrices; the
+    table (one row per round) is kept per session so the curve queries do
+    not retrain the same model."""
+    import os
+    key = (spark.sparkContext.applicationId, os.path.abspath(d))
+    if key not in _LOSS_TABLES:
+        m = MX.base_matrices(_master_split(spark, d), scale_for_linear=False)
+        model = MD.fit_two_head(m.split("train"), m.features, "gbt", {"rounds": GBT_ROUNDS})
+        lt = MD.gbt_loss_table(model, m.split("train"), m.split("val"), GBT_ROUNDS)
+        _LOSS_TABLES[key] = (lt.schema, [tuple(r) for r in lt.collect()])
+    schema, rows = _LOSS_TABLES[key]
+    return spark.createDataFrame(rows, schema)
 
 
 @query("lambda_curve")
@@ -494,8 +506,7 @@ def q_early_stop(spark, d):
 def q_attribution(spark, d):
     m = MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
     run = RN.run_logistic(m)
-    train = m.split("train")
-    means = train.agg(*[F.avg(c).alias(c) for c in m.features]).first().asDict()
+    means = FT.fit_standard(m.split("train"), m.features).mean
     sample = MD.seeded_sample(m.split("test").withColumn("t_hour", F.col("t_end").cast("bigint")), 2000,
                               ["stay_id", "t_hour"])
     return MD.linear_attribution(run.model.head1, sample, means)
