@@ -4,16 +4,36 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import simhash
+from wardline.llm import langid, packing, simhash, toxicity
 from wardline.llm.tables import read
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.classify(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(read(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
 
 
+def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_toxicity": op1_toxicity,
+    "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op5_langid": op5_langid,
 }
 
 ORACLES: dict[str, str] = {}

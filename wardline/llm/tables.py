@@ -67,6 +67,18 @@ def id_crc(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
+def broadcast_object(spark: SparkSession, value):
+    """Broadcast an object of this package (bounded by its own parameters);
+    tasks read it with :func:`unpacked`."""
+    from pyspark import cloudpickle
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def unpacked(shared):
+    import pickle
+    return pickle.loads(shared.value)
+
+
 def pylist_batches(batch: pa.RecordBatch, size_col: str, budget: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a record batch so that the strings of ``size_col`` in each slice
     hold at most ``budget`` bytes (a longer single text is a slice of its own)."""
