@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from wardline.llm import langid, packing, simhash, toxicity
+from wardline.llm import langid, oracles, packing, pii, simhash, toxicity, warc
 from wardline.llm.tables import read
 
 
@@ -29,11 +29,24 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, sf_dir)
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.digest(read(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op5_langid": op5_langid,
+    "op7_warc": op7_warc,
+    "op8_pii": op8_pii,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op7_warc": oracles.warc_sql(),
+    "op8_pii": oracles.pii_sql(),
+}

@@ -44,15 +44,16 @@ def filesystem(path: str):
     """(file system, path in it) of a shared path, for files that Spark's
     writers do not make."""
     from pyarrow import fs
-    return fs.FileSystem.from_uri(path if "://" in path or path.startswith("file:") else f"file://{path}")
+    if path.startswith("file:"):
+        path = "/" + path[5:].lstrip("/")
+    return fs.FileSystem.from_uri(path if "://" in path else f"file://{path}")
 
 
 @atexit.register
 def _remove_made() -> None:
     for path in _MADE:
         try:
-            system, inside = filesystem(path.replace("file:/", "file:///", 1) if path.startswith("file:/")
-                                        and not path.startswith("file:///") else path)
+            system, inside = filesystem(path)
             system.delete_dir(inside)
         except (OSError, ValueError, pa.ArrowException):
             continue
