@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from wardline.llm import langid, oracles, packing, pii, simhash, toxicity, warc
+from wardline.llm import langid, oracles, packing, pii, simhash, toxicity, vptree, warc
 from wardline.llm.tables import read
 
 
@@ -29,6 +30,10 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
 
+def op6_vptree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vptree.nearest(read(spark, sf_dir, "embeddings"), F.col("id") % 50 == 0, k=5, factor=1.0)
+
+
 def op7_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(spark, sf_dir)
 
@@ -42,11 +47,13 @@ QUERIES = {
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
     "op5_langid": op5_langid,
+    "op6_vptree": op6_vptree,
     "op7_warc": op7_warc,
     "op8_pii": op8_pii,
 }
 
 ORACLES: dict[str, str] = {
+    "op6_vptree": oracles.nearest_sql(5, 50),
     "op7_warc": oracles.warc_sql(),
     "op8_pii": oracles.pii_sql(),
 }
