@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import langid, oracles, packing, pii, simhash, toxicity, vptree, warc
+from wardline.llm import htmltext, langid, oracles, packing, pii, simhash, toxicity, vptree, warc
 from wardline.llm.tables import read
 
 
@@ -26,6 +26,10 @@ def op3_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(read(spark, sf_dir, "documents"), words=4, radius=4)
 
 
+def op4_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return htmltext.main_text(read(spark, sf_dir, "pages"))
+
+
 def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identify(read(spark, sf_dir, "documents"))
 
@@ -46,6 +50,7 @@ QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
     "op3_simhash": op3_simhash,
+    "op4_html": op4_html,
     "op5_langid": op5_langid,
     "op6_vptree": op6_vptree,
     "op7_warc": op7_warc,

@@ -80,6 +80,17 @@ def unpacked(shared):
     return pickle.loads(shared.value)
 
 
+def worker_state(key: str, make):
+    """``make()``, once per Python worker process: later tasks of the worker
+    find it again.  For caches only; a fresh worker starts empty."""
+    import sys
+    import types
+    held = sys.modules.setdefault("_wardline_worker_state", types.ModuleType("_wardline_worker_state"))
+    if not hasattr(held, key):
+        setattr(held, key, make())
+    return getattr(held, key)
+
+
 def pylist_batches(batch: pa.RecordBatch, size_col: str, budget: int = 4_000_000) -> Iterator[pa.RecordBatch]:
     """Cut a record batch so that the strings of ``size_col`` in each slice
     hold at most ``budget`` bytes (a longer single text is a slice of its own)."""
