@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from wardline.llm.tables import fresh
+
 KEEP = 0.6
 BEFORE, AFTER = 40, 20
 BASE = ("email", "ip", "card", "phone")
@@ -160,10 +162,8 @@ def digest(docs: DataFrame) -> DataFrame:
                         _joined(every).alias("spans"), scores.alias("scores"))
 
 
-def _replaced(kind: str) -> Column:
-    """The text ``pii_text`` with its kept matches ``pii_m`` replaced; what
-    lies between them is ``pii_p``."""
-    matches, pieces = F.col("pii_m"), F.col("pii_p")
+def _replaced(kind: str, text: Column, matches: Column, pieces: Column) -> Column:
+    """``text`` with its kept matches replaced; ``pieces`` lie between them."""
 
     def shown(m, i):
         ok = valid(kind, m)
@@ -172,7 +172,7 @@ def _replaced(kind: str) -> Column:
             ok = ok & (score(kind, before, after) >= KEEP)
         return F.concat(F.when(ok, F.lit(_PLACEHOLDER[kind])).otherwise(m), F.get(pieces, i + 1))
     rebuilt = F.concat(F.get(pieces, F.lit(0)), F.array_join(F.transform(matches, shown), ""))
-    return F.when(F.size(matches) > 0, rebuilt).otherwise(F.col("pii_text"))
+    return F.when(F.size(matches) > 0, rebuilt).otherwise(text)
 
 
 def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
@@ -183,10 +183,11 @@ def redact(docs: DataFrame, text_col: str = "text") -> DataFrame:
     before it left.  Null texts stay null; all other columns stay as they are.
     """
     out, kept = docs, [F.col(f"`{c}`") for c in docs.columns if c != text_col]
+    names = [fresh(docs.columns, x) for x in ("pii_text", "pii_m", "pii_p")]
     for kind in ("email", "iban", "ssn", "card", "phone", "ip"):
         matches, pieces = _parts(F.col(text_col), kind)
-        out = out.select(*kept, F.col(text_col).alias("pii_text"), matches.alias("pii_m"), pieces.alias("pii_p")) \
-            .select(*kept, _replaced(kind).alias(text_col))
+        out = out.select(*kept, F.col(text_col).alias(names[0]), matches.alias(names[1]), pieces.alias(names[2])) \
+            .select(*kept, _replaced(kind, *map(F.col, names)).alias(text_col))
     if "n_chars" in docs.columns:
         changed = F.length(text_col).cast(dict(docs.dtypes)["n_chars"])
         out = out.withColumn("n_chars", F.when(F.col(text_col).isNull(), F.col("n_chars")).otherwise(changed))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import htmltext, langid, oracles, packing, pii, simhash, toxicity, vptree, warc
+from wardline.llm import decontaminate, htmltext, langid, lmscore, oracles, packing, pii, simhash, toxicity, vptree, warc
 from wardline.llm.tables import read
 
 
@@ -46,6 +46,14 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.digest(read(spark, sf_dir, "documents"))
 
 
+def op9_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_against(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_toxicity": op1_toxicity,
     "op2_packing": op2_packing,
@@ -55,6 +63,8 @@ QUERIES = {
     "op6_vptree": op6_vptree,
     "op7_warc": op7_warc,
     "op8_pii": op8_pii,
+    "op9_lmscore": op9_lmscore,
+    "op10_decontaminate": op10_decontaminate,
 }
 
 ORACLES: dict[str, str] = {

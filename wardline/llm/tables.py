@@ -68,6 +68,14 @@ def id_crc(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
+def fresh(columns: list[str], name: str) -> str:
+    """``name``, with underscores added until no column is called that."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def broadcast_object(spark: SparkSession, value):
     """Broadcast an object of this package (bounded by its own parameters);
     tasks read it with :func:`unpacked`."""

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, id_crc, pylist_batches, unpacked
+from wardline.llm.tables import broadcast_object, fresh, id_crc, pylist_batches, unpacked
 
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 24
@@ -322,10 +322,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, positives: int = 3000, n
     return rows["text"].tolist(), rows["y"].to_numpy(np.int64)
 
 
-def scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """id, ``score`` and ``predicted`` (1 if the score is at least 0.7) of
-    every row, from its whole text alone."""
-    shared = broadcast_object(docs.sparkSession, model)
+def _scored(docs: DataFrame, model: ToxicityModel, name: str) -> DataFrame:
+    """The rows of ``docs`` with the score of their ``text`` in a last column
+    ``name``."""
+    from pyspark.sql import types as T
+    shared, at = broadcast_object(docs.sparkSession, model), docs.columns.index("text")
 
     def run(batches):
         scorer = TextScorer(unpacked(shared))
@@ -334,13 +335,27 @@ def scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_c
                 if scorer.model.constant is not None:
                     values = np.full(part.num_rows, scorer.model.constant)
                 else:
-                    values = scorer.model.score(*scorer.logits(part.column(1).to_pylist()))
+                    values = scorer.model.score(*scorer.logits(part.column(at).to_pylist()))
                 yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(values.astype(float)), pa.array((values >= CUT).astype(np.int32))],
-                    ["doc_id", "score", "predicted"])
+                    [*part.columns, pa.array(values.astype(float))], [*part.schema.names, name])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField(name, T.DoubleType())])
+    return docs.mapInArrow(run, schema)
+
+
+def scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """id, ``score`` and ``predicted`` (1 if the score is at least 0.7) of
+    every row, from its whole text alone."""
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    return _scored(rows, model, "score").select("doc_id", "score", (F.col("score") >= CUT).cast("int").alias("predicted"))
+
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, score double, predicted int")
+def accepted(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:
+    """``docs`` without the rows predicted toxic, by a model learnt from
+    ``labels``; the rows are scored in passing, nothing is joined back."""
+    name = fresh(docs.columns, "score")
+    rows = _scored(docs, train(*training_sample(docs, labels, **sample)), name)
+    return rows.where(F.col(f"`{name}`") < CUT).select([F.col(f"`{c}`") for c in docs.columns])
 
 
 def classify(docs: DataFrame, labels: DataFrame, **sample) -> DataFrame:
