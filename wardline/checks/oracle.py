@@ -26,13 +26,11 @@ FIXTURES = f"""
 stays AS (
   WITH e AS (SELECT user_id, event_type, ts,
                     date_diff('microsecond', TIMESTAMP '2024-01-01 00:00:00', ts) / 1e6 AS sec FROM events),
-  b AS (SELECT *, CAST(floor(sec / 518400.0) AS BIGINT) AS blk FROM e),
-  k AS (SELECT * FROM b WHERE (user_id + blk) % 3 <> 0
-          AND NOT (user_id % 5 = 4 AND sec - blk * 518400 >= 108000)),
+  b AS (SELECT *, CAST(floor(sec / CASE WHEN user_id % 5 = 4 THEN 108000.0 ELSE 518400.0 END) AS BIGINT) AS blk FROM e),
   g AS (SELECT user_id, blk, min(ts) AS intime, max(ts) AS outtime, max_by(event_type, ts) AS last_type
-        FROM k GROUP BY user_id, blk)
+        FROM b GROUP BY user_id, blk)
   SELECT user_id * 100 + blk AS stay_id, user_id AS subject_id,
-         CASE WHEN user_id % 25 = 7 THEN NULL ELSE user_id END AS hadm_id,
+         CASE WHEN user_id % 25 = 7 THEN NULL ELSE user_id * 100 + blk // 2 END AS hadm_id,
          intime, outtime,
          CASE WHEN last_type = 'error' THEN outtime
               WHEN last_type = 'signup' THEN outtime + INTERVAL '10' HOUR END AS deathtime,
@@ -49,13 +47,17 @@ vitals AS (
   FROM stays s JOIN events e ON e.user_id = s.subject_id
    AND e.ts >= s.intime - INTERVAL '12' HOUR AND e.ts <= s.outtime + INTERVAL '12' HOUR),
 notes AS (
-  SELECT s.stay_id, n.doc_id AS note_row, n.note_time AS radiology_note_time_max, n.txt AS radiology_note_text
+  SELECT s.stay_id, n.doc_id AS note_row,
+         s.intime + to_hours(CAST(n.doc_id * 37 % (CAST(floor(s.icu_los_hours) AS BIGINT) + 7) - 6 AS BIGINT))
+           AS radiology_note_time_max, n.txt AS radiology_note_text
   FROM (SELECT doc_id, doc_id % (SELECT count(DISTINCT user_id) FROM events) AS uid,
-               TIMESTAMP '2024-01-01 00:00:00' + to_hours(CAST(doc_id * 37 % 720 AS BIGINT)) AS note_time,
+               doc_id // (SELECT count(DISTINCT user_id) FROM events) AS turn,
                concat(text, chr(10), '-----', chr(10), 'Impression ', source, chr(10),
                       'Electronically signed by x', chr(10), '---', chr(10), '  ') AS txt
         FROM documents) n
-  JOIN stays s ON s.subject_id = n.uid AND n.note_time >= s.intime - INTERVAL '6' HOUR AND n.note_time <= s.outtime),
+  JOIN (SELECT *, row_number() OVER (PARTITION BY subject_id ORDER BY stay_id) - 1 AS ord,
+               count(*) OVER (PARTITION BY subject_id) AS n_stays FROM stays) s
+    ON s.subject_id = n.uid AND n.turn % s.n_stays = s.ord),
 predictions AS (
   SELECT d.doc_id AS row_id, d.lang AS first_careunit, l.quality AS y1_true,
          least(CAST(1 AS DOUBLE), floor(CAST(d.n_chars AS DOUBLE) / 4) / 1000) AS y1_prob,
@@ -261,8 +263,9 @@ QUERIES: dict[str, str] = {
 
 
 def with_fixtures(sql: str) -> str:
-    if sql.startswith("WITH "):
-        return f"WITH {FIXTURES},\n{sql[5:]}"
+    for start in ("WITH RECURSIVE ", "WITH "):
+        if sql.startswith(start):
+            return f"{start}{FIXTURES},\n{sql[len(start):]}"
     return f"WITH {FIXTURES}\n{sql}"
 
 
@@ -408,11 +411,11 @@ def _terms_sql(tok: str) -> str:
 
 
 QUERIES.update({
-    "tfidf": f"""WITH tk AS (SELECT doc_id, {_TOK.format(t='text')} AS tok FROM documents),
-        dt AS (SELECT doc_id, unnest({_terms_sql('tok')}) AS term FROM tk),
-        ndoc AS (SELECT count(*) AS n FROM documents),
-        pd AS (SELECT doc_id, term, count(*) AS tf FROM dt GROUP BY doc_id, term),
-        pt AS (SELECT term, count(*) AS df, sum(tf) AS tf FROM pd GROUP BY term),
+    "tfidf": f"""WITH tk AS (SELECT doc_id, {_TOK.format(t='text')} AS tok, {_split_expr('doc_id')} AS split FROM documents),
+        dt AS (SELECT doc_id, split, unnest({_terms_sql('tok')}) AS term FROM tk),
+        ndoc AS (SELECT count(*) AS n FROM tk WHERE split = 'train'),
+        pd AS (SELECT doc_id, split, term, count(*) AS tf FROM dt GROUP BY ALL),
+        pt AS (SELECT term, count(*) AS df, sum(tf) AS tf FROM pd WHERE split = 'train' GROUP BY term),
         voc AS (SELECT term, ln((1 + n) / (1 + df)) + 1 AS idf FROM pt, ndoc WHERE df >= 5
                 ORDER BY tf DESC, term LIMIT 300),
         raw AS (SELECT pd.doc_id, pd.term, pd.tf * voc.idf AS w FROM pd JOIN voc USING (term))
@@ -420,8 +423,7 @@ QUERIES.update({
     "vocab_encode": f"""WITH tok AS (SELECT doc_id, {_TOK.format(t='text')} AS t, {_split_expr('doc_id')} AS split
                              FROM documents),
         voc AS (SELECT w, CAST(row_number() OVER (ORDER BY c DESC, w) + 1 AS INTEGER) AS id
-                FROM (SELECT unnest(t) AS w, count(*) AS c FROM tok WHERE split = 'train' GROUP BY 1)
-                QUALIFY id <= 30001),
+                FROM (SELECT unnest(t) AS w, count(*) AS c FROM tok WHERE split = 'train' GROUP BY 1)),
         ex AS (SELECT doc_id, unnest(t[1:128]) AS w, unnest(range(0, len(t[1:128]))) AS pos FROM tok),
         enc AS (SELECT ex.doc_id, list(coalesce(voc.id, 1) ORDER BY ex.pos) AS ids
                 FROM ex LEFT JOIN voc USING (w) GROUP BY ex.doc_id)
@@ -448,7 +450,8 @@ QUERIES.update({
 
 
 def _softmax_sql(b: int) -> tuple[str, str]:
-    n, d, m = (f"CAST(embedding[{3 * b + k + 1}] AS DOUBLE)" for k in range(3))
+    n, d, m = (f"(8 * list_avg(list_filter(embedding, lambda x, i: (i - 1) % 9 = {3 * b + k})::DOUBLE[]))"
+               for k in range(3))
     mx = f"greatest({n}, {d}, {m})"
     den = f"(exp({n} - {mx}) + exp({d} - {mx}) + exp({m} - {mx}))"
     return f"exp({d} - {mx}) / {den}", f"exp({m} - {mx}) / {den}"
@@ -551,3 +554,78 @@ QUERIES["interactions"] = (
     "SELECT i.stay_id, i.t_end, i.feature || '_x_landmark' AS feature, round(i.v * lh.v, 6) AS value "
     "FROM imp i JOIN top USING (feature) "
     "JOIN imp lh ON lh.stay_id = i.stay_id AND lh.t_end = i.t_end AND lh.feature = 'landmark_hour'")
+
+
+# ---- loss curves: the recursions written as recursive CTEs ---------------------------
+
+def _loss_ctes() -> str:
+    clip = lambda p: f"least(greatest(CAST({p} AS DOUBLE), 1e-6), 1 - 1e-6)"
+    loss = lambda y, p: f"CASE WHEN {y} THEN -ln({clip(p)}) ELSE -ln(1 - {clip(p)}) END"
+    return f"""lrow AS (
+  SELECT CAST(l_orderkey % 100 + 1 AS INTEGER) AS epoch, l_suppkey % 5 <> 0 AS train,
+         l_linenumber <= (l_orderkey % 100 + 1) % 3 AS valid,
+         {loss("l_returnflag = 'R'", "l_discount * 10")} AS l1, {loss("l_linestatus = 'O'", "l_tax * 10")} AS l2
+  FROM lineitem),
+lt AS (
+  SELECT epoch, avg(l1) FILTER (WHERE train) AS train_loss_task1,
+         avg(l2) FILTER (WHERE train AND valid) AS train_loss_task2_masked,
+         avg(l1) FILTER (WHERE NOT train) AS val_loss_task1,
+         avg(l2) FILTER (WHERE NOT train AND valid) AS val_loss_task2_masked,
+         count(*) FILTER (WHERE train AND valid) AS train_task2_valid_count
+  FROM lrow GROUP BY epoch),
+lo AS (SELECT *, row_number() OVER (ORDER BY epoch) AS rn FROM lt)"""
+
+
+def _lambda_ctes(gated: bool) -> str:
+    def step(prev: str) -> str:
+        ratio = ("lo.train_loss_task1 / greatest(lo.train_loss_task2_masked, 1e-8)" if gated
+                 else "lo.train_loss_task1 / (lo.train_loss_task2_masked + 1e-8)")
+        gate = " AND lo.train_task2_valid_count >= 64" if gated else ""
+        return (f"CASE WHEN coalesce(lo.train_loss_task2_masked > 0, false){gate} "
+                f"THEN least(greatest(0.9 * {prev} + 0.1 * ({ratio}), 0.1), 10.0) ELSE {prev} END")
+    return f"""{_loss_ctes()},
+lam AS (
+  SELECT rn, CAST({step('1.0')} AS DOUBLE) AS lw FROM lo WHERE rn = 1
+  UNION ALL SELECT lo.rn, {step('lam.lw')} FROM lam JOIN lo ON lo.rn = lam.rn + 1),
+curve AS (
+  SELECT epoch, train_loss_task1, train_loss_task2_masked, val_loss_task1, val_loss_task2_masked,
+         train_task2_valid_count, lw,
+         train_loss_task1 + coalesce(lw * train_loss_task2_masked, 0) AS train_loss_total,
+         val_loss_task1 + coalesce(lw * val_loss_task2_masked, 0) AS val_loss_total, lo.rn AS rn
+  FROM lo JOIN lam ON lam.rn = lo.rn)"""
+
+
+def _stop_ctes(name: str, col: str, patience: int = 5) -> str:
+    better = f"coalesce(c.{col} + 1e-8 < s.best, false)"
+    return f"""{name} AS (
+  SELECT CAST(0 AS BIGINT) AS rn, CAST('inf' AS DOUBLE) AS best, CAST(NULL AS INTEGER) AS be, 0 AS nimp,
+         CAST(NULL AS INTEGER) AS stop
+  UNION ALL
+  SELECT c.rn, CASE WHEN {better} THEN c.{col} ELSE s.best END, CASE WHEN {better} THEN c.epoch ELSE s.be END,
+         CASE WHEN {better} THEN 0 ELSE s.nimp + 1 END,
+         CASE WHEN NOT {better} AND s.nimp + 1 >= {patience} THEN c.epoch END
+  FROM {name} s JOIN curve c ON c.rn = s.rn + 1 WHERE s.stop IS NULL),
+{name}_end AS (SELECT be AS best_epoch, best, coalesce(stop, (SELECT max(epoch) FROM curve)) AS stopped_epoch
+  FROM {name} ORDER BY rn DESC LIMIT 1)"""
+
+
+_CURVE = ("epoch, " + ", ".join(f"round({c}, 6) AS {c}" for c in (
+    "train_loss_task1", "train_loss_task2_masked", "val_loss_task1", "val_loss_task2_masked")))
+_CURVE_END = ", round(lw, 6) AS \"lambda\", round(train_loss_total, 6) AS train_loss_total, " \
+             "round(val_loss_total, 6) AS val_loss_total FROM curve"
+
+QUERIES.update({
+    "loss_table": f"WITH {_loss_ctes()} SELECT {_CURVE}, train_task2_valid_count FROM lt",
+    "lambda_curve": f"WITH RECURSIVE {_lambda_ctes(False)} SELECT {_CURVE}{_CURVE_END}",
+    "lambda_curve_gated": f"WITH RECURSIVE {_lambda_ctes(True)} SELECT {_CURVE}, train_task2_valid_count{_CURVE_END}",
+    "best_round": f"WITH RECURSIVE {_lambda_ctes(False)} SELECT epoch AS best_round, round(lw, 6) AS best_lambda, "
+                  "round(val_loss_total, 6) AS best_val_total_loss FROM curve ORDER BY val_loss_total, epoch LIMIT 1",
+    "early_stop": f"WITH RECURSIVE {_lambda_ctes(False)}, {_stop_ctes('st', 'val_loss_total')} "
+                  "SELECT best_epoch, round(best, 6) AS best_val_total_loss, stopped_epoch FROM st_end",
+    "two_monitors": f"WITH RECURSIVE {_lambda_ctes(False)}, {_stop_ctes('sa', 'val_loss_total')}, "
+                    f"{_stop_ctes('sb', 'val_loss_task2_masked')}, u AS ("
+                    "SELECT 'val_loss_total' AS monitor, * FROM sa_end UNION ALL "
+                    "SELECT 'val_loss_task2_masked' AS monitor, * FROM sb_end) "
+                    "SELECT monitor, best_epoch, round(best, 6) AS best_loss, stopped_epoch, "
+                    "(SELECT max(stopped_epoch) FROM u) AS training_stopped FROM u",
+})

@@ -47,13 +47,15 @@ def landmark_spine(hourly: DataFrame, first: int = FIRST_LANDMARK, step: int = S
 
 
 def trailing_features(hourly: DataFrame, variables, window: int = WINDOW_HOURS,
-                      step: int = STEP_HOURS, first: int = FIRST_LANDMARK) -> DataFrame:
+                      step: int = STEP_HOURS, first: int | None = None) -> DataFrame:
     """Mean, min, max and ``is_measured`` of each variable over the hours
-    ``t_end-window+1 .. t_end`` (W2).
+    ``t_end-window+1 .. t_end`` (W2).  The first landmark is the first full
+    window, unless ``first`` says otherwise.
 
     A landmark exists when the stay reaches ``t_end`` and at least one hourly
     row (measured or not) lies in its window.
     """
+    first = window if first is None else first
     by_stay = Window.partitionBy(ID_COL)
     h = hourly.withColumn("_max_hour", F.max("hour").over(by_stay))
     lo = _first_landmark_at_or_after(F.col("hour"), first, step)

@@ -34,7 +34,7 @@ def note_segments(text_df: DataFrame, static: DataFrame, row_key: str | None = "
     """
     if TEXT_COL not in text_df.columns:
         raise ValueError(f"text table needs column {TEXT_COL!r}")
-    t = spread(attach_intime(text_df, static))
+    t = attach_intime(spread(text_df), static)
     tcol = note_time_column(t.columns)
     if tcol is None:
         rt = F.lit(None).cast("double")

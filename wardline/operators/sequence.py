@@ -21,8 +21,7 @@ def next_in_group(df: DataFrame, group: str, order, value: str, out: str = "next
     ``order`` (a list of column names; NULLs sort last, then the next column
     breaks ties).  ``group`` must be non-NULL."""
     spark = df.sparkSession
-    # one chunk per core: enough to spread a hot group over the whole cluster
-    n = n_parts or spark.sparkContext.defaultParallelism
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
     # total order without NULL ambiguity: (g, o1 is null, o1, o2 is null, o2, ...)
     keys = [F.col(group)]
     for c in order:
@@ -40,3 +39,21 @@ def next_in_group(df: DataFrame, group: str, order, value: str, out: str = "next
     j = r.join(F.broadcast(nxt), "_pid", "left")
     fill = F.when(F.col("_last") & (F.col("_nh.g") == F.col(group)), F.col("_nh.v"))
     return j.withColumn(out, F.coalesce(F.col(out), fill)).drop("_pid", "_last", "_nh")
+
+
+def ranked(df: DataFrame, order, out: str = "rank", n_parts: int | None = None) -> DataFrame:
+    """Add ``out``: the row's place (from 1) in the total order of ``order``
+    (columns, ``desc`` allowed), without a global window.
+
+    Rows are range-partitioned and written once, so that the partition ids
+    hold; each partition is numbered on its own and starts after the rows of
+    the partitions before it (a table with one row per partition)."""
+    spark = df.sparkSession
+    n = n_parts or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    r = cut_lineage(df.repartitionByRange(n, *order).withColumn("_pid", F.spark_partition_id()), "rank-chunks")
+    sizes = r.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("_pid", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start"))
+    own = F.row_number().over(Window.partitionBy("_pid").orderBy(*order))
+    return r.withColumn(out, own).join(F.broadcast(starts), "_pid") \
+        .withColumn(out, F.col(out) + F.col("_start")).drop("_pid", "_start")

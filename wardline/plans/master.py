@@ -68,8 +68,10 @@ def master_cumulative(inp: CohortInputs, debug_max_stays: int = 0, first: int =
 
 
 def landmark_table(inp: CohortInputs, debug_max_stays: int = 0, bounds=labels.INTERVAL_BOUNDS,
-                   bin_size: int = 24) -> DataFrame:
-    """Pooled competing-risk landmark table (L8) on the cumulative master.
-    The event table is built from the full static table, as in the source."""
-    master = master_cumulative(inp, debug_max_stays)
+                   bin_size: int = 24, first: int = landmarks.FIRST_LANDMARK,
+                   step: int = landmarks.STEP_HOURS) -> DataFrame:
+    """Pooled competing-risk landmark table (L8) on the cumulative master,
+    with landmarks from hour ``first`` in steps of ``step``.  The event table
+    is built from the full static table, as in the source."""
+    master = master_cumulative(inp, debug_max_stays, first, step)
     return labels.landmark_labels(master, labels.event_table(inp.static), bounds, bin_size)

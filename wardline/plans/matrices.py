@@ -69,13 +69,9 @@ def base_matrices(master: DataFrame, scale_for_linear: bool, tfidf_max_features:
     train = df.where("split = 'train'")
     tfidf_names = []
     if "final_text" in df.columns and train.where(F.length(F.coalesce("final_text", F.lit(""))) > 0).limit(1).count():
-        keyed = df.select(ID_COL, "t_end", "final_text")
-        model = TX.fit_tfidf(train.select(ID_COL, "t_end", "final_text"), [ID_COL, "t_end"], "final_text",
-                             max_features=tfidf_max_features)
-        if model.vocabulary:
-            wide = TX.tfidf_wide(keyed, [ID_COL, "t_end"], "final_text", model)
-            df = df.join(wide.drop("final_text"), [ID_COL, "t_end"], "left")
-            tfidf_names = [f"tfidf_{t}" for t in model.vocabulary]
+        model = TX.fit_tfidf(train, "final_text", max_features=tfidf_max_features)
+        df = TX.tfidf_wide(df, "final_text", model)
+        tfidf_names = [f"tfidf_{t}" for t in model.vocabulary]
     feats = FT.feature_columns(df, exclude=BASE_EXCLUDE + ("split",))
     return _finish(df, feats, scale_for_linear, {"cols_to_drop_missing": drop, "tfidf_feature_names": tfidf_names},
                    checkpoint)
@@ -180,7 +176,7 @@ def tensor_dataset(master: DataFrame, static: DataFrame, hourly_floor: DataFrame
     out = (base.join(tens, [ID_COL, "t_end"], "left").join(sdf, [ID_COL, "t_end"], "left")
            .join(enc.drop("n_tokens"), [ID_COL, "t_end"], "left"))
     return out, {"time_mean": norm.mean, "time_std": norm.std, "static_medians": imp.medians,
-                 "static_scaler": scaler, "vocab_size": len(vocab.ids)}
+                 "static_scaler": scaler, "vocabulary": vocab}
 
 
 def landmark_interactions(table: DataFrame, max_interactions: int = 12, checkpoint: bool = True) -> DataFrame:

@@ -347,8 +347,10 @@ from ..sources.tables import read_table  # noqa: E402
 
 @query("tfidf")
 def q_tfidf(spark, d):
-    docs = read_table(spark, d, "documents").select("doc_id", "text")
-    return rounded(TX.tfidf_counts_model(docs, "doc_id", "text")[0])
+    """Fitted on the training documents, all documents weighted."""
+    docs = FT.group_split(read_table(spark, d, "documents").select("doc_id", "text"), group="doc_id")
+    model = TX.fit_tfidf(docs.where("split = 'train'"), "text")
+    return rounded(TX.tfidf_long(docs, "doc_id", "text", model))
 
 
 @query("vocab_encode")
@@ -402,9 +404,6 @@ from ..operators import survival as SV  # noqa: E402
 from . import matrices as MX  # noqa: E402
 from . import runs as RN  # noqa: E402
 
-GBT_ROUNDS = 20   # per-query training budget (the library default is 300)
-
-
 def _master_split(spark, d):
     return FT.group_split(M.master_trailing(cohort_inputs(spark, d)))
 
@@ -459,47 +458,40 @@ def q_logistic(spark, d):
 @query("gbt_two_head")
 def q_gbt(spark, d):
     m = MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False))))
-    return RN.run_gbt(m, rounds=GBT_ROUNDS).predictions
-
+    return RN.run_gbt(m).predictions
 
-_LOSS_TABLES: dict = {}
 
-
-def _gbt_curve(spark, d):
-    """Per-round losses of the boosted heads on the trailing matrices; the
-    table (one row per round) is kept per session so the curve queries do
-    not retrain the same model."""
-    import os
-    key = (spark.sparkContext.applicationId, os.path.abspath(d))
-    if key not in _LOSS_TABLES:
-        m = MX.base_matrices(_master_split(spark, d), scale_for_linear=False)
-        model = MD.fit_two_head(m.split("train"), m.features, "gbt", {"rounds": GBT_ROUNDS})
-        lt = MD.gbt_loss_table(model, m.split("train"), m.split("val"), GBT_ROUNDS)
-        _LOSS_TABLES[key] = (lt.schema, [tuple(r) for r in lt.collect()])
-    schema, rows = _LOSS_TABLES[key]
-    return spark.createDataFrame(rows, schema)
+@query("loss_table")
+def q_loss_table(spark, d):
+    return rounded(fixtures.loss_table(spark, d))
 
 
 @query("lambda_curve")
 def q_lambda_curve(spark, d):
-    return CV.lambda_curve(_gbt_curve(spark, d))
+    return rounded(CV.lambda_curve(fixtures.loss_table(spark, d)))
 
 
 @query("lambda_curve_gated")
 def q_lambda_curve_gated(spark, d):
     """Update only with at least 64 valid task-2 rows, ratio L1/max(L2, eps)."""
-    return CV.lambda_curve(_gbt_curve(spark, d), min_valid=64, valid_count_col="train_task2_valid_count",
-                           ratio_mode="max_eps")
+    return rounded(CV.lambda_curve(fixtures.loss_table(spark, d), min_valid=64,
+                                   valid_count_col="train_task2_valid_count", ratio_mode="max_eps"))
 
 
 @query("best_round")
 def q_best_round(spark, d):
-    return CV.best_round(CV.lambda_curve(_gbt_curve(spark, d)))
+    return rounded(CV.best_round(CV.lambda_curve(fixtures.loss_table(spark, d))))
 
 
 @query("early_stop")
 def q_early_stop(spark, d):
-    return CV.early_stop(CV.lambda_curve(_gbt_curve(spark, d)), patience=5)
+    return rounded(CV.early_stop(CV.lambda_curve(fixtures.loss_table(spark, d)), patience=5))
+
+
+@query("two_monitors")
+def q_two_monitors(spark, d):
+    curve = CV.lambda_curve(fixtures.loss_table(spark, d))
+    return rounded(CV.two_monitors(curve, "val_loss_total", "val_loss_task2_masked", patience=5))
 
 
 @query("attribution_linear")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import atexit
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -62,45 +64,61 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return configured
 
 
+_TABLES: list[str] = []
+
+
+def table_path(spark: SparkSession, name: str) -> str:
+    """A new path for an intermediate table in the shared folder; what is
+    written there is removed by :func:`drop_tables`, at the latest when the
+    driver process ends."""
+    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardline-tables/{name}-{uuid.uuid4().hex}"
+    _TABLES.append(path)
+    return path
+
+
+def drop_tables(since: int = 0) -> None:
+    """Remove the intermediate tables made since number ``since`` (see
+    :func:`tables_made`); for callers that have taken their results."""
+    from pyarrow import fs
+    while len(_TABLES) > since:
+        path = _TABLES.pop()
+        uri = "file:///" + path[5:].lstrip("/") if path.startswith("file:") else path
+        try:
+            system, inside = fs.FileSystem.from_uri(uri if "://" in uri else f"file://{uri}")
+            system.delete_dir(inside)
+        except (OSError, ValueError):      # gone already, or a store that only Spark reaches
+            continue
+
+
+def tables_made() -> int:
+    return len(_TABLES)
+
+
+atexit.register(drop_tables)
+
+
 def cut_lineage(df: DataFrame, name: str = "stage") -> DataFrame:
     """Materialise ``df`` as a parquet table in the shared checkpoint folder
     and continue from that table.
 
     Used before a fitted transform makes several passes over the same input:
-    the upstream plan runs once (a reliable ``checkpoint()`` of an unpersisted
-    plan runs it twice), later passes read only the columns they need, and an
-    executor loss re-reads the table instead of recomputing the lineage.
+    the upstream plan runs once, later passes read only the columns they
+    need, and an executor loss re-reads the table instead of recomputing the
+    lineage.
     """
-    import uuid
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark)
-    path = f"{base.rstrip('/')}/wardline-tables/{name}-{uuid.uuid4().hex}"
+    path = table_path(df.sparkSession, name)
     df.write.mode("error").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin a DataFrame whose scan yields fewer partitions than the
-    cluster has cores, before CPU-heavy per-row work (regex, tokenizing).
-
-    Large inputs already arrive in many splits and are returned unchanged,
-    so no shuffle is added where the scan is parallel already.
-    """
-    spark = df.sparkSession
-    target = min_partitions or spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
-        return df
-    return df.repartition(target)
-
-
-def by_key(df: DataFrame, keys) -> DataFrame:
-    """Hash-partition rows by ``keys`` (at least one partition per core).
+    """Round-robin a file scan that has fewer files than the session has
+    shuffle partitions, before CPU-heavy per-row work (regex, tokenizing).
 
-    Used before exploding a row into many rows that are then aggregated by
-    ``keys`` plus something else: the aggregate and later windows on ``keys``
-    reuse this partitioning, so only the compact input is shuffled, not the
-    exploded rows.
+    A table of many files is returned unchanged, so no shuffle is added where
+    the scan is parallel already; so is anything above a shuffle, which has
+    its partitions from there.  Nothing runs while this decides.
     """
-    spark = df.sparkSession
-    n = max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())
-    return df.repartition(n, *keys)
+    target = min_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    files = len(df.inputFiles())
+    return df.repartition(target) if 0 < files < min(target, 8) else df

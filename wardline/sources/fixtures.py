@@ -14,14 +14,18 @@ Every view is a lazy DataFrame over the whole driver tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+import os
+from urllib.parse import unquote
+
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions.timecols import hours_between
+from ..session import table_path
 from .tables import read_table
 
 EPOCH = "2024-01-01 00:00:00"
 BLOCK_SECONDS = 518400.0      # six days
-SHORT_STAY_SECONDS = 108000   # 30 h
+SHORT_SECONDS = 108000.0      # 30 h, the blocks of users with id % 5 == 4
 
 
 def _epoch():
@@ -33,22 +37,20 @@ def _hours(n: int):
 
 
 def stays(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Static table: stays with gaps, short stays, deaths and NULL admissions."""
+    """Static table: every event belongs to the stay of its user and time
+    block.  Blocks are six days long, 30 h for users with id % 5 == 4 (short
+    stays); two blocks in a row are one admission."""
     ev = read_table(spark, sf_dir, "events").select("user_id", "event_type", "ts")
     sec = F.timestamp_diff("MICROSECOND", _epoch(), F.col("ts")) / F.lit(1e6)
-    e = ev.withColumn("sec", sec).withColumn("blk", F.floor(F.col("sec") / BLOCK_SECONDS).cast("bigint"))
-    # every third block per user is left out (gaps between stays); users with
-    # id % 5 == 4 keep only the first 30 h of a block (short stays)
-    kept = e.filter(((F.col("user_id") + F.col("blk")) % 3 != 0)
-                    & ~((F.col("user_id") % 5 == 4)
-                        & (F.col("sec") - F.col("blk") * BLOCK_SECONDS >= SHORT_STAY_SECONDS)))
-    g = kept.groupBy("user_id", "blk").agg(
+    width = F.when(F.col("user_id") % 5 == 4, SHORT_SECONDS).otherwise(BLOCK_SECONDS)
+    e = ev.withColumn("blk", F.floor(sec / width).cast("bigint"))
+    g = e.groupBy("user_id", "blk").agg(
         F.min("ts").alias("intime"), F.max("ts").alias("outtime"),
         F.max_by("event_type", "ts").alias("last_type"))
     return g.select(
         (F.col("user_id") * 100 + F.col("blk")).alias("stay_id"),
         F.col("user_id").alias("subject_id"),
-        F.when(F.col("user_id") % 25 != 7, F.col("user_id")).alias("hadm_id"),
+        F.when(F.col("user_id") % 25 != 7, F.col("user_id") * 100 + F.floor(F.col("blk") / 2)).alias("hadm_id"),
         "intime", "outtime",
         F.when(F.col("last_type") == "error", F.col("outtime"))
          .when(F.col("last_type") == "signup", F.col("outtime") + _hours(10)).alias("deathtime"),
@@ -79,19 +81,23 @@ NOTE_SIGN = "\nElectronically signed by x\n---\n  "
 
 
 def notes(spark: SparkSession, sf_dir: str, stays_df: DataFrame | None = None) -> DataFrame:
-    """Text table: each document (whole text) becomes a multi-report note of
-    the user ``doc_id % n_users``, timed within the first 30 days."""
+    """Text table: every document (whole text) becomes a multi-report note of
+    the user ``doc_id % n_users``: of the user's stays in order, number
+    ``doc_id // n_users`` modulo their count, between six hours before
+    admission and the exit.  A user's stays are few (one per block)."""
     s = (stays_df if stays_df is not None else stays(spark, sf_dir)).select(
-        "stay_id", "subject_id", "intime", "outtime")
+        "stay_id", "subject_id", "intime", "icu_los_hours")
+    by_user = Window.partitionBy("subject_id")
+    s = s.withColumn("ord", F.row_number().over(by_user.orderBy("stay_id")) - 1) \
+        .withColumn("n_stays", F.count("*").over(by_user))
     n_users = read_table(spark, sf_dir, "events").select(F.count_distinct("user_id")).scalar()
     docs = read_table(spark, sf_dir, "documents").select(
-        F.col("doc_id").alias("note_row"),
-        (F.col("doc_id") % n_users).alias("uid"),
-        (_epoch() + F.make_dt_interval(F.lit(0), ((F.col("doc_id") * 37) % 720).cast("int"))).alias("note_time"),
+        F.col("doc_id").alias("note_row"), (F.col("doc_id") % n_users).alias("uid"),
+        F.floor(F.col("doc_id") / n_users).alias("turn"),
         F.concat(F.col("text"), F.lit(NOTE_TAIL), F.col("source"), F.lit(NOTE_SIGN)).alias("txt"))
-    j = s.join(docs, (s.subject_id == docs.uid) & (docs.note_time >= s.intime - _hours(6))
-               & (docs.note_time <= s.outtime))
-    return j.select("stay_id", "note_row", F.col("note_time").alias("radiology_note_time_max"),
+    j = docs.join(s, (F.col("subject_id") == F.col("uid")) & (F.col("turn") % F.col("n_stays") == F.col("ord")))
+    hour = ((F.col("note_row") * 37) % (F.floor("icu_los_hours") + 7) - 6).cast("int")
+    return j.select("stay_id", "note_row", (F.col("intime") + F.make_dt_interval(F.lit(0), hour)).alias("radiology_note_time_max"),
                     F.col("txt").alias("radiology_note_text"))
 
 
@@ -129,30 +135,64 @@ WIDE_FEATURES = ("f1", "f2", "f3", "f4", "f5_const", "f6_dup", "f7_sparse")
 
 
 def survival_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Survival-head outputs: the first nine embedding values as 3 bins x
-    (none, discharge, death) logits, one row per vector."""
+    """Survival-head outputs: the whole embedding folded into nine logits, 3
+    bins x (none, discharge, death), each eight times the mean of the values
+    whose position modulo 9 is its own."""
     emb = read_table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
-    cols = [F.col("embedding")[i].cast("double").alias(f"logit_b{i // 3 + 1}_{('none', 'dis', 'death')[i % 3]}")
-            for i in range(9)]
-    return emb.select("vec_id", *cols)
+
+    def folded(i: int):
+        own = F.filter("embedding", lambda x, k: k % 9 == i)
+        total = F.aggregate(own, F.lit(0.0), lambda acc, x: acc + x.cast("double"))
+        return (total / F.size(own) * 8).alias(f"logit_b{i // 3 + 1}_{('none', 'dis', 'death')[i % 3]}")
+    return emb.select("vec_id", *[folded(i) for i in range(9)])
+
+
+def loss_table(spark: SparkSession, sf_dir: str, epochs: int = 100) -> DataFrame:
+    """Loss table of a two-task run, aggregated from every row of ``lineitem``:
+    an order's epoch is its key modulo ``epochs``, supplier keys give the
+    split; task 2 counts the first ``epoch % 3`` lines, so every third epoch
+    has no valid task-2 row and a NULL loss."""
+    li = read_table(spark, sf_dir, "lineitem")
+    epoch = (F.col("l_orderkey") % epochs + 1).cast("int")
+    train, valid = F.col("l_suppkey") % 5 != 0, F.col("l_linenumber") <= epoch % 3
+
+    def loss(y, p):
+        p = F.least(F.greatest(p.cast("double"), F.lit(1e-6)), F.lit(1 - 1e-6))
+        return F.when(y, -F.log(p)).otherwise(-F.log(1 - p))
+    one = loss(F.col("l_returnflag") == "R", F.col("l_discount") * 10)
+    two = loss(F.col("l_linestatus") == "O", F.col("l_tax") * 10)
+    return li.groupBy(epoch.alias("epoch")).agg(
+        F.avg(F.when(train, one)).alias("train_loss_task1"), F.avg(F.when(train & valid, two)).alias("train_loss_task2_masked"),
+        F.avg(F.when(~train, one)).alias("val_loss_task1"), F.avg(F.when(~train & valid, two)).alias("val_loss_task2_masked"),
+        F.count_if(train & valid).alias("train_task2_valid_count"))
 
 
 _MATERIALIZED: dict = {}
 
 
+def _file_state(spark: SparkSession, sf_dir: str) -> tuple:
+    """What identifies the input files: path, and names, sizes and times where
+    the driver can list them."""
+    out = []
+    for t in ("events", "documents"):
+        for f in sorted(spark.read.parquet(os.path.join(sf_dir, f"{t}.parquet")).inputFiles()):
+            local = unquote(f.removeprefix("file:"))
+            local = "/" + local.lstrip("/")
+            st = os.stat(local) if f.startswith("file:") and os.path.exists(local) else None
+            out.append((f, st.st_size, st.st_mtime_ns) if st else (f,))
+    return tuple(out)
+
+
 def cohort_tables(spark: SparkSession, sf_dir: str) -> dict:
     """The three cohort views written once per session as parquet tables in
     the shared checkpoint folder, then read like any input table (the role
     the source's CSV files play).  Deriving them inline would rebuild
-    ``stays`` from ``events`` in every branch of a plan."""
-    import os
-    import uuid
-
-    from ..session import ensure_checkpoint_dir
-    key = (spark.sparkContext.applicationId, os.path.abspath(sf_dir))
+    ``stays`` from ``events`` in every branch of a plan.  They are derived
+    anew when the input files have changed."""
+    key = (spark.sparkContext.applicationId, _file_state(spark, sf_dir))
     paths = _MATERIALIZED.get(key)
     if paths is None:
-        base = f"{ensure_checkpoint_dir(spark).rstrip('/')}/wardline-inputs/{uuid.uuid4().hex}"
+        base = table_path(spark, "inputs")
         st = stays(spark, sf_dir)
         paths = {"stays": f"{base}/stays", "vitals": f"{base}/vitals", "notes": f"{base}/notes"}
         st.write.parquet(paths["stays"])
