@@ -138,8 +138,8 @@ def fit(docs: DataFrame, target_ids: DataFrame) -> LanguageModels:
     marked = docs.select("doc_id", F.col("text").cast("string").alias("text")) \
         .join(target.hint("shuffle_hash"), F.col("doc_id") == F.col("target_id"), "left") \
         .select("text", F.col("target_id").isNotNull().alias("is_target"))
-    table = counts(marked).toPandas()
-    return LanguageModels(table["bucket"].to_numpy(), table["background"].to_numpy(float), table["target"].to_numpy(float))
+    table = counts(marked).toArrow()
+    return LanguageModels(*(table[c].to_numpy() for c in ("bucket", "background", "target")))
 
 
 def score(docs: DataFrame, models: LanguageModels) -> DataFrame:
