@@ -188,7 +188,7 @@ def training_sample(docs: DataFrame, per_language: int = 1500, longest: int = 50
         .select(F.col("lang").alias("drawn"), (F.lit(per_language) / F.col("n") * 1_000_000).cast("long").alias("rate"))
     rows = usable.join(counts, F.col("lang") == F.col("drawn")) \
         .where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("rate")) \
-        .select("doc_id", "text", "lang").toPandas()
+        .select("doc_id", "text", "lang").toArrow().to_pandas()
     order = np.lexsort([rows["doc_id"].to_numpy(), np.array([zlib.crc32(b"%d" % i) for i in rows["doc_id"]])]) \
         if len(rows) else []
     rows = rows.iloc[order]

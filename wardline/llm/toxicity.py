@@ -317,7 +317,7 @@ def training_sample(docs: DataFrame, labels: DataFrame, positives: int = 3000, n
         .union(usable.where("y = 0").orderBy(*order).limit(negatives)).withColumnRenamed("doc_id", "labelled_id")
     rows = docs.select("doc_id", "text").where(F.length("text") <= longest) \
         .join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled_id")) \
-        .select("doc_id", "text", "y").dropDuplicates(["doc_id"]).toPandas()
+        .select("doc_id", "text", "y").dropDuplicates(["doc_id"]).toArrow().to_pandas()
     rows = rows.iloc[np.lexsort([rows["doc_id"].to_numpy(), rows["doc_id"].map(lambda i: zlib.crc32(b"%d" % i))])]
     return rows["text"].tolist(), rows["y"].to_numpy(np.int64)
 
