@@ -27,6 +27,7 @@ from wardline.llm.tables import written
 
 WINDOW = 5
 LITERALS = 3
+SEGMENT = 256
 COVERAGE = 0.5
 BROADCAST_WINDOWS = 300_000
 
@@ -76,45 +77,57 @@ def template(raw: Column) -> Column:
 
 
 def windows(texts: DataFrame, key: str) -> DataFrame:
-    """``key, at`` (first token), ``size`` (tokens), ``total`` (of the text),
-    ``h``, and the ``raw`` tokens of windows that hold a slot.
-
-    A hash runs over the tokens themselves; past the end of a short text there
-    are none, so its one window hashes like no other.
+    """A row for each window: ``key``, the text's ``total`` tokens, ``h``, and
+    where it lies: its segment's first token ``start``, its place ``pos`` in
+    it, and the tokens of a ``segment`` that holds a slot.
+
+    A text is cut into segments of ``SEGMENT`` windows, and only a segment
+    with a slot carries its tokens along with its hashes.  A hash runs over
+    the tokens themselves; past the end of a short text there are none, so its
+    one window hashes like no other.  A text without a token has one window
+    of size 0, which no item has.
     """
     rows = texts.select(F.col(key), marked(F.col("text")).alias("text")) \
-        .select(key, F.col("text").rlike(f"[{_NAME}{_UNIT}0-9]").alias("slots"), tokens(F.col("text")).alias("raw")) \
-        .where(F.size("raw") > 0) \
-        .select(key, "raw", "slots", F.when(F.col("slots"), template(F.col("raw"))).otherwise(F.col("raw")).alias("canon"))
-    nothing = F.lit(None).cast("array<string>")
+        .select(key, F.col("text").rlike(f"[{_NAME}{_UNIT}0-9]").alias("slots"), tokens(F.col("text")).alias("all"))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("all") - WINDOW, F.lit(0)), F.lit(SEGMENT))
+    cut = F.transform(starts, lambda i: F.struct(F.size("all").alias("total"), i.alias("start"),
+                                                 F.slice("all", i + 1, SEGMENT + WINDOW - 1).alias("raw")))
+    # outer: else Spark puts a filter on the array's size below, and works the array out twice
+    rows = rows.select(key, "slots", F.explode_outer(cut).alias("s")) \
+        .select(key, "s.total", "s.start", "s.raw", (F.col("slots") & F.exists("s.raw", lambda t: t < ":")).alias("slots")) \
+        .withColumn("canon", F.when(F.col("slots"), template(F.col("raw"))))
 
     def hashed(array, i):
         return F.xxhash64(*[F.get(array, i + j) for j in range(WINDOW)])
 
-    def plain(i):
-        return F.struct(i.alias("at"), hashed("raw", i).alias("h"), nothing.alias("raw"))
-
     def slotted(i):
         filled = sum((F.coalesce((F.get("raw", i + j) < ":").cast("int"), F.lit(0)) for j in range(1, WINDOW)),
                      (F.get("raw", i) < ":").cast("int"))
-        spare = F.greatest(F.least(F.size("raw"), F.lit(WINDOW)) - LITERALS, F.lit(0))
-        return F.struct(i.alias("at"), F.when(filled > spare, hashed("raw", i)).otherwise(hashed("canon", i)).alias("h"),
-                        F.when(filled > 0, F.slice("raw", i + 1, WINDOW)).alias("raw"))
+        spare = F.greatest(F.least(F.col("total"), F.lit(WINDOW)) - LITERALS, F.lit(0))
+        return F.when(filled > spare, hashed("raw", i)).otherwise(hashed("canon", i))
     at = F.sequence(F.lit(0), F.greatest(F.size("raw") - WINDOW, F.lit(0)))
-    every = F.when(F.col("slots"), F.transform(at, slotted)).otherwise(F.transform(at, plain))
-    return rows.select(key, F.size("raw").alias("total"), F.explode(every).alias("w")) \
-        .select(key, "total", "w.at", F.least("total", F.lit(WINDOW)).alias("size"), "w.h", "w.raw")
+    every = F.when(F.col("slots"), F.transform(at, slotted)).otherwise(F.transform(at, lambda i: hashed("raw", i)))
+    return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), every.alias("hs")) \
+        .select(key, "total", "start", "segment", F.posexplode_outer("hs").alias("pos", "h"))
+
+
+def placed(found: DataFrame) -> DataFrame:
+    """``at``, ``size`` and ``raw`` of windows in place of their segment."""
+    raw = F.slice("segment", F.col("pos") + 1, WINDOW)
+    return found.withColumns({
+        "at": F.col("start") + F.col("pos"), "size": F.least("total", F.lit(WINDOW)),
+        "raw": F.when(F.exists(raw, lambda t: t < ":"), raw)}).drop("start", "pos", "segment")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage`` (share of the item's tokens covered by
     windows that count) of every document and item that share a window."""
-    items = written(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id")
-                    .select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
+    items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id"))
+                    .where("total > 0").select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
                             F.col("raw").alias("item_raw")).distinct(), "benchmark-windows")
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    found = windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id").join(items, "h")
+    found = placed(windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id").join(items, "h"))
     # an alignment: the document shifted against the item by a fixed number of tokens
     aligned = found.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct("item_at", "size", "item_raw", "raw")).alias("ws"))
