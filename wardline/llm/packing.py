@@ -22,11 +22,12 @@ distributed rank and take their places from the runs.
 
 from __future__ import annotations
 
+import unicodedata
 import zlib
 from array import array
 from bisect import bisect_left, bisect_right
 from collections import defaultdict
-from itertools import islice
+from itertools import chain, islice
 
 import numpy as np
 import pandas as pd
@@ -34,11 +35,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import pylist_batches, shuffle_partitions, written
+from wardline.llm.tables import pylist_batches, shuffle_partitions, without_gc, worker_state, written
 
 CAPACITY = 4096
 END_ID = 1
-_CLOSING = (".", ",")
+_MARKS = "!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
 class PieceIds(dict):
@@ -48,28 +49,60 @@ class PieceIds(dict):
     Tokens never span white space, so a text's ids are those of its parts.
     """
 
-    def __init__(self, tokenizer_path: str, limit: int = 400_000):
+    def __init__(self, tokenizer_path: str, limit: int = 1_200_000):
         super().__init__()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, normalizers
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
+        self.plain = Tokenizer.from_str(self.tokenizer.to_str())     # for what is normalised already
+        self.plain.normalizer = normalizers.Sequence([])
         self.limit = limit
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def learn(self, parts: set[str]) -> None:
-        new = [p for p in parts if p not in self]
+    def learn(self, new: list[str]) -> None:
         if len(self) + len(new) > self.limit:
             self.clear()
-            new = list(parts)
-        # letters and one closing mark are two tokens: only the letters need the tokenizer
-        closed = {p: p[:-1] for p in new if p[-1:] in _CLOSING and p[:-1].isalpha()}
-        direct = [p for p in new if p not in closed]
-        direct += {p for p in closed.values() if p not in self}.difference(direct)
-        direct += [m for m in _CLOSING if m not in self]
-        for i in range(0, len(direct), 20_000):
-            some = direct[i:i + 20_000]
+        # letters and then marks are tokens of their own: each is learnt once
+        whole, words, tails, closed = [], set(), set(), []
+        for part in new:
+            letters = part.rstrip(_MARKS)
+            if not letters.isalpha():
+                whole.append(part)
+            elif len(letters) == len(part):
+                words.add(part)
+            else:
+                tail = part[len(letters):]
+                words.add(letters)
+                tails.add(tail)
+                closed.append((part, letters, tail))
+        whole += tails.difference(self)
+        words = list(words.difference(self))
+        for i in range(0, len(words), 20_000):
+            whole += self._learn_words(words[i:i + 20_000])
+        for i in range(0, len(whole), 20_000):
+            some = whole[i:i + 20_000]
             for part, enc in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
                 self[part] = array("I", enc.ids).tobytes()
-        for part, letters in closed.items():
-            self[part] = self[letters] + self[part[-1]]
+        for part, letters, tail in closed:
+            self[part] = self[letters] + self[tail]
+
+    def _learn_words(self, words: list[str]) -> list[str]:
+        """Learn words of letters from one encoding of all of them: a word ends
+        with a token that closes a word.  If that does not give one part per
+        word (letters that normalise to something else), all are returned."""
+        text = " ".join(words)
+        done = text == text.lower() and unicodedata.is_normalized("NFC", text)
+        tokenizer = self.plain if done else self.tokenizer
+        ids = np.array(tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
+        cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
+        if len(cuts) != len(words):
+            return words
+        held, at = ids.tobytes(), 0
+        for word, cut in zip(words, cuts.tolist()):
+            self[word] = held[at:cut]
+            at = cut
+        return []
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian bytes.
@@ -85,8 +118,13 @@ class PieceIds(dict):
             # str.split() also cuts at the separators 1C to 1F, which are no white space to the tokenizer
             plain = t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f")
             split.append(t.split() if plain else t.replace("\n", " ").split(" "))
-        self.learn(set().union(*split))
-        get = self.__getitem__
+        # the parts of this slice have a small table of their own, which stays in the processor's cache
+        own = dict.fromkeys(chain.from_iterable(split))
+        own = dict(zip(own, map(self.get, own)))
+        if new := [part for part, ids in own.items() if ids is None]:
+            self.learn(new)
+            own.update(zip(new, map(self.__getitem__, new)))
+        get = own.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
 
@@ -105,11 +143,13 @@ def token_pieces(docs: DataFrame, tokenizer_path: str, capacity: int = CAPACITY,
     def run(batches):
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        known = PieceIds(tokenizer_path)
+        known = worker_state(f"pieces {tokenizer_path}", lambda: PieceIds(tokenizer_path))
         for batch in batches:
             for part in pylist_batches(batch, "text"):
                 rows = []
-                for doc, ids in zip(part.column(0).to_pylist(), known.encode([t or "" for t in part.column(1).to_pylist()])):
+                with without_gc():
+                    encoded = known.encode([t or "" for t in part.column(1).to_pylist()])
+                for doc, ids in zip(part.column(0).to_pylist(), encoded):
                     ids += end
                     for k in range(-(-len(ids) // width)):
                         piece = ids[k * width:(k + 1) * width]

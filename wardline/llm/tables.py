@@ -8,6 +8,7 @@ driver process ends.
 from __future__ import annotations
 
 import atexit
+import contextlib
 import uuid
 from collections.abc import Iterator
 
@@ -88,6 +89,20 @@ def unpacked(shared):
     return pickle.loads(shared.value)
 
 
+@contextlib.contextmanager
+def without_gc():
+    """No cycle collector inside: code that makes many strings and lists but
+    no reference cycles would have it walk over them again and again."""
+    import gc
+    on = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if on:
+            gc.enable()
+
+
 def worker_state(key: str, make):
     """``make()``, once per Python worker process: later tasks of the worker
     find it again.  For caches only; a fresh worker starts empty."""
