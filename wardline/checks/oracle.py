@@ -326,7 +326,9 @@ QUERIES.update({
         FROM (SELECT p, sum(pos) OVER (ORDER BY p DESC) AS cpos, sum(cnt) OVER (ORDER BY p DESC) AS ccnt,
                      sum(pos) OVER () AS np, sum(cnt) OVER () - sum(pos) OVER () AS nn
               FROM (SELECT y1_prob AS p, sum(CASE WHEN y1_true = 1 THEN 1 ELSE 0 END) AS pos, count(*) AS cnt
-                    FROM predictions GROUP BY y1_prob))""",
+                    FROM predictions GROUP BY y1_prob))
+        UNION ALL SELECT NULL, CASE WHEN count_if(y1_true <> 1) > 0 THEN 0.0 END, CASE WHEN count_if(y1_true = 1) > 0 THEN 0.0 END
+        FROM predictions HAVING count(*) > 0""",
     "log_loss": f"SELECT 'task1_discharge' AS task, round({_LL.format(y='y1_true', p='y1_prob')}, 6) AS log_loss, "
                 "count(*) AS n_eval FROM predictions UNION ALL "
                 f"SELECT 'task2_no_return72_masked', round({_LL.format(y='y2_true', p='y2_prob')}, 6), count(*) "
@@ -341,6 +343,13 @@ QUERIES.update({
                    (SELECT quantile_cont(y1_prob, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
                     FROM predictions))
         GROUP BY bin""",
+    "calibration_task2": """SELECT CAST(bin AS INTEGER) AS bin, round(avg(p), 6) AS mean_pred, round(avg(y), 6) AS frac_pos,
+            count(*) AS n
+        FROM (SELECT p, y, len(list_filter(e, lambda x: x < p)) AS bin
+              FROM (SELECT y2_prob AS p, CAST(y2_true AS DOUBLE) AS y FROM predictions WHERE y2_mask = 1),
+                   (SELECT quantile_cont(y2_prob, [0.1, 0.2, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9]) AS e
+                    FROM predictions WHERE y2_mask = 1))
+        GROUP BY bin""",
     "subgroup_metrics": "SELECT * FROM " + _task_sql(
         "(SELECT *, coalesce(first_careunit, 'UNKNOWN') AS grp FROM predictions)", "y1_true", "y1_prob", None,
         group="grp", task="task1_discharge") + " UNION ALL SELECT * FROM " + _task_sql(
@@ -629,3 +638,77 @@ QUERIES.update({
                     "SELECT monitor, best_epoch, round(best, 6) AS best_loss, stopped_epoch, "
                     "(SELECT max(stopped_epoch) FROM u) AS training_stopped FROM u",
 })
+
+
+# ---- fitted matrices in long form -----------------------------------------------------
+
+_TIDY = ("CASE WHEN contains(feature, '_cum_std') THEN round(v, 3) ELSE round(v, 6) END AS value")
+
+
+def _matrix_ctes(src: str, feats: list, keep_suffix: str, safe=(), scale: bool = False, interactions: bool = False,
+                 text: bool = False) -> str:
+    """long values -> missing drop -> train medians -> (interactions) ->
+    (standardisation) -> correlation drop; ``fin`` is the result."""
+    names = ", ".join(f"('{c}', {i})" for i, c in enumerate(feats))
+    out = [f"mt AS (SELECT *, {_split_expr('subject_id')} AS split FROM {src})",
+           f"fo(feature, ord) AS (VALUES {names})",
+           "lg AS (SELECT * FROM (SELECT stay_id, t_end, split, " + ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in feats)
+           + " FROM mt) UNPIVOT INCLUDE NULLS (v FOR feature IN (" + ", ".join(feats) + ")))",
+           "kf AS (SELECT feature FROM lg WHERE split = 'train' GROUP BY feature "
+           "HAVING avg(CASE WHEN v IS NULL OR isnan(v) THEN 1.0 ELSE 0.0 END) <= 0.9 "
+           f"OR suffix(feature, '{keep_suffix}')" + "".join(f" OR feature = '{c}'" for c in safe) + ")",
+           "med AS (SELECT feature, quantile_cont(v, 0.5) AS m FROM lg WHERE split = 'train' GROUP BY feature)",
+           "imp AS (SELECT l.stay_id, l.t_end, l.split, l.feature, CAST(fo.ord AS BIGINT) AS ord, coalesce(l.v, med.m) AS v "
+           "FROM lg l JOIN kf USING (feature) JOIN med USING (feature) JOIN fo USING (feature) WHERE med.m IS NOT NULL)"]
+    last = "imp"
+    if interactions:
+        out += ["vr AS (SELECT feature, var_samp(v) AS s FROM imp WHERE split = 'train' "
+                "AND feature NOT IN ('landmark_hour', 'landmark_hour_sq') GROUP BY feature)",
+                "top AS (SELECT feature, row_number() OVER (ORDER BY s DESC, feature) AS r FROM vr WHERE s IS NOT NULL "
+                "QUALIFY r <= 12)",
+                "ia AS (SELECT * FROM imp UNION ALL SELECT i.stay_id, i.t_end, i.split, i.feature || '_x_landmark', "
+                "10000 + top.r, i.v * h.v FROM imp i JOIN top USING (feature) JOIN imp h ON h.stay_id = i.stay_id "
+                "AND h.t_end = i.t_end AND h.feature = 'landmark_hour')"]
+        last = "ia"
+    if text:
+        out += [f"tk AS (SELECT stay_id, t_end, split, {_TOK.format(t='final_text')} AS tok FROM mt)",
+                f"tt AS (SELECT stay_id, t_end, split, unnest({_terms_sql('tok')}) AS term FROM tk)",
+                "tc AS (SELECT stay_id, t_end, split, term, count(*) AS tf FROM tt GROUP BY ALL)",
+                "tv AS (SELECT term, ln((1 + (SELECT count(*) FROM mt WHERE split = 'train')) / (1 + count(*))) + 1 AS idf "
+                "FROM tc WHERE split = 'train' GROUP BY term HAVING count(*) >= 5 ORDER BY sum(tf) DESC, term LIMIT 300)",
+                "tw AS (SELECT stay_id, t_end, term, tf * idf AS w FROM tc JOIN tv USING (term))",
+                "tn AS (SELECT stay_id, t_end, sqrt(sum(w * w)) AS n FROM tw GROUP BY ALL)",
+                "te AS (SELECT mt.stay_id, mt.t_end, mt.split, 'tfidf_' || tv.term AS feature, "
+                "1000 + row_number() OVER (PARTITION BY mt.stay_id, mt.t_end ORDER BY tv.term) AS ord, "
+                "coalesce(tw.w / tn.n, 0) AS v FROM mt JOIN tv ON TRUE "
+                "LEFT JOIN tw ON tw.stay_id = mt.stay_id AND tw.t_end = mt.t_end AND tw.term = tv.term "
+                "LEFT JOIN tn ON tn.stay_id = mt.stay_id AND tn.t_end = mt.t_end)",
+                "wt AS (SELECT * FROM imp UNION ALL SELECT * FROM te)"]
+        last = "wt"
+    if scale:
+        out += [f"sp AS (SELECT feature, avg(v) AS m, stddev_pop(v) AS s FROM {last} WHERE split = 'train' GROUP BY feature)",
+                f"sc AS (SELECT stay_id, t_end, split, feature, ord, (v - m) / CASE WHEN s = 0 THEN 1 ELSE s END AS v "
+                f"FROM {last} JOIN sp USING (feature))"]
+        last = "sc"
+    out += [f"trn AS (SELECT * FROM {last} WHERE split = 'train')",
+            "dr AS (SELECT DISTINCT b.feature FROM trn a JOIN trn b ON a.stay_id = b.stay_id AND a.t_end = b.t_end "
+            "AND a.ord < b.ord GROUP BY a.feature, b.feature HAVING stddev_pop(a.v) > 0 AND stddev_pop(b.v) > 0 "
+            "AND abs(corr(a.v, b.v)) > 0.95)",
+            f"fin AS (SELECT * FROM {last} WHERE feature NOT IN (SELECT feature FROM dr))"]
+    return ",\n".join(out)
+
+
+_LANDMARK_SRC = "(SELECT *, t_end AS landmark_hour, t_end * t_end AS landmark_hour_sq FROM lmk)"
+_BASE = _matrix_ctes("master_tr", [*TR_FEATS, "has_text", "age"], "_is_measured", ("has_text",), scale=True, text=True)
+
+QUERIES.update({
+    "cumulative_matrix": "WITH " + _matrix_ctes("master_cum", [*CUM_FEATS, "age"], "_measured_frac")
+                         + f" SELECT stay_id, t_end, split, feature, {_TIDY} FROM fin",
+    "landmark_matrix": "WITH " + _matrix_ctes(_LANDMARK_SRC, [*CUM_FEATS, "age", "landmark_hour", "landmark_hour_sq"],
+                                              "_measured_frac", scale=True, interactions=True)
+                       + f" SELECT stay_id, t_end, split, feature, {_TIDY} FROM fin",
+    "base_matrix": f"WITH {_BASE} SELECT stay_id, t_end, split, feature, {_TIDY} FROM fin WHERE NOT prefix(feature, 'tfidf_')",
+    "base_matrix_text": f"WITH {_BASE} SELECT split, feature, count(*) AS n, round(avg(v), 6) AS mean_value, "
+                        "round(max(v), 6) AS max_value, round(avg(v * v), 6) AS mean_square "
+                        "FROM fin WHERE prefix(feature, 'tfidf_') GROUP BY split, feature",
+})

@@ -14,7 +14,6 @@ from dataclasses import asdict, dataclass, field
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from .cohort import GROUP_COL, seeded_rank
-from .prefix import exact_quantiles
 
 SEED = 42
 MISSING_DROP = 0.90
@@ -81,25 +80,92 @@ class ImputeParams:
     keep_empty: bool = False
 
 
-def long_values(df: DataFrame, columns, keys=()) -> DataFrame:
-    """(keys..., column, value) with NULLs removed; input of per-column stats."""
-    cols = list(columns)
-    u = df.select(*keys, *[F.col(c).cast("double").alias(c) for c in cols]).unpivot(
-        list(keys), cols, "column", "value")
-    return u.where(F.col("value").isNotNull() & ~F.isnan("value"))
+STATS_CHUNK = 100      # columns in one aggregate: keeps the generated code small
+
+
+def _number(c: str):
+    """The column as a double, NaN as NULL."""
+    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+
+def column_stats(df: DataFrame, columns, **stats) -> dict:
+    """{column: {name: value}} of aggregate functions, each taking the column's
+    numbers; one pass for every ``STATS_CHUNK`` columns."""
+    cols, out = list(columns), {}
+    for i in range(0, len(cols), STATS_CHUNK):
+        some = cols[i:i + STATS_CHUNK]
+        row = df.agg(*[fn(_number(c)).alias(f"{k}_{name}") for k, c in enumerate(some) for name, fn in stats.items()]).first()
+        out.update({c: {name: row[f"{k}_{name}"] for name in stats} for k, c in enumerate(some)})
+    return out
 
 
-def median_table(train: DataFrame, columns) -> DataFrame:
-    """Exact per-column median of the training rows (mean of the two middle
-    values), computed with distributed ranks rather than a per-column value
-    map in one task."""
-    return exact_quantiles(long_values(train, columns), "value", [0.5], keys=["column"],
-                           materialize=True).select("column", F.col("value").alias("median"))
+BAND = 0.002           # half width of a median's first band, as a share of the rows
+BAND_ROWS = 20_000     # rows of a column in its band from which on it is narrowed again
+
+
+def medians(train: DataFrame, columns) -> dict:
+    """Exact median of each column (mean of the two middle values), None for
+    an empty one: a quantile sketch of all columns gives each a narrow band
+    around its median, a second pass counts the rows below the band and
+    collects the values inside it.  A band that misses the middle is widened,
+    one that still holds many rows is narrowed by a sketch of its rows, so
+    the driver never holds more than ``BAND_ROWS`` distinct values a column.
+    """
+    cols, out = list(columns), {}
+    numbers = train.select(*[_number(c).alias(f"c{k}") for k, c in enumerate(cols)])
+    names = {c: f"c{k}" for k, c in enumerate(cols)}
+    bands, open_ = {}, []
+    if cols:
+        probs = [0.5 - BAND, 0.5 + BAND]
+        for c, q in zip(cols, numbers.approxQuantile([names[c] for c in cols], probs, BAND / 2)):
+            if q:
+                bands[c] = (q[0], q[1])
+                open_.append(c)
+            else:
+                out[c] = None
+    while open_:
+        counts, ready = {}, []
+        for i in range(0, len(open_), STATS_CHUNK):
+            some = open_[i:i + STATS_CHUNK]
+            x = {c: F.col(names[c]) for c in some}
+            row = numbers.agg(*[e for k, c in enumerate(some) for e in (
+                F.count(x[c]).alias(f"n{k}"), F.count_if(x[c] < bands[c][0]).alias(f"b{k}"),
+                F.count_if(x[c].between(*bands[c])).alias(f"i{k}"))]).first()
+            counts.update({c: (row[f"n{k}"], row[f"b{k}"], row[f"i{k}"]) for k, c in enumerate(some)})
+        for c in open_:
+            n, below, inside = counts[c]
+            low, high = (n - 1) // 2, n // 2
+            if low < below or high >= below + inside:
+                lo, hi = bands[c]
+                bands[c] = (float("-inf") if low < below else lo, float("inf") if high >= below + inside else hi)
+            elif inside > BAND_ROWS and bands[c][0] < bands[c][1]:
+                mid = ((low + high) / 2 - below) / inside
+                rows = numbers.where(F.col(names[c]).between(*bands[c]))
+                lo, hi = rows.approxQuantile(names[c], [max(0.0, mid - BAND), min(1.0, mid + BAND)], BAND / 2)
+                if (lo, hi) == bands[c]:
+                    ready.append(c)              # few distinct values, many times each
+                bands[c] = (lo, hi)
+            else:
+                ready.append(c)
+        if ready:
+            held = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), F.when(
+                F.col(names[c]).between(*bands[c]), F.col(names[c])).alias("value")) for c in ready]),
+                lambda p: p["value"].isNotNull())
+            got: dict = {c: [] for c in ready}
+            for r in numbers.select(F.explode(held).alias("p")).groupBy("p.column", "p.value").count().collect():
+                got[r["column"]].append((r["value"], r["count"]))
+            for c in ready:
+                n, at, middle = counts[c][0], counts[c][1], []
+                for value, times in sorted(got[c]):
+                    middle += [value for rank in ((n - 1) // 2, n // 2) if at <= rank < at + times]
+                    at += times
+                out[c] = (middle[0] + middle[1]) / 2
+            open_ = [c for c in open_ if c not in set(ready)]
+    return {c: out[c] for c in cols}
 
 
 def fit_median(train: DataFrame, columns, keep_empty: bool = False) -> ImputeParams:
-    got = {r["column"]: r["median"] for r in median_table(train, columns).collect()}
-    return ImputeParams({c: got.get(c) for c in columns}, keep_empty)
+    return ImputeParams(medians(train, columns), keep_empty)
 
 
 def apply_median(df: DataFrame, p: ImputeParams, passthrough=()) -> DataFrame:
@@ -123,17 +189,10 @@ class ScaleParams:
 
 def fit_standard(train: DataFrame, columns) -> ScaleParams:
     """Train mean and population standard deviation; a zero deviation
-    divides by 1 (A5).  Long format: two aggregates grouped by column name,
-    so hundreds of columns do not become hundreds of generated aggregates,
-    and the shuffle carries one partial row per column and partition."""
-    cols = list(columns)
-    if not cols:
-        return ScaleParams()
-    got = {r["column"]: (r["m"], r["s"]) for r in long_values(train, cols).groupBy("column").agg(
-        F.avg("value").alias("m"), F.stddev_pop("value").alias("s")).collect()}
-    mean = {c: got.get(c, (None, None))[0] for c in cols}
-    scale = {c: (got[c][1] if c in got and got[c][1] not in (None, 0.0) else 1.0) for c in cols}
-    return ScaleParams(mean, scale)
+    divides by 1 (A5).  One pass, no unpivot."""
+    got = column_stats(train, columns, m=F.avg, s=F.stddev_pop)
+    return ScaleParams({c: v["m"] for c, v in got.items()},
+                       {c: v["s"] if v["s"] not in (None, 0.0) else 1.0 for c, v in got.items()})
 
 
 def apply_standard(df: DataFrame, p: ScaleParams, passthrough=()) -> DataFrame:
@@ -188,21 +247,17 @@ def fit_corr_drop(train: DataFrame, columns, threshold: float = CORR_DROP) -> li
 
 def variance_table(train: DataFrame, columns) -> DataFrame:
     """Sample variance per column, long format (A8); a column without values
-    has a NULL variance."""
-    cols = list(columns)
-    got = long_values(train, cols).groupBy("column").agg(F.var_samp("value").alias("variance"))
-    names = train.sparkSession.createDataFrame([(c,) for c in cols], "column string")
-    return names.join(got, "column", "left")
+    has a NULL variance.  One row per column: bounded by the schema."""
+    got = column_stats(train, columns, v=F.var_samp)
+    return train.sparkSession.createDataFrame([(c, v["v"]) for c, v in got.items()], "column string, variance double")
 
 
 def top_variance(train: DataFrame, columns, k: int = 12, exclude=("landmark_hour", "landmark_hour_sq")) -> list[str]:
     """The ``k`` columns of largest sample variance (ties by name)."""
     cols = [c for c in columns if c not in set(exclude)]
-    if not cols or k <= 0:
-        return []
-    rows = (variance_table(train, cols).where(F.col("variance").isNotNull() & ~F.isnan("variance"))
-            .orderBy(F.desc("variance"), "column").limit(k).collect())
-    return [r["column"] for r in rows]
+    got = column_stats(train, cols, v=F.var_samp)
+    known = sorted((-v["v"], c) for c, v in got.items() if v["v"] is not None and v["v"] == v["v"])
+    return [c for _, c in known[:max(k, 0)]]
 
 
 def add_interactions(df: DataFrame, columns, hour_col: str = "landmark_hour") -> DataFrame:

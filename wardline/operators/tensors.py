@@ -2,10 +2,11 @@
 
 A landmark's history is the ``window`` hours ``floor(t_end)-window+1 ..
 floor(t_end)`` of the (floor-bucketed) hourly table, hour-major, with NULL
-for hours the stay does not have.  Each landmark is expanded to its
-``window`` hour slots and equi-joined to the hourly table on (stay, hour):
-no range join, and every group that is collected holds exactly ``window``
-slots.
+for hours the stay does not have.  Every hourly row goes to the landmarks of
+the grid whose window holds it (two with the usual step) and meets them by an
+equi-join on (stay, landmark); the same partitioning then collects them, and
+the array's positions are filled in the row.  Nothing is expanded to the
+window's length on the way.
 """
 
 from __future__ import annotations
@@ -16,30 +17,42 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame, functions as F
 
 from .cohort import ID_COL
+from .landmarks import FIRST_LANDMARK, STEP_HOURS
 
 WINDOW_HOURS = 24
 
 
-def history_slots(landmarks: DataFrame, hourly: DataFrame, variables, window: int = WINDOW_HOURS,
-                  keys=(ID_COL, "t_end")) -> DataFrame:
-    """Long form: one row per (landmark, pos) with the hour's variable values
-    (NULL when the stay has no row at that hour or the hour is negative)."""
-    keys = list(keys)
-    base = F.floor(F.col("t_end")).cast("int")
-    slots = landmarks.select(*keys, F.posexplode(F.sequence(base - (window - 1), base)).alias("pos", "hour"))
-    hv = hourly.select(ID_COL, "hour", *variables)
-    j = slots.join(hv, on=[ID_COL, "hour"], how="left")
-    return j.select(*keys, "pos", "hour", *variables)
+def _sent(hourly: DataFrame, variables, window: int, first: int, step: int) -> DataFrame:
+    """(stay, t_end, pos, hour, variables): each hourly row at the grid's
+    landmarks ``first + k step`` (any whole k) whose window holds it."""
+    hour = F.col("hour")
+    lo = F.ceil((hour - first) / F.lit(step))
+    hi = F.floor((hour + (window - 1) - first) / F.lit(step))
+    k = F.when(lo <= hi, F.sequence(lo, hi)).otherwise(F.array().cast("array<bigint>"))
+    ex = hourly.select(ID_COL, "hour", *variables, F.explode(k).alias("_k"))
+    t_end = F.lit(first) + F.col("_k") * step
+    return ex.select(ID_COL, t_end.cast("double").alias("t_end"), (hour - t_end + (window - 1)).cast("int").alias("pos"),
+                     "hour", *variables)
+
+
+def history_cells(landmarks: DataFrame, hourly: DataFrame, variables, window: int = WINDOW_HOURS,
+                  first: int = FIRST_LANDMARK, step: int = STEP_HOURS) -> DataFrame:
+    """One row per (landmark, observed hour) with its position and values;
+    landmarks must lie on the grid ``first``, ``step``."""
+    keys = landmarks.select(ID_COL, F.col("t_end").cast("double").alias("t_end"))
+    return keys.join(_sent(hourly, variables, window, first, step), [ID_COL, "t_end"])
 
 
 def history_tensor(landmarks: DataFrame, hourly: DataFrame, variables, window: int = WINDOW_HOURS,
-                   keys=(ID_COL, "t_end")) -> DataFrame:
+                   first: int = FIRST_LANDMARK, step: int = STEP_HOURS) -> DataFrame:
     """``time_series``: ARRAY<ARRAY<DOUBLE>> of shape (window, variables)."""
-    keys = list(keys)
-    long = history_slots(landmarks, hourly, variables, window, keys)
     cells = F.array(*[F.col(v).cast("double") for v in variables])
-    g = long.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("pos", cells.alias("v")))).alias("_s"))
-    return g.select(*keys, F.transform("_s", lambda s: s["v"]).alias("time_series"))
+    got = _sent(hourly, variables, window, first, step).groupBy(ID_COL, "t_end").agg(
+        F.map_from_entries(F.collect_list(F.struct("pos", cells.alias("v")))).alias("_at"))
+    keys = landmarks.select(ID_COL, F.col("t_end").cast("double").alias("t_end"))
+    empty = F.array(*[F.lit(None).cast("double") for _ in variables])
+    row = F.transform(F.sequence(F.lit(0), F.lit(window - 1)), lambda p: F.coalesce(F.try_element_at("_at", p), empty))
+    return keys.join(got, [ID_COL, "t_end"], "left").select(ID_COL, "t_end", row.alias("time_series"))
 
 
 @dataclass
@@ -48,12 +61,12 @@ class TensorNorm:
     std: dict = field(default_factory=dict)
 
 
-def tensor_norm_table(train_slots: DataFrame, variables) -> DataFrame:
+def tensor_norm_table(train_cells: DataFrame, variables) -> DataFrame:
     """Mean and population std of every variable over all non-NULL
     (landmark, hour) cells of the training rows (an hour counts once per
     window that holds it); non-finite mean -> 0, std not finite or <= 1e-6 -> 1."""
     cols = list(variables)
-    agg = train_slots.agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(cols)],
+    agg = train_cells.agg(*[F.avg(v).alias(f"m_{i}") for i, v in enumerate(cols)],
                           *[F.stddev_pop(v).alias(f"s_{i}") for i, v in enumerate(cols)])
     return agg.select(F.explode(F.array(*[
         F.struct(F.lit(v).alias("variable"),
@@ -62,8 +75,8 @@ def tensor_norm_table(train_slots: DataFrame, variables) -> DataFrame:
         for i, v in enumerate(cols)])).alias("p")).select("p.*")
 
 
-def fit_tensor_norm(train_slots: DataFrame, variables) -> TensorNorm:
-    rows = tensor_norm_table(train_slots, variables).collect()
+def fit_tensor_norm(train_cells: DataFrame, variables) -> TensorNorm:
+    rows = tensor_norm_table(train_cells, variables).collect()
     mean = {r["variable"]: (r["mean"] if r["mean"] is not None and math.isfinite(r["mean"]) else 0.0) for r in rows}
     std = {r["variable"]: (r["std"] if r["std"] is not None and math.isfinite(r["std"]) and r["std"] > 1e-6 else 1.0)
            for r in rows}

@@ -26,8 +26,31 @@ def _time_variables(time_df: DataFrame) -> list[str]:
     return numeric_variables(time_df, exclude=hourly.TIME_EXCLUDE)
 
 
+STATIC_COLUMNS = (ID_COL, GROUP_COL, cohort.HADM_COL, "intime", "outtime", "icu_los_hours")
+
+
+def check_inputs(inp: CohortInputs) -> None:
+    """Checks that need the data (one job): required columns, a unique stay id
+    in the static table, and at least one stay that is long enough.  The
+    builders themselves stay lazy and check the schemas only."""
+    _check_schemas(inp)
+    row = inp.static.agg(F.count(ID_COL).alias("n"), F.count_distinct(ID_COL).alias("d"),
+                         F.count_if(F.col("icu_los_hours") >= cohort.MIN_LOS_HOURS).alias("kept")).first()
+    if row["n"] != row["d"]:
+        raise ValueError(f"static: {ID_COL} is not unique ({row['n']} rows, {row['d']} ids)")
+    if not row["kept"]:
+        raise ValueError(f"no stay of at least {cohort.MIN_LOS_HOURS:g} hours")
+
+
+def _check_schemas(inp: CohortInputs) -> None:
+    require_columns(inp.static, STATIC_COLUMNS, "static")
+    require_columns(inp.time_series, [ID_COL, "hour_ts"], "time series")
+    if inp.text is not None:
+        require_columns(inp.text, [ID_COL, notes.TEXT_COL], "text")
+
+
 def _prepare(inp: CohortInputs, debug_max_stays: int = 0):
-    require_columns(inp.static, [ID_COL, GROUP_COL, "intime", "outtime", "icu_los_hours"], "static")
+    _check_schemas(inp)
     kept = cohort.los_filter(inp.static)
     kept = cohort.debug_sample(kept, debug_max_stays)
     ts = cohort.restrict(inp.time_series, kept)

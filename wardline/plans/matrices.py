@@ -16,8 +16,9 @@ from ..operators import fit as FT
 from ..operators import labels as LB
 from ..operators import tensors as TS
 from ..operators import text_features as TX
-from ..operators.cohort import GROUP_COL, HADM_COL, ID_COL
+from ..operators.cohort import GROUP_COL, HADM_COL, ID_COL, leakage_columns
 from ..session import cut_lineage
+from ..sources.tables import numeric_variables, require_columns
 
 TASK_COLS = (LB.TASK1_COL, LB.TASK2_COL, LB.TASK2_MASK_COL)
 KEEP = (ID_COL, GROUP_COL, "t_end", "split", "first_careunit") + TASK_COLS
@@ -51,6 +52,19 @@ class Matrices:
         return self.data.where(F.col("split") == name)
 
 
+BASE_REQUIRED = (ID_COL, GROUP_COL, "t_end", *TASK_COLS)
+
+
+def _split(table: DataFrame, required) -> DataFrame:
+    """The table with its split, after the guards: required columns, and at
+    least three groups where the split is made here."""
+    require_columns(table, required, "landmark table")
+    if "split" in table.columns:
+        return table
+    FT.check_groups(table)
+    return FT.group_split(table)
+
+
 def _present(df, cols):
     return [c for c in cols if c in df.columns]
 
@@ -59,7 +73,7 @@ def base_matrices(master: DataFrame, scale_for_linear: bool, tfidf_max_features:
                   checkpoint: bool = True) -> Matrices:
     """X2 on the trailing master: missing drop, TF-IDF, numeric selection,
     median imputation, optional standardisation, correlation drop."""
-    df = master if "split" in master.columns else FT.group_split(master)
+    df = _split(master, BASE_REQUIRED)
     if checkpoint:
         df = cut_lineage(df)
     train = df.where("split = 'train'")
@@ -111,7 +125,7 @@ def _finish(df, feats, scale, artifacts, checkpoint=True, interactions: int = 0)
 def cumulative_matrices(master: DataFrame, checkpoint: bool = True) -> Matrices:
     """X3 on the cumulative master: missing drop (``_measured_frac`` kept),
     numeric selection, median imputation, correlation drop; no scaling."""
-    df = master if "split" in master.columns else FT.group_split(master)
+    df = _split(master, BASE_REQUIRED)
     if checkpoint:
         df = cut_lineage(df)
     train = df.where("split = 'train'")
@@ -126,7 +140,7 @@ def landmark_matrices(table: DataFrame, max_interactions: int = 12, checkpoint:
     """X4 on the landmark table: missing drop, numeric selection plus the
     landmark terms, median imputation, top-variance interactions (X5),
     standardisation, correlation drop."""
-    df = table if "split" in table.columns else FT.group_split(table)
+    df = _split(table, (ID_COL, GROUP_COL, "t_end"))
     if checkpoint:
         df = cut_lineage(df)
     train = df.where("split = 'train'")
@@ -144,12 +158,23 @@ def landmark_matrices(table: DataFrame, max_interactions: int = 12, checkpoint:
     return _finish(df, feats, True, {"cols_to_drop_missing": drop}, checkpoint, interactions=max_interactions)
 
 
+def static_features_of(static: DataFrame) -> list[str]:
+    """Static columns that may be features: numeric, no id, no time, and not
+    leaking the outcome; in column order."""
+    leaking = set(leakage_columns(static.columns))
+    return [c for c in numeric_variables(static, exclude=("intime", "outtime", "deathtime")) if c not in leaking]
+
+
 def tensor_dataset(master: DataFrame, static: DataFrame, hourly_floor: DataFrame, variables,
                    static_features, events: DataFrame, max_text_len: int = TX.MAX_TEXT_LEN,
                    window: int = TS.WINDOW_HOURS) -> tuple[DataFrame, dict]:
     """Per landmark the normalised history tensor, the imputed and
     scaled static vector (empty-in-train columns kept as 0), the encoded
-    note text, both task labels and the three survival targets."""
+    note text, both task labels and the three survival targets.
+
+    ``static_features`` None: every column that may be one."""
+    if static_features is None:
+        static_features = static_features_of(static)
     ev = events.select(ID_COL, GROUP_COL, "event_type", "event_hour")
     df = master.join(ev, [ID_COL, GROUP_COL], "inner").dropna(subset=["event_type", "event_hour"])
     df = LB.survival_targets(df)
@@ -159,7 +184,7 @@ def tensor_dataset(master: DataFrame, static: DataFrame, hourly_floor: DataFrame
     df = FT.group_split(df)
     df = cut_lineage(df)
     train = df.where("split = 'train'")
-    slots_train = TS.history_slots(train.select(ID_COL, "t_end"), hourly_floor, variables, window)
+    slots_train = TS.history_cells(train.select(ID_COL, "t_end"), hourly_floor, variables, window)
     norm = TS.fit_tensor_norm(slots_train, variables)
     tens = TS.normalize_tensor(TS.history_tensor(df.select(ID_COL, "t_end"), hourly_floor, variables, window),
                                norm, variables)
@@ -176,7 +201,7 @@ def tensor_dataset(master: DataFrame, static: DataFrame, hourly_floor: DataFrame
     out = (base.join(tens, [ID_COL, "t_end"], "left").join(sdf, [ID_COL, "t_end"], "left")
            .join(enc.drop("n_tokens"), [ID_COL, "t_end"], "left"))
     return out, {"time_mean": norm.mean, "time_std": norm.std, "static_medians": imp.medians,
-                 "static_scaler": scaler, "vocabulary": vocab}
+                 "static_scaler": scaler, "vocabulary": vocab, "static_features": list(static_features)}
 
 
 def landmark_interactions(table: DataFrame, max_interactions: int = 12, checkpoint: bool = True) -> DataFrame:
@@ -184,7 +209,7 @@ def landmark_interactions(table: DataFrame, max_interactions: int = 12, checkpoi
     drop, median imputation fitted on train), then ``{col}_x_landmark`` for
     the top-variance training columns, in long form
     (stay_id, t_end, feature, value) for every split."""
-    df = table if "split" in table.columns else FT.group_split(table)
+    df = _split(table, (ID_COL, GROUP_COL, "t_end"))
     if checkpoint:
         df = cut_lineage(df)
     train = df.where("split = 'train'")

@@ -252,6 +252,11 @@ def q_calibration(spark, d):
     return rounded(EV.calibration_bins(_pred(spark, d), "y1_true", "y1_prob"))
 
 
+@query("calibration_task2")
+def q_calibration_task2(spark, d):
+    return rounded(EV.calibration_bins(_pred(spark, d).where("y2_mask = 1"), "y2_true", "y2_prob"))
+
+
 @query("subgroup_metrics")
 def q_subgroup(spark, d):
     return rounded(EV.subgroup_metrics(_pred(spark, d)))
@@ -332,10 +337,9 @@ def q_corr_drop(spark, d):
 def q_top_variance(spark, d):
     _, imp = _imputed(spark, d)
     cols = [c for c in imp.columns if c in WIDE]
-    vt = FT.variance_table(imp.where("split = 'train'"), cols).where(F.col("variance").isNotNull())
-    from pyspark.sql import Window
-    r = F.row_number().over(Window.orderBy(F.desc("variance"), "column"))
-    return rounded(vt.withColumn("rank", r).where(F.col("rank") <= 12), 4)
+    train = imp.where("split = 'train'")
+    ranks = spark.createDataFrame(list(enumerate(FT.top_variance(train, cols), 1)), "rank int, column string")
+    return rounded(FT.variance_table(train, cols).join(F.broadcast(ranks), "column"), 4)
 
 
 # ---- step 7: text features and history tensors ------------------------------------
@@ -386,7 +390,7 @@ def q_history_tensor(spark, d):
 def q_tensor_normalize(spark, d):
     mt, hf = _tensor_inputs(spark, d)
     train = FT.group_split(mt).where("split = 'train'").select("stay_id", "t_end")
-    return rounded(TS.tensor_norm_table(TS.history_slots(train, hf, VARS), VARS))
+    return rounded(TS.tensor_norm_table(TS.history_cells(train, hf, VARS), VARS))
 
 
 @query("modality_switch")
@@ -435,19 +439,45 @@ def q_cif_rescaled(spark, d):
         *[c for c in fixtures.survival_logits(spark, d).columns if c.startswith("logit")]))
 
 
+def _matrix_long(m, features):
+    """(stay_id, t_end, split, feature, value); standard deviations rounded
+    less, as two engines sum them up differently."""
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.round(F.col(f"`{c}`"), 3 if "_cum_std" in c else 6).alias("value"))
+                      for c in features])
+    return m.data.select("stay_id", "t_end", "split", F.explode(pairs).alias("p")).select("stay_id", "t_end", "split", "p.*")
+
+
+def _base(spark, d):
+    return MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
+
+
 @query("base_matrix")
 def q_base_matrix(spark, d):
-    return MX.base_matrices(_master_split(spark, d), scale_for_linear=True).data
+    m = _base(spark, d)
+    return _matrix_long(m, [c for c in m.features if not c.startswith("tfidf_")])
+
+
+@query("base_matrix_text")
+def q_base_matrix_text(spark, d):
+    """The TF-IDF part of the base matrix, summed up by split and term."""
+    m = _base(spark, d)
+    pairs = F.array(*[F.struct(F.lit(c).alias("feature"), F.col(f"`{c}`").alias("v")) for c in m.features if c.startswith("tfidf_")])
+    x = m.data.select("split", F.explode(pairs).alias("p")).select("split", "p.feature", "p.v")
+    return rounded(x.groupBy("split", "feature").agg(
+        F.count("*").alias("n"), F.avg("v").alias("mean_value"), F.max("v").alias("max_value"),
+        F.avg(F.col("v") * F.col("v")).alias("mean_square")))
 
 
 @query("cumulative_matrix")
 def q_cumulative_matrix(spark, d):
-    return MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False)))).data
+    m = MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False))))
+    return _matrix_long(m, m.features)
 
 
 @query("landmark_matrix")
 def q_landmark_matrix(spark, d):
-    return MX.landmark_matrices(FT.group_split(M.landmark_table(cohort_inputs(spark, d, False)))).data
+    m = MX.landmark_matrices(FT.group_split(M.landmark_table(cohort_inputs(spark, d, False))))
+    return _matrix_long(m, m.features)
 
 
 @query("logistic_two_head")
@@ -498,7 +528,7 @@ def q_two_monitors(spark, d):
 def q_attribution(spark, d):
     m = MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
     run = RN.run_logistic(m)
-    means = FT.fit_standard(m.split("train"), m.features).mean
+    means = FT.fit_standard(m.split("train"), m.features).mean     # one pass
     sample = MD.seeded_sample(m.split("test").withColumn("t_hour", F.col("t_end").cast("bigint")), 2000,
                               ["stay_id", "t_hour"])
     return MD.linear_attribution(run.model.head1, sample, means)
@@ -509,7 +539,8 @@ def q_cause_specific(spark, d):
     inp = cohort_inputs(spark, d, with_text=False)
     table = M.landmark_table(inp)
     m = MX.landmark_matrices(FT.group_split(table))
-    return RN.cause_specific_cif(m, labels.survival_targets(table))
+    targets = labels.survival_targets(table)
+    return RN.cif_table(RN.cause_specific_cif(m, targets), targets)
 
 
 @query("tensor_dataset")
@@ -520,7 +551,7 @@ def q_tensor_dataset(spark, d):
     rel = hourly.with_relative_hour(cohort.restrict(inp.time_series, kept), kept)
     hf = hourly.hourly_means(rel, VARS, "floor")
     ev = labels.event_table(kept, require_positive=False)
-    out, _ = MX.tensor_dataset(mt.drop("split"), kept, hf, VARS, ["age"], ev)
+    out, _ = MX.tensor_dataset(mt.drop("split"), kept, hf, VARS, None, ev)
     return out
 
 

@@ -8,31 +8,19 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from ..functions.timecols import try_double, try_timestamp
 
-DRIVER_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem",
-                 "events", "documents", "embeddings", "pages", "benchmark", "labels",
-                 "conversations")
-
-
 def read_table(spark: SparkSession, base_dir: str, name: str) -> DataFrame:
     """Parquet table ``{base_dir}/{name}.parquet``; Catalyst prunes columns and
     pushes filters into the scan."""
     return spark.read.parquet(os.path.join(base_dir, f"{name}.parquet"))
 
 
-# Reconstructed schemas of the three cohort inputs.  Explicit types matter:
-# an all-null column would otherwise be inferred as string.
-STATIC_KEYS = T.StructType([
-    T.StructField("stay_id", T.LongType()),
-    T.StructField("subject_id", T.LongType()),
-    T.StructField("hadm_id", T.LongType()),
-])
-
-
-def read_cohort_csv(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """CSV with header (S1).  Notes hold newlines and quotes, so records may
-    span lines.  Without a schema every column is read as string and typed
-    afterwards by :func:`coerce_types` (lenient, like the reference)."""
-    reader = (spark.read.option("header", True).option("multiLine", True)
+def read_cohort_csv(spark: SparkSession, path: str, schema: T.StructType | None = None,
+                    multi_line: bool = False) -> DataFrame:
+    """CSV with header (S1).  ``multi_line`` for files whose quoted fields hold
+    line breaks (Spark then reads a file in one task).  Without a schema every
+    column is read as string and typed afterwards by :func:`coerce_types`
+    (lenient, like the reference)."""
+    reader = (spark.read.option("header", True).option("multiLine", multi_line)
               .option("escape", '"').option("mode", "PERMISSIVE"))
     if schema is not None:
         reader = reader.schema(schema)
