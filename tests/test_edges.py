@@ -172,3 +172,87 @@ def test_readmission_skew_safe_equals_window(spark):
     a = {r["stay_id"]: r["readmit_72h"] for r in labels.readmit_labels(st).collect()}
     b = {r["stay_id"]: r["readmit_72h"] for r in labels.readmit_labels(st, skew_safe=False).collect()}
     assert a == b and sum(a.values()) > 0
+
+
+@pytest.mark.parametrize("window,step,want", [(12, 12, [12.0, 24.0, 36.0, 48.0]), (12, 6, [12.0, 18.0, 24.0, 30.0, 36.0, 42.0, 48.0]),
+                                              (48, 12, [48.0])])
+def test_first_landmark_is_the_first_full_window(spark, window, step, want):
+    st = spark.createDataFrame([static_row(1, 1, 1, 200)], STATIC_SCHEMA)
+    ts = spark.createDataFrame([(1, h(x), 1.0) for x in range(1, 49)], TIME_SCHEMA)
+    hr = hourly.hourly_means(hourly.with_relative_hour(ts, st), ["hr"], "rint")
+    got = landmarks.trailing_features(hr, ["hr"], window=window, step=step).orderBy("t_end").collect()
+    assert [r.t_end for r in got] == want and all(r.t_start == r.t_end - window for r in got)
+
+
+@pytest.mark.parametrize("missing", [None, float("nan")])
+def test_missing_loss_is_no_improvement(spark, missing):
+    from wardline.operators import curves
+    df = spark.createDataFrame([(1, 0.5)] + [(i, missing) for i in range(2, 8)], "epoch int, val_loss_total double")
+    r = curves.early_stop(df, patience=2).first()
+    assert (r.best_epoch, r.best_val_total_loss, r.stopped_epoch) == (1, 0.5, 3)
+
+
+def test_guards(spark):
+    st = spark.createDataFrame([static_row(1, 1, 1, 100), static_row(1, 2, 2, 50)], STATIC_SCHEMA)
+    ts = spark.createDataFrame([(1, h(x), 1.0) for x in range(30)], TIME_SCHEMA)
+    with pytest.raises(ValueError, match="not unique"):
+        M.check_inputs(M.CohortInputs(st, ts))
+    short = spark.createDataFrame([static_row(1, 1, 1, 10)], STATIC_SCHEMA)
+    with pytest.raises(ValueError, match="no stay"):
+        M.check_inputs(M.CohortInputs(short, ts))
+    with pytest.raises(ValueError, match="hour_ts"):
+        M.master_trailing(M.CohortInputs(short, ts.drop("hour_ts")))
+    from wardline.plans import matrices as MX
+    two = spark.createDataFrame([(1, 1, 24.0), (2, 2, 24.0)], "stay_id long, subject_id long, t_end double")
+    with pytest.raises(ValueError, match="at least 3"):
+        MX.landmark_matrices(two)
+    with pytest.raises(ValueError, match="task2_mask"):
+        MX.base_matrices(two, True)
+
+
+def test_building_a_plan_runs_no_job(spark):
+    from wardline.operators import evaluate as EV
+    pred = spark.createDataFrame([(1, 0.7, 1, 0.4, 1, "a"), (0, 0.2, 1, 0.9, 0, "b")],
+                                 "y1_true int, y1_prob double, y2_true int, y2_prob double, y2_mask int, first_careunit string")
+    st = spark.createDataFrame([static_row(1, 1, 1, 100)], STATIC_SCHEMA)
+    ts = spark.createDataFrame([(1, h(x), 1.0) for x in range(30)], TIME_SCHEMA)
+    tracker = spark.sparkContext.statusTracker()
+    spark.sparkContext.setJobGroup("planning", "plans only")
+    EV.metrics_bundle(pred), EV.subgroup_metrics(pred), EV.calibration_bins(pred, "y1_true", "y1_prob")
+    landmarks.trailing_features(hourly.hourly_means(hourly.with_relative_hour(ts, st), ["hr"], "rint"), ["hr"])
+    assert len(tracker.getJobIdsForGroup("planning")) == 0
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_history_tensor_matches_plain_lookup(spark):
+    from wardline.operators import tensors as TS
+    rows = [(1, x, float(x)) for x in (0, 1, 5, 23, 24, 30, 36)] + [(2, 24, 7.0)]
+    hr = spark.createDataFrame(rows, "stay_id long, hour int, hr double")
+    marks = spark.createDataFrame([(1, 24.0), (1, 36.0), (2, 24.0), (3, 24.0)], "stay_id long, t_end double")
+    got = {(r.stay_id, r.t_end): [c[0] for c in r.time_series] for r in TS.history_tensor(marks, hr, ["hr"]).collect()}
+    for (stay, t), cells in got.items():
+        held = {x: v for s, x, v in rows if s == stay}
+        assert cells == [held.get(int(t) - 23 + p) for p in range(24)]
+    off = TS.modality_switch(TS.history_tensor(marks, hr, ["hr"]).selectExpr("*", "array(1.0D) AS static", "array(3) AS input_ids", "array(1) AS attention_mask"),
+                             use_text=False, use_time=False, use_static=False).first()
+    assert off.static == [0.0] and off.input_ids == [0] and off.attention_mask == [0] and off.time_series == [[0.0]] * 24
+
+
+def test_medians_widen_narrow_and_skip_nan(spark):
+    import random
+    from wardline.operators import fit
+    rnd = random.Random(4)
+    cols = {"a": [rnd.random() for _ in range(999)], "b": [1.0] * 998 + [None], "c": [float("nan"), None] * 499 + [2.0],
+            "d": [None] * 999, "e": [float(i // 500) for i in range(999)], "f": [rnd.randint(0, 3) * 1.0 for _ in range(998)] + [None]}
+    df = spark.createDataFrame(list(zip(*cols.values())), ", ".join(f"{c} double" for c in cols))
+    want = {}
+    for c, v in cols.items():
+        x = sorted(y for y in v if y is not None and y == y)
+        want[c] = (x[(len(x) - 1) // 2] + x[len(x) // 2]) / 2 if x else None
+    assert fit.medians(df, cols) == want
+    old = fit.BAND, fit.BAND_ROWS
+    try:
+        fit.BAND, fit.BAND_ROWS = 0.05, 4          # narrow again and again
+        assert fit.medians(df, cols) == want
+    finally:
+        fit.BAND, fit.BAND_ROWS = old

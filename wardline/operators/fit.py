@@ -8,10 +8,9 @@ join and no shuffle.  Parameters can be saved and reloaded as parquet.
 
 from __future__ import annotations
 
-import json
-from dataclasses import asdict, dataclass, field
+from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from .cohort import GROUP_COL, seeded_rank
 
@@ -281,18 +280,3 @@ def feature_columns(df: DataFrame, exclude=()) -> list[str]:
 def prefix_columns(df: DataFrame, columns, prefix: str = "static__") -> DataFrame:
     """Rename ``col`` to ``{prefix}{col}``."""
     return df.withColumnsRenamed({c: f"{prefix}{c}" for c in columns})
-
-
-# ---- M5: persistence of fitted parameters -----------------------------------------------
-
-def save_params(spark: SparkSession, path: str, **params) -> None:
-    """Store parameter objects as a one-row-per-entry parquet table."""
-    rows = []
-    for name, p in params.items():
-        payload = asdict(p) if hasattr(p, "__dataclass_fields__") else p
-        rows.append((name, json.dumps(payload)))
-    spark.createDataFrame(rows, "name string, payload string").write.mode("overwrite").parquet(path)
-
-
-def load_params(spark: SparkSession, path: str) -> dict:
-    return {r["name"]: json.loads(r["payload"]) for r in spark.read.parquet(path).collect()}

@@ -51,6 +51,11 @@ class Matrices:
     def split(self, name: str) -> DataFrame:
         return self.data.where(F.col("split") == name)
 
+    def apply(self, table: DataFrame) -> DataFrame:
+        """The fitted transforms on another landmark table: its key and label
+        columns that are there, and the final features."""
+        return apply_artifacts(table, self.artifacts, self.features)
+
 
 BASE_REQUIRED = (ID_COL, GROUP_COL, "t_end", *TASK_COLS)
 
@@ -81,14 +86,14 @@ def base_matrices(master: DataFrame, scale_for_linear: bool, tfidf_max_features:
     drop = FT.fit_missing(train, cand, safe=BASE_SAFE, keep_suffixes=("_is_measured",))
     df = df.drop(*drop)
     train = df.where("split = 'train'")
-    tfidf_names = []
+    tfidf_names, model = [], None
     if "final_text" in df.columns and train.where(F.length(F.coalesce("final_text", F.lit(""))) > 0).limit(1).count():
         model = TX.fit_tfidf(train, "final_text", max_features=tfidf_max_features)
         df = TX.tfidf_wide(df, "final_text", model)
         tfidf_names = [f"tfidf_{t}" for t in model.vocabulary]
     feats = FT.feature_columns(df, exclude=BASE_EXCLUDE + ("split",))
-    return _finish(df, feats, scale_for_linear, {"cols_to_drop_missing": drop, "tfidf_feature_names": tfidf_names},
-                   checkpoint)
+    return _finish(df, feats, scale_for_linear, {"cols_to_drop_missing": drop, "tfidf_feature_names": tfidf_names,
+                                                 "tfidf": model}, checkpoint)
 
 
 def _finish(df, feats, scale, artifacts, checkpoint=True, interactions: int = 0):
@@ -122,6 +127,29 @@ def _finish(df, feats, scale, artifacts, checkpoint=True, interactions: int = 0)
     return Matrices(work.select(*keep, *final), final, artifacts)
 
 
+def apply_artifacts(table: DataFrame, artifacts: dict, features: list) -> DataFrame:
+    """Fitted transforms from their artifacts (as saved with a run): TF-IDF,
+    imputation, interactions, scaling, final columns.  No fitting, no join."""
+    df, tfidf = table, artifacts.get("tfidf")
+    if tfidf and tfidf.vocabulary:
+        df = TX.tfidf_wide(df, "final_text", tfidf)
+    if "landmark_hour" not in df.columns:
+        df = df.withColumn("landmark_hour", F.col("t_end").cast("double"))
+    if "landmark_hour_sq" not in df.columns:
+        df = df.withColumn("landmark_hour_sq", F.pow("landmark_hour", 2))
+    keep = [c for c in df.columns if c in KEEP or c == "landmark_hour"]
+    imputed = FT.ImputeParams({c: m for c, m in artifacts["medians"].items() if c not in keep})
+    hour = {"landmark_hour": artifacts["medians"].get("landmark_hour")} if "landmark_hour" in artifacts["medians"] else {}
+    df = FT.apply_median(df, imputed, passthrough=keep)
+    df = df.fillna({k: v for k, v in hour.items() if v is not None})
+    if artifacts["interaction_cols"]:
+        df = FT.add_interactions(df, [c.removesuffix("_x_landmark") for c in artifacts["interaction_cols"]])
+    keep = [c for c in keep if c not in artifacts["numeric_features"]]
+    if artifacts["scaler"] is not None:
+        df = FT.apply_standard(df, artifacts["scaler"], passthrough=keep)
+    return df.select(*keep, *[F.col(f"`{c}`") for c in features])
+
+
 def cumulative_matrices(master: DataFrame, checkpoint: bool = True) -> Matrices:
     """X3 on the cumulative master: missing drop (``_measured_frac`` kept),
     numeric selection, median imputation, correlation drop; no scaling."""

@@ -534,6 +534,16 @@ def q_attribution(spark, d):
     return MD.linear_attribution(run.model.head1, sample, means)
 
 
+@query("attribution_tree")
+def q_attribution_tree(spark, d):
+    """Permutation importance of the boosted task-1 head on test rows."""
+    m = MX.cumulative_matrices(FT.group_split(M.master_cumulative(cohort_inputs(spark, d, False))))
+    head = MD.fit_head(m.split("train"), m.features, labels.TASK1_COL, "gbt")
+    sample = MD.seeded_sample(m.split("test").withColumn("t_hour", F.col("t_end").cast("bigint")), 2000,
+                              ["stay_id", "t_hour"])
+    return MD.permutation_importance(head, sample, labels.TASK1_COL, ["stay_id", "t_hour"])
+
+
 @query("cause_specific_cif")
 def q_cause_specific(spark, d):
     inp = cohort_inputs(spark, d, with_text=False)
