@@ -96,11 +96,20 @@ def test_planted_and_re_parameterised_items(spark):
     got = {r.doc_id: r for r in decontaminate.contaminated(docs, items).collect()}
     want = {len(AWKWARD) + i: ids for i, (_, ids) in enumerate(CASES) if ids}
     assert {i: r.item_ids for i, r in got.items()} == want
-    assert all(r.n_items == len(r.item_ids) and 0.5 <= r.coverage <= 1 for r in got.values())
+    assert all(r.n_items == len(r.item_ids) and 0.5 <= r.coverage <= 1 and r.run >= 1 for r in got.values())
     kept = decontaminate.clean(docs, items)
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(want)
 
 
+def test_part_of_a_long_item(spark):
+    words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(1, FILL + " ".join(words[20:33]) + " " + FILL), (2, FILL + " ".join(words[20:32]) + " " + FILL),
+                                  (3, f" {FILL}".join(" ".join(words[k:k + 6]) for k in range(0, 24, 8)))], "doc_id long, text string")
+    got = decontaminate.contaminated(docs, items).collect()
+    assert [(r.doc_id, r.run) for r in got] == [(1, 13)] and got[0].coverage == pytest.approx(13 / 60)
+
+
 def test_slots_must_be_consistent(spark):
     text = "then {0} gave it to {1} who told {0} that {1} had seen how {0} and {1} went away with {0} again"
     items = spark.createDataFrame([(1, text.format("Anna", "Berta"))], "item_id long, text string")

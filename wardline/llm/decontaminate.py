@@ -9,7 +9,8 @@ values in the slots are then compared along each alignment of the document
 with the item: one item value must always stand for one document value.
 Windows with a slot that breaks this do not count.  A document is
 contaminated by an item when the windows that count cover at least
-``COVERAGE`` of the item's tokens.
+``COVERAGE`` of the item's tokens, or ``RUN`` of them on end (a part of a long
+item; single windows meet by chance in long texts, such runs do not).
 
 A window with under ``LITERALS`` ordinary words says too little as a template
 and is compared with its raw values instead.  An item with fewer tokens than
@@ -29,6 +30,7 @@ WINDOW = 5
 LITERALS = 3
 SEGMENT = 256
 COVERAGE = 0.5
+RUN = 13
 BROADCAST_WINDOWS = 300_000
 
 # Units by what they measure.
@@ -121,7 +123,8 @@ def placed(found: DataFrame) -> DataFrame:
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage`` (share of the item's tokens covered by
-    windows that count) of every document and item that share a window."""
+    windows that count) and ``run`` (most of them on end in one alignment) of
+    every document and item that share a window."""
     items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id"))
                     .where("total > 0").select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
                             F.col("raw").alias("item_raw")).distinct(), "benchmark-windows")
@@ -143,29 +146,36 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     aligned = aligned.withColumn("broken", F.when(F.size("slots") > 1, broken).otherwise(F.array().cast("array<string>")))
     counted = F.filter("ws", lambda w: (F.size("broken") == 0) | w["item_raw"].isNull()
                        | ~F.arrays_overlap(w["item_raw"], F.col("broken")))
-    covered = F.flatten(F.transform(counted, lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1)))
+    covered = F.array_sort(F.array_distinct(F.flatten(
+        F.transform(counted, lambda w: F.sequence(w["item_at"], w["item_at"] + w["size"] - 1)))))
+    aligned = aligned.withColumn("covered", covered)
+
+    def longer(acc, token):
+        run = F.when(token == acc["last"] + 1, acc["run"] + 1).otherwise(1)
+        return F.struct(token.alias("last"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
+    run = F.aggregate("covered", F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most")), longer)["most"]
     # passages with words put in or left out lie on neighbouring alignments: they add up
-    return aligned.select("doc_id", "item_id", "item_total", F.explode(F.array_distinct(covered)).alias("token")) \
-        .groupBy("doc_id", "item_id", "item_total").agg(F.count_distinct("token").alias("n")) \
-        .select("doc_id", "item_id", (F.col("n") / F.col("item_total")).alias("coverage"))
+    return aligned.select("doc_id", "item_id", "item_total", run.alias("run"), F.explode("covered").alias("token")) \
+        .groupBy("doc_id", "item_id", "item_total").agg(F.count_distinct("token").alias("n"), F.max("run").alias("run")) \
+        .select("doc_id", "item_id", (F.col("n") / F.col("item_total")).alias("coverage"), "run")
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
     """One row per contaminated document: ``doc_id, n_items, item_ids``
-    (sorted) and the largest ``coverage``.
+    (sorted), the largest ``coverage`` and the longest ``run``.
 
     Null and empty texts, and items without a token, match nothing; rows
     without an id are not reported; rows that share an id are one document;
     repeated items give the same id once; an empty table on either side gives
     no rows; other columns are ignored.
     """
-    hits = matches(docs, benchmark).where(F.col("coverage") >= coverage)
+    hits = matches(docs, benchmark).where((F.col("coverage") >= coverage) | (F.col("run") >= run))
     return hits.groupBy("doc_id").agg(
         F.count_distinct("item_id").alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("item_ids"),
-        F.max("coverage").alias("coverage"))
+        F.max("coverage").alias("coverage"), F.max("run").cast("long").alias("run"))
 
 
-def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
+def clean(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
     """``docs`` without the contaminated documents; rows without an id stay."""
-    gone = written(contaminated(docs, benchmark, coverage).select("doc_id"), "contaminated")
+    gone = written(contaminated(docs, benchmark, coverage, run).select("doc_id"), "contaminated")
     return docs.join(gone, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
