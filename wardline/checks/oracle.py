@@ -712,3 +712,37 @@ QUERIES.update({
                         "round(max(v), 6) AS max_value, round(avg(v * v), 6) AS mean_square "
                         "FROM fin WHERE prefix(feature, 'tfidf_') GROUP BY split, feature",
 })
+
+
+def _tensor_dataset_sql() -> str:
+    bins = ", ".join(
+        f"CASE WHEN rem > {lo} AND rem <= {lo + 24} THEN CASE event_type WHEN 'discharge' THEN 1 ELSE 2 END ELSE 0 END "
+        f"AS surv_label_bin{i + 1}" for i, lo in enumerate((0, 24, 48)))
+    stats = ", ".join(f"coalesce(avg({v}), 0.0) AS m_{v}, CASE WHEN stddev_pop({v}) > 1e-6 THEN stddev_pop({v}) ELSE 1.0 END AS s_{v}"
+                      for v in VARS)
+    weighted = ", ".join(f"round(sum(coalesce((h.{v} - m_{v}) / s_{v}, 0.0) * (p.pos + 1)), 4) AS {v}_weighted" for v in VARS)
+    return f"""WITH mt AS (SELECT m.*, e.event_type, e.event_hour - m.t_end AS rem, {_split_expr('m.subject_id')} AS split,
+                    {_TOK.format(t='m.final_text')} AS tok
+             FROM master_tr m JOIN events_ct e ON e.stay_id = m.stay_id AND e.subject_id = m.subject_id
+             WHERE e.event_hour IS NOT NULL),
+  pos AS (SELECT unnest(range(0, 24)) AS pos),
+  tn AS (SELECT {stats} FROM mt, pos p LEFT JOIN hourly_f h
+         ON h.stay_id = mt.stay_id AND h.hour = CAST(floor(mt.t_end) AS INTEGER) - 23 + p.pos WHERE mt.split = 'train'),
+  tw AS (SELECT mt.stay_id, mt.t_end, {weighted} FROM mt, tn, pos p LEFT JOIN hourly_f h
+         ON h.stay_id = mt.stay_id AND h.hour = CAST(floor(mt.t_end) AS INTEGER) - 23 + p.pos GROUP BY ALL),
+  ag AS (SELECT quantile_cont(age, 0.5) AS med FROM mt WHERE split = 'train'),
+  sa AS (SELECT avg(coalesce(age, med)) AS m, CASE WHEN stddev_pop(coalesce(age, med)) = 0 THEN 1 ELSE stddev_pop(coalesce(age, med)) END AS s
+         FROM mt, ag WHERE split = 'train'),
+  voc AS (SELECT w, CAST(row_number() OVER (ORDER BY c DESC, w) + 1 AS INTEGER) AS id
+          FROM (SELECT unnest(tok) AS w, count(*) AS c FROM mt WHERE split = 'train' GROUP BY 1)),
+  ex AS (SELECT stay_id, t_end, unnest(tok[1:128]) AS w, unnest(range(0, len(tok[1:128]))) AS pos FROM mt),
+  enc AS (SELECT stay_id, t_end, list(coalesce(voc.id, 1) ORDER BY ex.pos) AS ids FROM ex LEFT JOIN voc USING (w) GROUP BY ALL)
+  SELECT mt.stay_id, mt.t_end, split, label_can_discharge_24h, label_no_return_72h, task2_mask, {bins},
+         {', '.join(f'{v}_weighted' for v in VARS)}, round((coalesce(age, med) - sa.m) / sa.s, 6) AS static_age, 1 AS n_static,
+         array_to_string(list_concat(coalesce(enc.ids, []::INTEGER[]),
+             list_transform(range(128 - len(coalesce(enc.ids, []::INTEGER[]))), lambda x: 0)), ' ') AS input_ids,
+         CAST(len(coalesce(enc.ids, []::INTEGER[])) AS INTEGER) AS attention_len
+  FROM mt JOIN tw USING (stay_id, t_end) CROSS JOIN ag CROSS JOIN sa LEFT JOIN enc USING (stay_id, t_end)"""
+
+
+QUERIES["tensor_dataset"] = _tensor_dataset_sql()

@@ -562,7 +562,15 @@ def q_tensor_dataset(spark, d):
     hf = hourly.hourly_means(rel, VARS, "floor")
     ev = labels.event_table(kept, require_positive=False)
     out, _ = MX.tensor_dataset(mt.drop("split"), kept, hf, VARS, None, ev)
-    return out
+    # arrays as text or position-weighted sums, so that another engine can compare them
+    def weighted(i):
+        terms = F.transform("time_series", lambda h, p: h[i] * (p + 1))
+        return F.round(F.aggregate(terms, F.lit(0.0), lambda a, x: a + x), 4)
+    return out.select("stay_id", "t_end", "split", *MX.TASK_COLS, *[f"surv_label_bin{i}" for i in (1, 2, 3)],
+                      *[weighted(i).alias(f"{v}_weighted") for i, v in enumerate(VARS)],
+                      F.round(F.col("static")[0], 6).alias("static_age"), F.size("static").alias("n_static"),
+                      F.array_join("input_ids", " ").alias("input_ids"),
+                      F.aggregate("attention_mask", F.lit(0), lambda a, x: a + x).alias("attention_len"))
 
 
 # ---- comparisons ---------------------------------------------------------------------
