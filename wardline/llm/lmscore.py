@@ -147,7 +147,7 @@ def score(docs: DataFrame, models: LanguageModels) -> DataFrame:
     shared = broadcast_object(docs.sparkSession, models)
 
     def run(batches):
-        models, known = unpacked(shared), worker_state("lm words", WordIds)
+        models, known = worker_state(f"lm {hash(shared.value)}", lambda: (unpacked(shared), WordIds()))
         for batch in batches:
             for part in pylist_batches(batch, "text", 2_000_000):
                 n, loss = models.losses(part.column(1).to_pylist(), known)

@@ -49,7 +49,7 @@ class PieceIds(dict):
     Tokens never span white space, so a text's ids are those of its parts.
     """
 
-    def __init__(self, tokenizer_path: str, limit: int = 1_200_000):
+    def __init__(self, tokenizer_path: str, limit: int = 600_000):
         super().__init__()
         from tokenizers import Tokenizer, normalizers
         self.tokenizer = Tokenizer.from_file(tokenizer_path)

@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from wardline.llm.components import connected_components
-from wardline.llm.tables import pylist_batches, shuffle_partitions, written
+from wardline.llm.tables import pylist_batches, shuffle_partitions, worker_state, written
 
 _LOWER = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _SEED = 42
@@ -61,6 +61,7 @@ def fingerprint(text: str | None, words: int = 4) -> int:
 def fingerprints(docs: DataFrame, words: int = 4, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``id_col`` and the fingerprint ``fp`` (as a signed long) of every row."""
     def run(batches):
+        worker_state("simhash", lambda: None)      # lets an earlier operator's cache go
         for batch in batches:
             for part in pylist_batches(batch, "text"):
                 fps = np.array([fingerprint(t, words) for t in part.column(1).to_pylist()], np.uint64)

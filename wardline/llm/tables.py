@@ -104,14 +104,17 @@ def without_gc():
 
 
 def worker_state(key: str, make):
-    """``make()``, once per Python worker process: later tasks of the worker
-    find it again.  For caches only; a fresh worker starts empty."""
+    """``make()``, once per Python worker process: later tasks of the same
+    stage find it again.  For caches only.  A worker keeps one at a time: the
+    next operator's tasks let the last one's go."""
     import sys
     import types
-    held = sys.modules.setdefault("_wardline_worker_state", types.ModuleType("_wardline_worker_state"))
-    if not hasattr(held, key):
-        setattr(held, key, make())
-    return getattr(held, key)
+    held = sys.modules.setdefault("_wardline_worker_state", types.SimpleNamespace(key=None, value=None))
+    if held.key != key:
+        held.key, held.value = None, None
+        held.value = make()
+        held.key = key
+    return held.value
 
 
 def pylist_batches(batch: pa.RecordBatch, size_col: str, budget: int = 4_000_000) -> Iterator[pa.RecordBatch]:

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, fresh, id_crc, pylist_batches, unpacked
+from wardline.llm.tables import broadcast_object, fresh, id_crc, pylist_batches, unpacked, worker_state
 
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 24
@@ -329,7 +329,7 @@ def _scored(docs: DataFrame, model: ToxicityModel, name: str) -> DataFrame:
     shared, at = broadcast_object(docs.sparkSession, model), docs.columns.index("text")
 
     def run(batches):
-        scorer = TextScorer(unpacked(shared))
+        scorer = worker_state(f"toxicity {hash(shared.value)}", lambda: TextScorer(unpacked(shared)))
         for batch in batches:
             for part in pylist_batches(batch, "text", 2_000_000):
                 if scorer.model.constant is not None:
