@@ -217,9 +217,12 @@ def winners(pages: DataFrame) -> DataFrame:
         .where("host <> '' and html is not null")
     votes = rows.mapInArrow(vote, "host string, path string").where("path is not null") \
         .groupBy("host", "path").agg(F.count("*").alias("votes"))
+    # a host may have very many paths: only those with their share of the votes come together
+    votes = written(votes, "html-votes")
+    totals = votes.groupBy("host").agg(F.sum("votes").alias("all"))
     ranked = F.array_sort(F.collect_list(F.struct((-F.col("votes")).alias("v"), "path")))
-    return votes.groupBy("host").agg(F.sum("votes").alias("all"), ranked.alias("ranked")) \
-        .select("host", F.transform(F.filter("ranked", lambda x: -x["v"] >= SHARE * F.col("all")), lambda x: x["path"]).alias("paths"))
+    return votes.join(totals, "host").where(F.col("votes") >= SHARE * F.col("all")) \
+        .groupBy("host").agg(F.transform(ranked, lambda x: x["path"]).alias("paths"))
 
 
 def main_text(pages: DataFrame) -> DataFrame:
