@@ -20,10 +20,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, id_crc, pylist_batches, unpacked
+from wardline.llm.tables import broadcast_object, id_crc, pylist_batches, unpacked, worker_state, written
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
+BROADCAST_LANGUAGES = 10_000
+_DRAWS = 10 ** 15                          # steps of a sampling rate
 AMBIGUOUS = 0.2                            # score lead of the best language over the second
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
 
@@ -184,10 +186,12 @@ def training_sample(docs: DataFrame, per_language: int = 1500, longest: int = 50
     usable = docs.select("doc_id", "text", "lang") \
         .where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= longest)) \
         .where(F.pmod(id_crc("doc_id"), F.lit(4)) != 2)
-    counts = usable.groupBy("lang").agg(F.count("*").alias("n")) \
-        .select(F.col("lang").alias("drawn"), (F.lit(per_language) / F.col("n") * 1_000_000).cast("long").alias("rate"))
+    counts = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages") \
+        .select(F.col("lang").alias("drawn"), (F.lit(per_language) / F.col("n") * _DRAWS).alias("rate"))
+    if counts.count() <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
     rows = usable.join(counts, F.col("lang") == F.col("drawn")) \
-        .where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_000)) < F.col("rate")) \
+        .where(F.pmod(F.xxhash64("doc_id"), F.lit(_DRAWS)) < F.col("rate")) \
         .select("doc_id", "text", "lang").toArrow().to_pandas()
     order = np.lexsort([rows["doc_id"].to_numpy(), np.array([zlib.crc32(b"%d" % i) for i in rows["doc_id"]])]) \
         if len(rows) else []
@@ -201,7 +205,7 @@ def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_
     shared = broadcast_object(docs.sparkSession, model)
 
     def run(batches):
-        model, table = unpacked(shared), letter_table()
+        model, table = worker_state(f"langid {hash(shared.value)}", lambda: (unpacked(shared), letter_table()))
         for batch in batches:
             for part in pylist_batches(batch, "text", 1_000_000):
                 margins, found = model.margins(part.column(1).to_pylist(), table)
