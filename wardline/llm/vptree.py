@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import shuffle_partitions, written
+from wardline.llm.tables import written
 
 LEAF = 128
 
@@ -206,7 +206,6 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = 5, factor: float = 1
     id with several vectors is a query (and a candidate) with each of them.
     Fewer candidates than ``k``: all of them.  Empty in, empty out.
     """
-    spark = vectors.sparkSession
     rows = usable(vectors, id_col, vec_col)
     base = written(points(rows, k), "ann-points")
     asked = written(rows.where(queries).select("id", "key", "vec", "dim").distinct(), "ann-queries")
@@ -242,9 +241,9 @@ def nearest(vectors: DataFrame, queries: F.Column, k: int = 5, factor: float = 1
     packed = distinct.select("key", "vec", "dim", "block").groupBy("dim", "block") \
         .applyInPandas(block, "dim int, block int, queries binary")
     units = packed.join(shards, "dim").select("dim", "queries", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"))
-    n = shuffle_partitions(spark)
-    pairs = units.join(trees, ["dim", "shard"]).select("tree", "queries").repartition(n)
-    hits = pairs.mapInArrow(search, "key string, vec_id long, score double")
+    # the blocks move to the trees, and a task searches its shards where they are
+    hits = units.join(trees, ["dim", "shard"]).select("tree", "queries") \
+        .mapInArrow(search, "key string, vec_id long, score double")
     best = Window.partitionBy("key").orderBy(F.desc("score"), "vec_id")
     top = hits.groupBy("key", "vec_id").agg(F.max("score").alias("score")) \
         .withColumn("r", F.row_number().over(best)).where(F.col("r") <= k + 1) \
