@@ -278,8 +278,9 @@ def keep_one(docs: DataFrame, words: int = 4, radius: int = 4) -> DataFrame:
     leave one row.  Rows without an id cannot be told apart and stay."""
     found = near_duplicates(docs.select("doc_id", "text"), words, radius)
     found = written(found.select("doc_id", (F.col("doc_id") == F.col("component_id")).alias("stays")), "simhash-keep")
-    gone = found.where(~F.col("stays")).select("doc_id").distinct()
-    kept = docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    # what goes grows with the corpus: it is never broadcast, so the plan is the same at every size
+    gone = found.where(~F.col("stays")).select("doc_id").distinct().hint("shuffle_hash")
+    kept = docs.join(gone, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
     repeated = found.where(F.col("stays")).groupBy("doc_id").count().where("count > 1")
     if repeated.isEmpty():
         return kept
