@@ -1,6 +1,6 @@
 """Toxicity: a convolutional text classifier over hashed word embeddings.
 
-Words are hashed (the word and, for longer words, its stem of five letters)
+Words are hashed (the word and, for longer words, its stem of four letters)
 into 2^24 embedding buckets, of which those seen in several training texts
 have a row and the rest are zero; filters of widths 1 to 3 slide over the
 whole text, each filter keeps its maximum, and a logistic layer gives a logit.
@@ -28,7 +28,8 @@ from wardline.llm.tables import broadcast_object, fresh, id_crc, pylist_batches,
 
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 24
-LEAST_TEXTS = 5                            # of the training sample, for a bucket to have a row
+STEM = 4
+LEAST_TEXTS = 2                            # of the training sample, for a bucket to have a row
 DIM = 16
 FILTERS = 8
 PAD = 2                                    # zero rows between texts: the widest filter less one
@@ -39,7 +40,7 @@ FUNCTION_WORDS = {
     "en": "the of and to is in that it for was on are with as this be by from".split(),
     "de": "der die und das ist nicht mit den von ein eine zu für auf dem im".split(),
     "fr": "le les des et est une dans pour qui sur pas au du par ne il".split(),
-    "es": "el los las y del se por con una para su lo al más como ción".split(),
+    "es": "el los las y del se por con una para su lo al más como".split(),
 }
 GROUPS = (*FUNCTION_WORDS, "other")
 
@@ -53,9 +54,9 @@ def words_of(text: str | None) -> list[str]:
 def word_buckets(word: str) -> tuple[int, int]:
     """Buckets of the word and of its stem (bucket 0, always zero, if short)."""
     own = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
-    if len(word) <= 5:
+    if len(word) <= STEM:
         return own, 0
-    return own, 1 + zlib.crc32(b"^" + word[:5].encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
+    return own, 1 + zlib.crc32(b"^" + word[:STEM].encode("utf-8", "surrogatepass")) % (BUCKETS - 1)
 
 
 @dataclass
@@ -285,18 +286,25 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64
 
 
 def calibrated(logits: np.ndarray, groups: np.ndarray, labels: np.ndarray, least: int = 20) -> dict[str, float]:
-    """Thresholds by language group: of the cuts within 0.02 of the best
-    F1, the middle of the widest gap.  Groups with fewer than ``least`` texts of a class take the overall
+    """Thresholds by language group: the logit at which a logistic curve,
+    fitted to the held-out logits (Platt's smoothed targets), says one half.
+    Groups with fewer than ``least`` texts of a class take the overall
     threshold (key ``other``)."""
     def best(z, y):
-        order = np.argsort(z)
-        z, y = z[order], y[order]
-        above = y[::-1].cumsum()[::-1]                                # positives at or above position i
-        f1 = 2 * above / (np.arange(len(z), 0, -1) + y.sum())
-        gap = np.where(f1 >= f1.max() - 0.02, np.diff(z, prepend=z[0]), -1)
-        i = int(gap.argmax())
-        return float(z[i] - gap[i] / 2)
-    overall = best(logits, labels) if labels.any() else 0.0
+        z, positive, negative = z.astype(float), int(y.sum()), int(len(y) - y.sum())
+        target = np.where(y == 1, (positive + 1) / (positive + 2), 1 / (negative + 2))
+        middle, spread = z.mean(), max(z.std(), 1e-6)
+        x = np.stack([(z - middle) / spread, np.ones(len(z))], axis=1)
+        w = np.zeros(2)
+        for _ in range(50):                                           # Newton with a little ridge
+            p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+            step = np.linalg.solve((x * (p * (1 - p))[:, None]).T @ x + 1e-3 * np.eye(2), x.T @ (target - p) - 1e-3 * w)
+            w += step
+            if np.abs(step).max() < 1e-9:
+                break
+        cut = middle - spread * w[1] / w[0] if w[0] > 1e-6 else z.max()
+        return float(np.clip(cut, z.min(), z.max()))
+    overall = best(logits, labels) if 0 < labels.sum() < len(labels) else 0.0
     out = {"other": overall}
     for g, name in enumerate(GROUPS[:-1]):
         y = labels[groups == g]
