@@ -103,6 +103,18 @@ def without_gc():
             gc.enable()
 
 
+def _give_back() -> None:
+    """Return freed memory to the system, where the allocator can."""
+    import ctypes
+    import gc
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except (AttributeError, OSError):          # another C library
+        return
+
+
 def worker_state(key: str, make):
     """``make()``, once per Python worker process: later tasks of the same
     stage find it again.  For caches only.  A worker keeps one at a time: the
@@ -112,6 +124,7 @@ def worker_state(key: str, make):
     held = sys.modules.setdefault("_wardline_worker_state", types.SimpleNamespace(key=None, value=None))
     if held.key != key:
         held.key, held.value = None, None
+        _give_back()
         held.value = make()
         held.key = key
     return held.value

@@ -118,7 +118,7 @@ class TextScorer:
     """Scores lists of texts; the projected rows of words are remembered (up
     to ``limit`` words), so a known word costs one look-up."""
 
-    def __init__(self, model: ToxicityModel, limit: int = 200_000, window: int = 200_000):
+    def __init__(self, model: ToxicityModel, limit: int = 150_000, window: int = 100_000):
         self.model, self.limit, self.window = model, limit, window
         self.project = model.projection().astype(np.float32)
         self.function = {w: g for g, ws in enumerate(FUNCTION_WORDS.values()) for w in ws}
