@@ -68,6 +68,40 @@ def test_no_target_and_empty_table(spark):
     assert lmscore.score_against(docs.limit(0), none).count() == 0
 
 
+def test_real_words_and_pairs_at_any_size(spark, monkeypatch):
+    """Plain counting by the words themselves: 30,000 pairs share buckets of a
+    fixed table, and a vocabulary above WORDS counts in the smoothing."""
+    import random
+    monkeypatch.setattr(lmscore, "WORDS", 1000)
+    rng = random.Random(7)
+    rows = [(i, " ".join(f"w{min(int(rng.paretovariate(0.5)), 6000)}" for _ in range(100))) for i in range(300)]
+    target = set(range(0, 300, 3))
+    models = []
+    for chosen in (rows, [r for r in rows if r[0] in target]):
+        one, head, pair = Counter(), Counter(), Counter()
+        for _, text in chosen:
+            seq = text.split()
+            one.update(seq)
+            head.update(["", *seq[:-1]])
+            pair.update(zip(["", *seq], seq))
+        models.append((one, head, pair, sum(one.values())))
+    n, vocabulary = models[1][3], len(models[0][0])
+    assert vocabulary > lmscore.WORDS
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    labels = spark.createDataFrame([(i, 1, 0) for i in target], "doc_id long, quality int, toxic int")
+    got = {r.doc_id: r for r in lmscore.score_against(docs, labels).collect()}
+    assert len(got) == 300
+    for i, text in rows:
+        seq, want = text.split(), []
+        for one, head, pair, own in models:
+            s, loss = n / own, 0.0
+            for h, w in zip(["", *seq], seq):
+                p1 = (one[w] * s + lmscore.ADD) / (n + lmscore.ADD * vocabulary)
+                loss -= math.log((pair[h, w] * s + lmscore.PRIOR * p1) / (head[h] * s + lmscore.PRIOR))
+            want.append(loss / len(seq))
+        assert (got[i].background_loss, got[i].target_loss) == pytest.approx(want, abs=1e-9)
+
+
 ITEMS = [
     (1, "The farmer Alice picked 12 kg of apples and Alice sold 5 kg of them on the market. How many are left?"),
     (2, "Which river runs through the old town before it meets the northern sea at last"),

@@ -1,52 +1,64 @@
 """Language-model scoring by cross-entropy difference.
 
-Two bigram models with the same vocabulary, hashing and smoothing: one of the
-target documents, one of the background (all documents).  The background's
-counts are scaled to the target's total, so the two differ in what they have
-seen and in nothing else.  A document's score is its mean loss per token
-under the background less that under the target: positive texts read like
-the target.
-
-Vocabulary: every word has one of ``WORDS`` ids by hash, every pair of ids
-one of ``PAIRS`` buckets; no word is left out and the model's size does not
-follow the corpus.  Counts are taken over all tokens of all documents: each
-task adds up its own buckets, Spark adds up the tasks'.  Probability of a
-word w after h, with c the (scaled) counts and n their total:
-
-    p1(w) = (c(w) + ADD) / (n + ADD * WORDS)
+Two bigram models with the same vocabulary and smoothing: one of the target
+documents, one of the background (all documents).  The background's counts
+are scaled to the target's total, so the two differ in what they have seen
+and in nothing else.  A document's score is its mean loss per token under the
+background less that under the target: positive texts read like the target.
+
+Words, contexts and (context, word) pairs are counted over all tokens of all
+documents, each under a key of 62 hashed bits (3.5 billion different pairs
+have 1.3 colliding ones to expect), so the tables grow with the corpus.
+Probability of a word w after h, with c the (scaled) counts, n their total and
+V the number of different words, at least ``WORDS``:
+
+    p1(w) = (c(w) + ADD) / (n + ADD * V)
     p(w | h) = (c(h, w) + PRIOR * p1(w)) / (c(h) + PRIOR)
 
 c(h) counts h as a context; a document's first word has context 0.
+
+1. Documents are dealt by id into blocks of about ``BLOCK_BYTES`` of text.
+   Each block adds up its own counts and sends them, in order of their keys,
+   to the parts, which are ranges of keys.
+2. Each part adds up the blocks' counts and answers every block with the
+   totals in the order that it asked.
+3. Each block works its keys out again, lays the answers beside them and
+   scores its documents.
+
+A frequent word or pair comes once from each block, so no part has more of
+them than there are blocks.
 """
 
 from __future__ import annotations
 
 import re
-import zlib
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, pylist_batches, unpacked, worker_state
+from wardline.llm.tables import pylist_batches, shuffle_partitions, worker_state, written
 
 WORDS = 1 << 18
-PAIRS = 1 << 20
 ADD = 0.1
 PRIOR = 5.0
+BLOCK_BYTES = 6_000_000
+PART_BYTES = 12_000_000          # text for which a part holds keys: about 2 million
 _WORD = re.compile(r"[^\W_]+")
+_KIND = np.uint64(3)             # the lowest bits of a key: 1 word, 2 context, 3 pair
 
 
 class WordIds(dict):
-    """Word to id, 1 to WORDS - 1, remembered up to ``limit`` words."""
+    """Word to its 64-bit hash, remembered up to ``limit`` words."""
 
     limit = 500_000
 
     def __missing__(self, word: str) -> int:
+        import xxhash
         if len(self) >= self.limit:
             self.clear()
-        self[word] = i = 1 + zlib.crc32(word.encode("utf-8", "surrogatepass")) % (WORDS - 1)
+        self[word] = i = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
         return i
 
 
@@ -55,8 +67,8 @@ def token_ids(texts: list[str | None], known: WordIds) -> tuple[np.ndarray, np.n
     get, parts = known.__getitem__, []
     for text in texts:
         words = _WORD.findall(text.lower()) if text else []
-        parts.append(np.fromiter(map(get, words), np.int64, len(words)))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.int64)), np.array([len(p) for p in parts], np.int64)
+        parts.append(np.fromiter(map(get, words), np.uint64, len(words)))
+    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array([len(p) for p in parts], np.int64)
 
 
 def contexts(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -68,95 +80,121 @@ def contexts(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return before
 
 
-def pair_buckets(before: np.ndarray, ids: np.ndarray) -> np.ndarray:
-    mixed = (before.astype(np.uint64) * np.uint64(WORDS) + ids.astype(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return (mixed >> np.uint64(44)).astype(np.int64)            # the top 20 bits
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """``bucket`` and its counts in ``background`` (every row of ``docs``,
-    columns text and is_target) and ``target``.
-
-    Buckets: words, then contexts (from WORDS on), then pairs (from 2 WORDS).
-    """
-    def run(batches):
-        known = worker_state("lm words", WordIds)
-        held = np.zeros((2, 2 * WORDS + PAIRS), np.int64)
-        for batch in batches:
-            for part in pylist_batches(batch, "text", 2_000_000):
-                ids, lengths = token_ids(part.column(0).to_pylist(), known)
-                before = contexts(ids, lengths)
-                every = np.concatenate([ids, before + WORDS, pair_buckets(before, ids) + 2 * WORDS])
-                target = np.repeat(part.column(1).to_numpy(zero_copy_only=False).astype(bool), lengths)
-                held[0] += np.bincount(every, minlength=held.shape[1])
-                held[1] += np.bincount(every[np.tile(target, 3)], minlength=held.shape[1])
-        seen = np.flatnonzero(held[0])
-        for i in range(0, len(seen), 100_000):
-            some = seen[i:i + 100_000]
-            yield pa.RecordBatch.from_arrays([pa.array(some.astype(np.int32)), pa.array(held[0, some]), pa.array(held[1, some])],
-                                             ["bucket", "background", "target"])
-
-    return docs.select("text", "is_target").mapInArrow(run, "bucket int, background long, target long") \
-        .groupBy("bucket").agg(F.sum("background").alias("background"), F.sum("target").alias("target"))
-
-
-class LanguageModels:
-    """The two models' count tables (float32), background first; both from
-    the background if there is no target token."""
-
-    def __init__(self, bucket: np.ndarray, background: np.ndarray, target: np.ndarray):
-        table = np.zeros((2, 2 * WORDS + PAIRS), np.float32)
-        totals = [background[bucket < WORDS].sum(), target[bucket < WORDS].sum()]
-        if not totals[1]:
-            target, totals[1] = background, totals[0]
-        self.total = float(totals[1])
-        scale = totals[1] / totals[0] if totals[0] else 1.0
-        table[0, bucket], table[1, bucket] = background * scale, target
-        self.words, self.heads, self.pairs = table[:, :WORDS], table[:, WORDS:2 * WORDS], table[:, 2 * WORDS:]
-
-    def losses(self, texts: list[str | None], known: WordIds) -> tuple[np.ndarray, np.ndarray]:
-        """(tokens, [2, texts] mean losses in nats) of whole texts; 0 for a
-        text without a token."""
-        ids, lengths = token_ids(texts, known)
-        out = np.zeros((2, len(texts)))
-        full = lengths > 0
+def kinds_of(before: np.ndarray, ids: np.ndarray):
+    """Keys of the tokens' words, then of their contexts, then of their pairs."""
+    yield ids & ~_KIND | np.uint64(1)
+    yield before & ~_KIND | np.uint64(2)
+    yield before * np.uint64(0x9E3779B97F4A7C15) + ids | _KIND
+
+
+def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(different keys in order, how often each comes)."""
+    keys = np.sort(keys)
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
+    return keys[first], np.diff(first, append=len(keys))
+
+
+def block_tokens(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(context, id) of each token of a block's texts, tokens in each text."""
+    known = worker_state("lm words", WordIds)
+    found = [token_ids(part.column(0).to_pylist(), known)
+             for batch in block.select(["text"]).to_batches() for part in pylist_batches(batch, "text", 2_000_000)]
+    ids = np.concatenate([i for i, _ in found] or [np.zeros(0, np.uint64)])
+    lengths = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
+    return contexts(ids, lengths), ids, lengths
+
+
+def packed(values: np.ndarray) -> bytes:
+    """64-bit values, first bytes first: small values are long runs of zeros
+    to the codecs of shuffles and files."""
+    return values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+
+
+def opened(value: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
+
+
+def block_counts(docs: DataFrame, targets: DataFrame, parts: int) -> DataFrame:
+    """A row for each block and part: the ``keys`` (as differences) and their
+    counts in ``background`` (all documents) and ``target``."""
+    def run(block, marks):
+        before, ids, lengths = block_tokens(block)
+        column = block.column("doc_id")
+        wanted = np.isin(column.fill_null(0).to_numpy(), marks.column("doc_id").to_numpy()) & column.is_valid().to_numpy()
+        wanted = np.repeat(wanted, lengths)
+        keys, every = distinct(np.concatenate([*kinds_of(before, ids)]))
+        held = every, np.zeros_like(every)
+        some, often = distinct(np.concatenate([*kinds_of(before[wanted], ids[wanted])]))
+        held[1][np.searchsorted(keys, some)] = often
+        part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+        spans = [slice(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
+        rows = [(part[s.start], packed(np.diff(keys[s], prepend=np.uint64(0))), packed(held[0][s]), packed(held[1][s]))
+                for s in spans]
+        number = block.column("block")[0] if spans else None
+        return pa.Table.from_arrays(
+            [pa.array([number.as_py()] * len(rows) if spans else [], pa.int32()), pa.array([r[0] for r in rows], pa.int32()),
+             *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
+            ["block", "part", "keys", "background", "target"])
+
+    return docs.groupBy("block").cogroup(targets.groupBy("block")) \
+        .applyInArrow(run, "block int, part int, keys binary, background binary, target binary")
+
+
+def totals(counts: DataFrame) -> DataFrame:
+    """The rows of :func:`block_counts` with the counts of all blocks in place
+    of their own; besides, a row without a block for each part: its different
+    ``words`` and their tokens in ``n_background`` and ``n_target``."""
+    def run(rows):
+        asked = [np.cumsum(opened(v), dtype=np.uint64) for v in rows.column("keys").to_pylist()]
+        keys, place = np.unique(np.concatenate(asked), return_inverse=True)
+        ends = np.cumsum([len(a) for a in asked])[:-1]
+        word, all_of, answers = keys & _KIND == 1, [], []
+        for name in ("background", "target"):
+            own = np.concatenate([opened(v) for v in rows.column(name).to_pylist()])
+            all_of.append(np.bincount(place, own, len(keys)).astype(np.int64))
+            answers.append([packed(a) for a in np.split(all_of[-1][place], ends)])
+        n = len(asked)
+        return pa.Table.from_arrays(
+            [pa.array([*rows.column("block").to_pylist(), None], pa.int32()),
+             pa.array([*rows.column("part").to_pylist(), None], pa.int32()),
+             *[pa.array([*a, None], pa.binary()) for a in answers],
+             *[pa.array([None] * n + [int(x)], pa.int64()) for x in (word.sum(), all_of[0][word].sum(), all_of[1][word].sum())]],
+            ["block", "part", "background", "target", "words", "n_background", "n_target"])
+
+    return counts.groupBy("part").applyInArrow(
+        run, "block int, part int, background binary, target binary, words long, n_background long, n_target long")
+
+
+def score(docs: DataFrame, answers: DataFrame, words: int, n_background: int, n_target: int) -> DataFrame:
+    """``doc_id, n_tokens, target_loss, background_loss, score`` of every row
+    of ``docs`` (block, doc_id, text), from the ``answers`` to its block.  Both
+    models are the background's if there is no target token."""
+    scale = n_target / n_background if n_target else 1.0
+    n, vocabulary = float(n_target or n_background), max(WORDS, words)
+
+    def run(block, told):
+        before, ids, lengths = block_tokens(block)
+        out, full = np.zeros((2, len(lengths))), lengths > 0
         if full.any():
-            before = contexts(ids, lengths)
-            pair = pair_buckets(before, ids)
-            starts = (np.cumsum(lengths) - lengths)[full]
-            for k in (0, 1):
-                one = (self.words[k, ids] + ADD) / (self.total + ADD * WORDS)
-                loss = -np.log((self.pairs[k, pair] + PRIOR * one) / (self.heads[k, before] + PRIOR))
-                out[k, full] = np.add.reduceat(loss.astype(np.float64), starts) / lengths[full]
-        return lengths, out
-
-
-def fit(docs: DataFrame, target_ids: DataFrame) -> LanguageModels:
-    """Models of ``docs`` (doc_id, text); ``target_ids`` (doc_id) names the
-    target documents.  What comes to the driver has at most one row per bucket."""
-    target = target_ids.select(F.col("doc_id").alias("target_id")).where("target_id is not null").distinct()
-    marked = docs.select("doc_id", F.col("text").cast("string").alias("text")) \
-        .join(target.hint("shuffle_hash"), F.col("doc_id") == F.col("target_id"), "left") \
-        .select("text", F.col("target_id").isNotNull().alias("is_target"))
-    table = counts(marked).toArrow()
-    return LanguageModels(*(table[c].to_numpy() for c in ("bucket", "background", "target")))
-
-
-def score(docs: DataFrame, models: LanguageModels) -> DataFrame:
-    """``doc_id, n_tokens, target_loss, background_loss, score`` of every row."""
-    shared = broadcast_object(docs.sparkSession, models)
-
-    def run(batches):
-        models, known = worker_state(f"lm {hash(shared.value)}", lambda: (unpacked(shared), WordIds()))
-        for batch in batches:
-            for part in pylist_batches(batch, "text", 2_000_000):
-                n, loss = models.losses(part.column(1).to_pylist(), known)
-                yield pa.RecordBatch.from_arrays(
-                    [part.column(0), pa.array(n), pa.array(loss[1]), pa.array(loss[0]), pa.array(loss[0] - loss[1])],
-                    ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
-        .mapInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
+            told = told.sort_by("part")
+            places = [np.unique(keys, return_inverse=True) for keys in kinds_of(before, ids)]
+            keys = np.sort(np.concatenate([some for some, _ in places]))
+            places = [(np.searchsorted(keys, some), place) for some, place in places]
+            for k, name in enumerate(("background", "target" if n_target else "background")):
+                count = np.concatenate([opened(v) for v in told.column(name).to_pylist()])
+                if len(count) != len(keys):
+                    raise RuntimeError("a block's documents are not those that were counted")
+                word, head, pair = ((count[some] * (1.0 if k else scale))[place] for some, place in places)
+                one = (word + ADD) / (n + ADD * vocabulary)
+                loss = -np.log((pair + PRIOR * one) / (head + PRIOR))
+                out[k, full] = np.add.reduceat(loss, (np.cumsum(lengths) - lengths)[full]) / lengths[full]
+        return pa.Table.from_arrays(
+            [block.column("doc_id"), pa.array(lengths), pa.array(out[1]), pa.array(out[0]), pa.array(out[0] - out[1])],
+            ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
+
+    return docs.groupBy("block").cogroup(answers.groupBy("block")) \
+        .applyInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
 def score_against(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -164,8 +202,22 @@ def score_against(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good (quality 1) as the target.
 
     A null or empty text has no token, losses and score 0.  Repeated rows are
-    counted and scored as often as they come; rows without an id belong to
+    counted and scored as often as they come (rows that share an id, or have
+    none and share a text, are in one block); rows without an id belong to
     the background and are scored; without a target every score is 0; an
     empty table gives no rows; other columns are ignored.
     """
-    return score(docs, fit(docs, labels.where("quality = 1").select("doc_id")))
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
+    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    least = shuffle_partitions(docs.sparkSession)
+    blocks, parts = max(least, size // BLOCK_BYTES + 1), max(least, size // PART_BYTES + 1)
+
+    def dealt(key: Column) -> Column:
+        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")
+    rows = rows.select(F.when(F.col("doc_id").isNull(), dealt(F.col("text"))).otherwise(dealt(F.col("doc_id"))).alias("block"),
+                       "doc_id", "text")
+    targets = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct() \
+        .select(dealt(F.col("doc_id")), "doc_id")
+    answers = written(totals(block_counts(rows, targets, parts)), "lm-totals")
+    sums = answers.where("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "n_background", "n_target")]).first()
+    return score(rows, answers.where("block is not null").select("block", "part", "background", "target"), *sums)
