@@ -32,6 +32,28 @@ def test_awkward_pages(page, text):
     assert htmltext.extract(page, [])[0] == text
 
 
+@pytest.mark.parametrize("name", [
+    "content has-sidebar", "site-content no-sidebar", "layout--no-ads", "post-content print-content", "blog-post comments-open",
+    "hasSidebar", "search social"])
+def test_names_of_clutter_on_the_wrapper_lose_no_article(name):
+    body = "<p>long enough text, with commas, and more.</p>" * 5
+    want = "\n".join(["long enough text, with commas, and more."] * 5)
+    rest = "<div class=sidebar><p>links and ads</p></div><div id=comments><p>reader says</p></div>"
+    for inner in (f"<article>{body}</article>", f"<div class=text>{body}</div>"):
+        assert htmltext.extract(f"<body><div class='{name}'>{inner}{rest}</div></body>", [])[0] == want
+
+
+def test_marked_elements_weigh_less_and_an_empty_page_takes_them_back():
+    text, more = "the story goes on, and on. " * 10, "a reader says this, and that. " * 14
+    page = f"<body><div class=text><p>{text}</p></div><div class=comments><p>{more}</p></div></body>"
+    assert htmltext.extract(page, [])[0] == text.strip()
+    # a short article in a marked wrapper, beside longer text
+    page = f"<body><div class=print><article><p>{text}</p></article></div><div class=x><p>{more}</p></div></body>"
+    assert text.strip() in {b[1] for b in htmltext.blocks(page, htmltext._Names())}
+    page = "<body>" + "".join(f"<div class=notice><p>part {i} of it</p></div>" for i in range(3)) + "</body>"
+    assert [b[1] for b in htmltext.blocks(page, htmltext._Names())] == ["part 0 of it", "part 1 of it", "part 2 of it"]
+
+
 def test_hosts_agree_on_the_container(spark):
     good = "<body><div class=wrap><div class='text-{0}'>" + "<p>long enough text, with commas, and more.</p>" * 5 \
         + "</div><div class=odd>{1}</div></div>"

@@ -9,6 +9,11 @@
 
 Only paths with at least a tenth of their host's votes win, so a host has at
 most ten.  The parser keeps no tree: it walks over the tags with a stack.
+
+An element whose class, id or role names clutter is left out when it holds
+under half of the page's unlinked text and no article or main element; one
+that stays counts ``MARKED`` of its score.  If that leaves a page without
+text, all its marked elements stay.
 """
 
 from __future__ import annotations
@@ -23,6 +28,7 @@ from pyspark.sql import functions as F
 from wardline.llm.tables import pylist_batches, written
 
 SHARE = 0.1
+MARKED = 0.25
 BROADCAST_HOSTS = 50_000
 
 # Elements by their part in a page.
@@ -44,6 +50,7 @@ CLUTTER = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended comment comments reply replies "
     "disqus respond discussion pagination pager search searchbox toolbar widget widgets skip print complementary "
     "contentinfo masthead".split())
+LAYOUT = frozenset(("no", "has", "with", "without"))         # no-sidebar, has-ads: about the page, not the element
 HEADER = frozenset(("header", "topbar", "masthead"))
 ARTICLE_WORDS = frozenset("article post entry content story main page".split())
 
@@ -65,18 +72,22 @@ class _Names(dict):
             value = a or b or c
             if name.lower() == "class" and value.split() and not first:
                 first = re.sub(r"[0-9]+", "#", value.split()[0].lower())
-            words.update(w.lower() for w in _WORDS.findall(value))
+            for one in value.split():
+                said = [w.lower() for w in _WORDS.findall(one)]
+                words.update(said[:next((k for k, w in enumerate(said) if w in LAYOUT), len(said))])
         if len(self) > 20_000:
             self.clear()
         self[raw] = first, frozenset(words)
         return self[raw]
 
 
-def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int]]:
+def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bool]]:
     """The page's text blocks in order, clutter left out: (paths of all open
-    containers, outermost first; text; characters of it inside links)."""
-    out: list[tuple[tuple[str, ...], str, int]] = []
-    stack: list[tuple[str, str, bool]] = [("", "", False)]   # tag, path, in clutter
+    containers, outermost first; text; characters of it inside links; whether
+    an element that names clutter holds it)."""
+    out: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
+    stack: list[tuple[str, str, bool, tuple[int, ...]]] = [("", "", False, ())]   # tag, path, in clutter, marked elements
+    holds: list[bool] = []                                   # whether each marked element holds an article
     paths: tuple[str, ...] = ("",)
     text: list[str] = []
     linked, in_link, in_article, at = 0, False, 0, 0
@@ -86,15 +97,15 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int]]:
         if text:
             whole = " ".join("".join(text).split())
             if whole:
-                out.append((paths, whole, min(linked, len(whole))))
+                out.append((paths, whole, min(linked, len(whole)), stack[-1][3]))
             text, linked = [], 0
 
     def pop_to(depth: int) -> None:
         nonlocal paths, in_article
         end_block()
-        in_article -= sum(tag in ("article", "main") for tag, _, _ in stack[depth:])
+        in_article -= sum(tag in ("article", "main") for tag, *_ in stack[depth:])
         del stack[depth:]
-        paths = tuple(dict.fromkeys(path for _, path, _ in stack))
+        paths = tuple(dict.fromkeys(path for _, path, *_ in stack))
 
     def add(chunk: str) -> None:
         nonlocal linked
@@ -132,9 +143,9 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int]]:
             in_link = True
         first, words = names[m[4]] if m[4] else ("", frozenset())
         block = tag in BLOCK
-        clutter = tag in SKIP or (bool(words & CLUTTER) and tag not in KEEP_CLASS)
-        if not clutter and not in_article and (tag == "header" or (words & HEADER and not words & ARTICLE_WORDS)):
-            clutter = tag not in KEEP_CLASS
+        clutter = tag in SKIP or (tag == "header" and not in_article)
+        marked = tag not in KEEP_CLASS and not clutter and bool(
+            words & CLUTTER or (not in_article and words & HEADER and not words & ARTICLE_WORDS))
         if block:
             # a block ends an open paragraph; list items, rows and cells end their like
             ends = CLOSES.get(tag, ())
@@ -144,28 +155,50 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int]]:
                 elif stack[depth][0] in SCOPE or stack[depth][0] not in BLOCK:
                     break
             end_block()
-        if (block or clutter) and tag not in VOID and not m[4].endswith("/"):
+        if (block or clutter or marked) and tag not in VOID and not m[4].endswith("/"):
             end_block()
             label = f"{tag}.{first}" if first else tag
             path = stack[-1][1] if tag == "p" else label if tag in ("html", "body") else f"{stack[-1][1]}>{label}"
-            stack.append((tag, path, clutter or stack[-1][2]))
-            in_article += tag in ("article", "main")
-            paths = tuple(dict.fromkeys(path for _, path, _ in stack))
+            marks = stack[-1][3]
+            if tag in ("article", "main"):
+                in_article += 1
+                if not words & CLUTTER:                     # a comment may be an article element too
+                    for k in marks:
+                        holds[k] = True
+            if marked:
+                marks = (*marks, len(holds))
+                holds.append(False)
+            stack.append((tag, path, clutter or stack[-1][2], marks))
+            paths = tuple(dict.fromkeys(path for _, path, *_ in stack))
     if at < len(page):
         rest = page[at:]
         cut = re.search(r"<[a-zA-Z/!][^<]*\Z", rest)            # a tag that the page's end cut off
         add(rest[:cut.start()] if cut else rest)
     end_block()
-    return out
+    return unmarked(out, holds) if holds else [(*b[:3], False) for b in out]
+
+
+def unmarked(found: list, holds: list[bool]) -> list[tuple[tuple[str, ...], str, int, bool]]:
+    """Blocks (with the marked elements around each) without those in a marked
+    element that is clutter; all of them if none is left."""
+    own, total = [0] * len(holds), 0
+    for _, text, linked, marks in found:
+        total += len(text) - linked
+        for k in marks:
+            own[k] += len(text) - linked
+    clutter = {k for k, held in enumerate(holds) if not held and 2 * own[k] < max(total, 1)}
+    left = [b for b in found if clutter.isdisjoint(b[3])] or found
+    return [(*b[:3], bool(b[3])) for b in left]
 
 
 def container_scores(found: list) -> dict[str, float]:
     """Score by container path: the text of a block that is no link counts
     fully for the container that holds it, half for the next one out, and so
-    on; commas and sentences add to it."""
+    on; commas and sentences add to it, a name of clutter takes from it."""
     scores: dict[str, float] = {}
-    for paths, text, linked in found:
+    for paths, text, linked, marked in found:
         value = len(text) - 2.0 * linked + 10 * (text.count(",") + text.count(". "))
+        value *= MARKED if marked and value > 0 else 1
         for path in reversed(paths):
             scores[path] = scores.get(path, 0.0) + value
             value /= 2
@@ -187,7 +220,7 @@ def best_path(found: list) -> str | None:
 
 
 def text_under(found: list, path: str) -> str:
-    return "\n".join(text for paths, text, _ in found if path in paths)
+    return "\n".join(text for paths, text, *_ in found if path in paths)
 
 
 def extract(page: str, winners: list[str], names: _Names | None = None) -> tuple[str, str | None]:
