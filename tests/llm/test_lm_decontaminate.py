@@ -135,6 +135,17 @@ def test_planted_and_re_parameterised_items(spark):
     assert kept.columns == docs.columns and kept.count() == docs.count() - len(want)
 
 
+def test_verbatim_copies_in_any_case_and_white_space(spark):
+    items = [(1, "Am Abend brachte der alte Bauer seine 3 Kühe in den Stall, während die Frau in der Küche das Brot für den Sonntag schnitt"),
+             (2, "Then Alice met Bob and Carl before Dora saw Emil with Frieda near Hamburg and Gerd left Ida at Jena")]
+    texts = [f(t) for _, t in items for f in (str, str.lower, str.upper, lambda t: t.replace(" ", "\n"), lambda t: t.replace(" ", "  "),
+                                              lambda t: t.replace(" ", "\u00a0\t"), lambda t: t.lower().replace(" ", "\n"))]
+    docs = spark.createDataFrame([(i, FILL + t + " and more") for i, t in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: (r.item_ids, r.coverage) for r in
+           decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {i: ([1 + i // 7], 1.0) for i in range(14)}
+
+
 def test_part_of_a_long_item(spark):
     words = [f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(60)]
     items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")

@@ -4,7 +4,9 @@ Texts are canonicalised into templates: numbers, units after (or currency
 signs before) a number, and capitalised names inside a sentence become typed
 placeholders; all other words are lower-cased, punctuation goes.  Windows of
 ``WINDOW`` template tokens are hashed and joined with the benchmark's, so a
-question with other numbers or names still meets its template.  The raw
+question with other numbers or names still meets its template.  A window with
+a name is hashed a second time with the name as an ordinary word, as a copy in
+lower or upper case has it.  The raw
 values in the slots are then compared along each alignment of the document
 with the item: one item value must always stand for one document value.
 Windows with a slot that breaks this do not count.  A document is
@@ -47,6 +49,7 @@ UNITS = {
 _DIMENSION = {unit: kind for kind, units in UNITS.items() for unit in units.split()}
 _NAME, _UNIT = "\u0001", "\u0002"
 _NAMES = r"\p{Lu}(?<=[\p{Ll}\p{Nd},;:] \p{Lu})\p{Ll}+"      # a capital after a word and a space
+_SPACES = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*+| [\s\p{Z}]++"          # white space that is not one space
 _AFTER_NUMBER = r"(?<=[0-9])\s?(" + "|".join(sorted((u for u in _DIMENSION if u[0] not in "$€£"), key=lambda u: (-len(u), u))) \
     + r")(?![\p{L}\p{Nd}])"
 _BEFORE_NUMBER = r"[$€£](?=\s?[0-9])"
@@ -54,10 +57,10 @@ _TOKENS = _UNIT + r"[%$€£]|" + _UNIT + r"°[cf]|[" + _NAME + _UNIT + r"]?[\p{
 
 
 def marked(text: Column) -> Column:
-    """The lower-cased text with a mark before names and units."""
+    """The lower-cased text, white space folded, with a mark before names."""
     text = F.coalesce(text.cast("string"), F.lit(""))
     text = F.when(text.contains(_NAME) | text.contains(_UNIT), F.translate(text, _NAME + _UNIT, "  ")).otherwise(text)
-    return F.lower(F.regexp_replace(text, _NAMES, _NAME + "$0"))
+    return F.lower(F.regexp_replace(F.regexp_replace(text, _SPACES, " "), _NAMES, _NAME + "$0"))
 
 
 def tokens(text: Column) -> Column:
@@ -78,7 +81,12 @@ def template(raw: Column) -> Column:
     return F.transform(raw, canonical)
 
 
-def windows(texts: DataFrame, key: str) -> DataFrame:
+def unnamed(raw: Column) -> Column:
+    """Raw tokens with names as ordinary words."""
+    return F.transform(raw, lambda t: F.when(t.startswith(_NAME), t.substr(2, 1 << 30)).otherwise(t))
+
+
+def windows(texts: DataFrame, key: str, both: bool = False) -> DataFrame:
     """A row for each window: ``key``, the text's ``total`` tokens, ``h``, and
     where it lies: its segment's first token ``start``, its place ``pos`` in
     it, and the tokens of a ``segment`` that holds a slot.
@@ -88,6 +96,9 @@ def windows(texts: DataFrame, key: str) -> DataFrame:
     the tokens themselves; past the end of a short text there are none, so its
     one window hashes like no other.  A text without a token has one window
     of size 0, which no item has.
+
+    With ``both``, windows of a segment that has names come a second time,
+    ``plain``: names are ordinary words, and ``h`` is null without a name.
     """
     rows = texts.select(F.col(key), marked(F.col("text")).alias("text")) \
         .select(key, F.col("text").rlike(f"[{_NAME}{_UNIT}0-9]").alias("slots"), tokens(F.col("text")).alias("all"))
@@ -102,13 +113,26 @@ def windows(texts: DataFrame, key: str) -> DataFrame:
     def hashed(array, i):
         return F.xxhash64(*[F.get(array, i + j) for j in range(WINDOW)])
 
-    def slotted(i):
-        filled = sum((F.coalesce((F.get("raw", i + j) < ":").cast("int"), F.lit(0)) for j in range(1, WINDOW)),
-                     (F.get("raw", i) < ":").cast("int"))
+    def slotted(i, raw="raw", canon="canon"):
+        filled = sum((F.coalesce((F.get(raw, i + j) < ":").cast("int"), F.lit(0)) for j in range(1, WINDOW)),
+                     (F.get(raw, i) < ":").cast("int"))
         spare = F.greatest(F.least(F.col("total"), F.lit(WINDOW)) - LITERALS, F.lit(0))
-        return F.when(filled > spare, hashed("raw", i)).otherwise(hashed("canon", i))
+        return F.when(filled > spare, hashed(raw, i)).otherwise(hashed(canon, i))
     at = F.sequence(F.lit(0), F.greatest(F.size("raw") - WINDOW, F.lit(0)))
-    every = F.when(F.col("slots"), F.transform(at, slotted)).otherwise(F.transform(at, lambda i: hashed("raw", i)))
+    every = F.when(F.col("slots"), F.transform(at, lambda i: slotted(i))).otherwise(F.transform(at, lambda i: hashed("raw", i)))
+    if both:
+        named = F.col("slots") & F.exists("raw", lambda t: t.startswith(_NAME))
+        rows = rows.withColumn("words", F.when(named, unnamed(F.col("raw")))) \
+            .withColumn("canon_words", F.when(F.col("words").isNotNull(), template(F.col("words"))))
+
+        def again(i):
+            name = [F.coalesce(F.get("raw", i + j).startswith(_NAME), F.lit(False)) for j in range(WINDOW)]
+            return F.when(name[0] | name[1] | name[2] | name[3] | name[4], slotted(i, "words", "canon_words"))
+        first = F.greatest(F.size("raw") - WINDOW + 1, F.lit(1))
+        hs = F.when(F.col("words").isNotNull(), F.concat(every, F.transform(at, again))).otherwise(every)
+        return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), first.alias("first"), hs.alias("hs")) \
+            .select(key, "total", "start", "segment", "first", F.posexplode_outer("hs").alias("n", "h")) \
+            .select(key, "total", "start", "segment", F.pmod("n", "first").alias("pos"), "h", (F.col("n") >= F.col("first")).alias("plain"))
     return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), every.alias("hs")) \
         .select(key, "total", "start", "segment", F.posexplode_outer("hs").alias("pos", "h"))
 
@@ -116,21 +140,23 @@ def windows(texts: DataFrame, key: str) -> DataFrame:
 def placed(found: DataFrame) -> DataFrame:
     """``at``, ``size`` and ``raw`` of windows in place of their segment."""
     raw = F.slice("segment", F.col("pos") + 1, WINDOW)
+    if "plain" in found.columns:
+        raw = F.when(F.col("plain"), unnamed(raw)).otherwise(raw)
     return found.withColumns({
         "at": F.col("start") + F.col("pos"), "size": F.least("total", F.lit(WINDOW)),
-        "raw": F.when(F.exists(raw, lambda t: t < ":"), raw)}).drop("start", "pos", "segment")
+        "raw": F.when(F.exists(raw, lambda t: t < ":"), raw)}).drop("start", "pos", "segment", "plain")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``doc_id, item_id, coverage`` (share of the item's tokens covered by
     windows that count) and ``run`` (most of them on end in one alignment) of
     every document and item that share a window."""
-    items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id"))
-                    .where("total > 0").select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
+    items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id", both=True))
+                    .where("total > 0 and h is not null").select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
                             F.col("raw").alias("item_raw")).distinct(), "benchmark-windows")
     if items.count() <= BROADCAST_WINDOWS:
         items = F.broadcast(items)
-    found = placed(windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id").join(items, "h"))
+    found = placed(windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", both=True).join(items, "h"))
     # an alignment: the document shifted against the item by a fixed number of tokens
     aligned = found.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct("item_at", "size", "item_raw", "raw")).alias("ws"))
