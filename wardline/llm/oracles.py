@@ -107,3 +107,42 @@ pairs AS (
 ranked AS (
   SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pairs)
 SELECT query_id, rank::INT AS rank, vec_id, score FROM ranked WHERE rank <= {k}"""
+
+
+def codes_sql(parts: int = 16, entries: int = 64, rounds: int = 2, scale: int = 256) -> str:
+    """Product quantisation by plain distances to every entry."""
+    text = f"""
+WITH kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, label,
+         list_transform(embedding, lambda x: floor({scale} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pieces AS MATERIALIZED (
+  SELECT r, p, v[p * (len(v) // {parts}) + 1:(p + 1) * (len(v) // {parts})] AS x FROM kept, range({parts}) t(p)),
+starts AS (
+  SELECT r, row_number() OVER (ORDER BY vec_id) - 1 AS e FROM kept WHERE vec_id IS NOT NULL ORDER BY vec_id LIMIT {entries}),
+book0 AS MATERIALIZED (SELECT p, e, x AS c FROM pieces JOIN starts USING (r))"""
+    for k in range(rounds + 1):
+        text += f""",
+near{k} AS MATERIALIZED (
+  SELECT r, p, any_value(x) AS x, min(256 * list_sum(list_transform(list_zip(x, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT + e) AS best
+  FROM pieces JOIN book{k} USING (p) GROUP BY r, p)"""
+        if k < rounds:
+            text += f""",
+means{k} AS (
+  SELECT p, e, list(m ORDER BY i) AS c FROM (
+    SELECT p, e, i, ((s - ((s % n) + n) % n) // n)::BIGINT AS m FROM (
+      SELECT p, best % 256 AS e, i, sum(x[i])::BIGINT AS s, count(*) AS n
+      FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{k}) GROUP BY ALL))
+  GROUP BY p, e),
+book{k + 1} AS MATERIALIZED (
+  SELECT b.p, b.e, coalesce(m.c, b.c) AS c FROM book{k} b LEFT JOIN means{k} m ON b.p = m.p AND b.e = m.e)"""
+    return text + f""",
+coded AS (
+  SELECT r, string_agg(format('{{:02x}}', best % 256), '' ORDER BY p) AS code, sum(best // 256)::BIGINT AS error
+  FROM near{rounds} GROUP BY r),
+digest AS (
+  SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
+FROM coded JOIN kept USING (r), digest"""
