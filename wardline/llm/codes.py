@@ -220,8 +220,8 @@ def compress(vectors: DataFrame, parts: int = 16, entries: int = 64, rounds: int
         coded = encoded(same, book, dimension, scale).unionByName(other)
     digest = hashlib.sha256(",".join(map(str, book.reshape(-1).tolist())).encode()).hexdigest()
     coded = written(coded, "codes")
-    most = F.lit((1 << 63) - 1).cast("decimal(38,0)")
+    total, most = F.sum(F.col("error").cast("decimal(20,0)")), F.lit((1 << 63) - 1)
     totals = coded.groupBy(F.col("label").alias("of")).agg(
-        F.least(F.sum(F.col("error").cast("decimal(20,0)")), most).cast("long").alias("label_error"))
+        F.when(total > most, most).otherwise(total.cast("long")).alias("label_error"))
     return coded.join(totals, F.col("label").eqNullSafe(F.col("of"))).select(
         F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(digest).alias("codebooks_sha256"))

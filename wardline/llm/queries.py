@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import codes, decontaminate, htmltext, langid, lmscore, oracles, packing, pii, simhash, toxicity, vptree, warc
+from wardline.llm import codes, decontaminate, htmltext, langid, lmscore, oracles, packing, pii, sharding, simhash, toxicity, vptree, warc
 from wardline.llm.tables import read
 
 
@@ -54,6 +54,10 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contaminated(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sharding.assign(read(spark, sf_dir, "documents"), shards=40, overhead=16)
+
+
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
 
@@ -69,6 +73,7 @@ QUERIES = {
     "op8_pii": op8_pii,
     "op9_lmscore": op9_lmscore,
     "op10_decontaminate": op10_decontaminate,
+    "op11_sharding": op11_sharding,
     "op13_codes": op13_codes,
 }
 
