@@ -256,3 +256,16 @@ def test_medians_widen_narrow_and_skip_nan(spark):
         assert fit.medians(df, cols) == want
     finally:
         fit.BAND, fit.BAND_ROWS = old
+
+
+def test_running_sums_in_group_match_window(spark):
+    from pyspark.sql import Window, functions as F
+    from wardline.operators.sequence import running_in_group
+    rows = [(1, i, i % 7) for i in range(200)] + [(g, i, g) for g in range(2, 9) for i in range(3)] + [(0, None, 5), (0, 1, 2)]
+    df = spark.createDataFrame(rows, "g int, t int, x long")
+    w = Window.partitionBy("g").orderBy(F.col("t").asc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+    want = df.select("*", F.sum("x").over(w).alias("s"), F.sum(F.lit(1)).over(w).alias("n"))
+    for parts in (1, 3, 40):
+        got = running_in_group(df, "g", ["t"], {"s": F.col("x"), "n": F.lit(1)}, n_parts=parts)
+        assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+    assert running_in_group(df.where("false"), "g", ["t"], {"s": F.col("x")}).collect() == []
