@@ -146,3 +146,41 @@ digest AS (
   SELECT sha256(string_agg(list_aggregate(c, 'string_agg', ','), ',' ORDER BY p, e)) AS h FROM book{rounds})
 SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256
 FROM coded JOIN kept USING (r), digest"""
+
+
+def trie_sql(block: int = 100, heads: int = 6) -> str:
+    """The trie of the rebuilt conversations, from lists of whole turns; CRC-32
+    of the decimal id bit by bit."""
+    crc = ("xor(list_reduce(list_concat([4294967295], flatten(list_transform(string_split(conv_id::VARCHAR, ''), "
+           "lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))), "
+           "lambda a, s: CASE WHEN s >= 0 THEN xor(a, s) WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295)")
+    return f"""
+WITH t AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(struct_pack(r := role, x := text)
+                       ORDER BY turn NULLS FIRST, sha256(length(role)::VARCHAR || ':' || role || text)) AS turns
+  FROM t GROUP BY conv_id),
+sized AS (SELECT conv_id, turns, ({crc}) % {heads} AS h, conv_id - conv_id % {block} AS base FROM own),
+built AS MATERIALIZED (
+  SELECT s.conv_id, list_concat(coalesce(b.turns[1:s.h], []), s.turns[s.h + 1:]) AS turns
+  FROM sized s LEFT JOIN own b ON b.conv_id = s.base),
+prefixes AS (
+  SELECT conv_id, d AS depth, turns[1:d] AS path, d = len(turns) AS ends
+  FROM (SELECT conv_id, turns, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+nodes AS MATERIALIZED (
+  SELECT depth, path, min(conv_id) AS conv_id, count(*) AS n_convs, count(*) FILTER (ends) AS n_ends,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM prefixes GROUP BY depth, path),
+subtrees AS (
+  SELECT v.depth, v.path, count(*) FILTER (w.n_ends = w.n_convs) AS n_leaves,
+         sum((w.n_convs - 1) * CASE WHEN w.depth = 0 THEN 0 ELSE length(w.path[w.depth].x) END)::BIGINT AS saved_tokens
+  FROM nodes v JOIN nodes w ON w.path[1:v.depth] = v.path GROUP BY v.depth, v.path),
+children AS (
+  SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY 1, 2)
+SELECT v.conv_id, v.depth, p.conv_id AS parent_conv_id, v.n_convs, coalesce(c.n_children, 0) AS n_children, s.n_leaves,
+       s.saved_tokens, v.ends_sha256
+FROM nodes v
+JOIN subtrees s ON s.depth = v.depth AND s.path = v.path
+LEFT JOIN children c ON c.depth = v.depth AND c.path = v.path
+LEFT JOIN nodes p ON p.depth = v.depth - 1 AND p.path = v.path[1:v.depth - 1]"""

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wardline.llm import codes, decontaminate, htmltext, langid, lmscore, oracles, packing, pii, sharding, simhash, toxicity, vptree, warc
+from wardline.llm import (codes, decontaminate, htmltext, langid, lmscore, oracles, packing, pii, sharding, simhash,
+                          toxicity, trie, vptree, warc)
 from wardline.llm.tables import read
 
 
@@ -58,6 +59,10 @@ def op11_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign(read(spark, sf_dir, "documents"), shards=40, overhead=16)
 
 
+def op12_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(read(spark, sf_dir, "conversations"), block=100, heads=6)
+
+
 def op13_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return codes.compress(read(spark, sf_dir, "embeddings"), parts=16, entries=64, rounds=2, scale=256)
 
@@ -74,6 +79,7 @@ QUERIES = {
     "op9_lmscore": op9_lmscore,
     "op10_decontaminate": op10_decontaminate,
     "op11_sharding": op11_sharding,
+    "op12_trie": op12_trie,
     "op13_codes": op13_codes,
 }
 
@@ -81,5 +87,6 @@ ORACLES: dict[str, str] = {
     "op6_vptree": oracles.nearest_sql(5, 50),
     "op7_warc": oracles.warc_sql(),
     "op8_pii": oracles.pii_sql(),
+    "op12_trie": oracles.trie_sql(),
     "op13_codes": oracles.codes_sql(),
 }
