@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from ..functions.text import SEPARATOR_PATTERN, clean_report_text, strip_ws
 from ..functions.timecols import relative_hour
-from ..session import spread
+from ..session import cut_lineage, spread
 from .cohort import ID_COL, attach_intime
 
 # --- fixed values: note time columns, in priority order ----------------------
@@ -59,24 +59,76 @@ def unknown_time_count(segments_all: DataFrame) -> DataFrame:
     return segments_all.agg(F.count_if(F.col("report_time").isNull()).alias("dropped_unknown_time"))
 
 
-def asof_text(landmarks: DataFrame, segments: DataFrame) -> DataFrame:
-    """For each (stay, t_end): all reports with ``report_time <= t_end``,
-    joined by a space in time order, "" when none (J9).
+BLOCK = 4              # landmarks of a stay whose texts are put together in one group
 
-    Landmarks and reports are unioned and scanned once per stay in time
-    order; a report at exactly ``t_end`` sorts before the landmark and is
-    included.  Ties between reports are broken by (row key, position, text).
-    """
-    spine = landmarks.select(ID_COL, F.col("t_end").cast("double").alias("_t"),
-                             F.lit(1).alias("_kind"), F.lit(None).cast("bigint").alias("note_row"),
-                             F.lit(None).cast("int").alias("pos"), F.lit(None).cast("string").alias("clean_text"))
-    notes = segments.select(ID_COL, F.col("report_time").alias("_t"), F.lit(0).alias("_kind"),
-                            "note_row", "pos", "clean_text")
-    u = notes.unionByName(spine)
-    w = (Window.partitionBy(ID_COL)
-         .orderBy("_t", "_kind", F.asc_nulls_last("note_row"), "pos", "clean_text")
-         .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    got = u.withColumn("_acc", F.collect_list("clean_text").over(w))
-    return (got.where(F.col("_kind") == 1)
-            .select(ID_COL, F.col("_t").alias("t_end"), F.array_join("_acc", " ").alias("final_text"))
-            .withColumn("has_text", (F.length("final_text") > 0).cast("int")))
+
+def _place_of(ends, t):
+    """Index of the first element of the sorted array ``ends`` that is not
+    below ``t`` (binary search, in the row); its size if there is none."""
+    def halve(acc, _):
+        mid = F.floor((acc["lo"] + acc["hi"]) / 2).cast("int")
+        open_, below = acc["lo"] < acc["hi"], F.get(ends, mid) < t
+        return F.struct(F.when(open_ & below, mid + 1).otherwise(acc["lo"]).alias("lo"),
+                        F.when(open_ & ~below, mid).otherwise(acc["hi"]).alias("hi"))
+    start = F.struct(F.lit(0).alias("lo"), F.size(ends).alias("hi"))
+    return F.aggregate(F.sequence(F.lit(0), F.ceil(F.log2(F.size(ends) + 1)).cast("int")), start, halve)["lo"]
+
+
+def _intervals(landmarks: DataFrame, segments: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """The landmarks of each stay numbered in time order (``_k`` of ``_n``),
+    and every report with the number of the first landmark that sees it.
+    Reports after the last landmark are seen by none and dropped."""
+    ends = landmarks.where(F.col("t_end").isNotNull()).groupBy(ID_COL).agg(
+        F.array_sort(F.collect_set(F.col("t_end").cast("double"))).alias("_ends"))
+    spine = ends.select(ID_COL, F.size("_ends").alias("_n"), F.posexplode("_ends").alias("_k", "t_end"))
+    order = F.struct("report_time", F.col("note_row").isNull().alias("none"), "note_row", "pos", "clean_text")
+    reports = segments.join(ends, ID_COL).withColumn("_k", _place_of(F.col("_ends"), F.col("report_time"))) \
+        .select(ID_COL, F.size("_ends").alias("_n"), "_k", order.alias("_r")).where(F.col("_k") < F.col("_n"))
+    return spine, reports
+
+
+def _joined(reports) -> F.Column:
+    """Texts of collected reports in order (time, row key, position, text)."""
+    return F.array_join(F.transform(F.array_sort(F.collect_list(reports)), lambda r: r["clean_text"]), " ")
+
+
+def text_increments(landmarks: DataFrame, segments: DataFrame) -> DataFrame:
+    """For each (stay, t_end): ``new_text``, the reports since the stay's
+    landmark before, and ``has_text`` (any report up to ``t_end``).  The texts
+    of a stay's landmarks up to one, joined by a space, are its as-of text, so
+    every report is in one row only.  Written once: the running flag is worked
+    out on rows without texts."""
+    spine, reports = _intervals(landmarks, segments)
+    rows = reports.select(ID_COL, "_k", F.lit(None).cast("double").alias("t_end"), "_r").unionByName(
+        spine.select(ID_COL, "_k", "t_end"), allowMissingColumns=True)
+    inc = cut_lineage(rows.groupBy(ID_COL, "_k").agg(F.max("t_end").alias("t_end"), _joined("_r").alias("new_text"))
+                      .withColumn("_any", (F.length("new_text") > 0).cast("int")), "note-increments")
+    w = Window.partitionBy(ID_COL).orderBy("_k").rowsBetween(Window.unboundedPreceding, 0)
+    flags = inc.select(ID_COL, "_k", F.max("_any").over(w).alias("has_text"))
+    return inc.join(flags, [ID_COL, "_k"]).select(ID_COL, "t_end", "new_text", "has_text")
+
+
+def asof_text(landmarks: DataFrame, segments: DataFrame, block: int = BLOCK) -> DataFrame:
+    """For each different (stay, t_end): all reports with ``report_time <=
+    t_end``, joined by a space in time order, "" when none (J9).  Ties between
+    reports are broken by (row key, position, text).
+
+    A report belongs to the first landmark that sees it, found by binary
+    search among the stay's landmarks; a report at exactly ``t_end`` is seen.
+    Landmarks are put together in groups of ``block`` of a stay, so a stay with
+    very many notes is spread over its groups: a group gets its own reports
+    and, for the landmarks before it, all earlier ones.  No group is larger
+    than the reports of its last landmark; texts are shuffled once for every
+    ``block`` landmarks that see them."""
+    spine, reports = _intervals(landmarks, segments)
+    group, last = F.expr(f"_k div {block}"), F.expr(f"(_n - 1) div {block}")
+    shown = reports.select(ID_COL, "_k", "_r", F.explode(F.sequence(group, last)).alias("_block")).select(
+        ID_COL, "_block", F.when(group == F.col("_block"), F.col("_k")).otherwise(-1).alias("_k"),
+        F.lit(None).cast("double").alias("t_end"), "_r")
+    rows = shown.unionByName(spine.select(ID_COL, group.alias("_block"), "_k", "t_end"), allowMissingColumns=True)
+    texts = rows.repartition(ID_COL, "_block").groupBy(ID_COL, "_block", "_k").agg(
+        F.max("t_end").alias("t_end"), _joined("_r").alias("_new"))
+    w = Window.partitionBy(ID_COL, "_block").orderBy("_k").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    text = F.array_join(F.collect_list(F.when(F.length("_new") > 0, F.col("_new"))).over(w), " ")
+    return texts.select(ID_COL, "t_end", text.alias("final_text")).where(F.col("t_end").isNotNull()) \
+        .withColumn("has_text", (F.length("final_text") > 0).cast("int"))

@@ -62,18 +62,23 @@ def _prepare(inp: CohortInputs, debug_max_stays: int = 0):
 
 
 def master_trailing(inp: CohortInputs, debug_max_stays: int = 0, window: int = landmarks.WINDOW_HOURS,
-                    step: int = landmarks.STEP_HOURS) -> DataFrame:
+                    step: int = landmarks.STEP_HOURS, increments: bool = False) -> DataFrame:
     """Trailing-window master table (L6): one row per (stay, t_end) with
-    24-h statistics, time-gated note text, static columns and labels."""
+    24-h statistics, time-gated note text, static columns and labels.
+
+    With ``increments`` the text is ``new_text``, what each landmark adds to
+    the one before, in place of the cumulative ``final_text``; later steps drop
+    a stay's last landmarks only, so the increments that stay add up."""
     kept, rel, variables = _prepare(inp, debug_max_stays)
     hr = hourly.hourly_means(rel, variables, "rint")
     feats = landmarks.trailing_features(hr, variables, window=window, step=step)
     spine = feats.select(ID_COL, "t_end").dropDuplicates()
     if inp.text is not None:
         seg = notes.note_segments(cohort.restrict(inp.text, kept), kept)
-        text = notes.asof_text(spine, seg)
+        text = (notes.text_increments if increments else notes.asof_text)(spine, seg)
     else:
-        text = spine.select(ID_COL, "t_end", F.lit("").alias("final_text"), F.lit(0).alias("has_text"))
+        text = spine.select(ID_COL, "t_end", F.lit("").alias("new_text" if increments else "final_text"),
+                            F.lit(0).alias("has_text"))
     m = feats.join(text, on=[ID_COL, "t_end"], how="left")
     m = m.join(cohort.drop_leakage(kept), on=ID_COL, how="left")
     return labels.task_labels(m, kept, labels.readmit_labels(kept))

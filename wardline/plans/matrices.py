@@ -77,17 +77,28 @@ def _present(df, cols):
 def base_matrices(master: DataFrame, scale_for_linear: bool, tfidf_max_features: int = 300,
                   checkpoint: bool = True) -> Matrices:
     """X2 on the trailing master: missing drop, TF-IDF, numeric selection,
-    median imputation, optional standardisation, correlation drop."""
+    median imputation, optional standardisation, correlation drop.
+
+    A master with ``new_text`` (what each landmark adds) gives the same matrix
+    as one with the cumulative ``final_text``, and tokenizes every report
+    once."""
     df = _split(master, BASE_REQUIRED)
     if checkpoint:
         df = cut_lineage(df)
     train = df.where("split = 'train'")
-    cand = [c for c in df.columns if c not in ("split",)]
+    cand = [c for c in df.columns if c not in ("split", "new_text")]
     drop = FT.fit_missing(train, cand, safe=BASE_SAFE, keep_suffixes=("_is_measured",))
     df = df.drop(*drop)
     train = df.where("split = 'train'")
     tfidf_names, model = [], None
-    if "final_text" in df.columns and train.where(F.length(F.coalesce("final_text", F.lit(""))) > 0).limit(1).count():
+    if "new_text" in df.columns:
+        if train.where(F.length("new_text") > 0).limit(1).count():
+            added = cut_lineage(TX.growing_tokens(df, ID_COL, "t_end", "new_text").join(
+                df.select(F.col(ID_COL).alias("group"), F.col("t_end").alias("order"), "split"), ["group", "order"]), "added")
+            model = TX.fit_tfidf_growing(added.where("split = 'train'"), max_features=tfidf_max_features)
+            df = TX.tfidf_wide_growing(df.drop("new_text"), ID_COL, "t_end", added, model)
+            tfidf_names = [f"tfidf_{t}" for t in model.vocabulary]
+    elif "final_text" in df.columns and train.where(F.length(F.coalesce("final_text", F.lit(""))) > 0).limit(1).count():
         model = TX.fit_tfidf(train, "final_text", max_features=tfidf_max_features)
         df = TX.tfidf_wide(df, "final_text", model)
         tfidf_names = [f"tfidf_{t}" for t in model.vocabulary]
@@ -131,7 +142,9 @@ def apply_artifacts(table: DataFrame, artifacts: dict, features: list) -> DataFr
     """Fitted transforms from their artifacts (as saved with a run): TF-IDF,
     imputation, interactions, scaling, final columns.  No fitting, no join."""
     df, tfidf = table, artifacts.get("tfidf")
-    if tfidf and tfidf.vocabulary:
+    if tfidf and tfidf.vocabulary and "new_text" in df.columns:
+        df = TX.tfidf_wide_growing(df, ID_COL, "t_end", TX.growing_tokens(df, ID_COL, "t_end", "new_text"), tfidf)
+    elif tfidf and tfidf.vocabulary:
         df = TX.tfidf_wide(df, "final_text", tfidf)
     if "landmark_hour" not in df.columns:
         df = df.withColumn("landmark_hour", F.col("t_end").cast("double"))

@@ -448,7 +448,7 @@ def _matrix_long(m, features):
 
 
 def _base(spark, d):
-    return MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
+    return MX.base_matrices(FT.group_split(M.master_trailing(cohort_inputs(spark, d), increments=True)), scale_for_linear=True)
 
 
 @query("base_matrix")
