@@ -238,7 +238,7 @@ def test_history_tensor_matches_plain_lookup(spark):
     assert off.static == [0.0] and off.input_ids == [0] and off.attention_mask == [0] and off.time_series == [[0.0]] * 24
 
 
-def test_medians_widen_narrow_and_skip_nan(spark):
+def test_medians_narrow_and_skip_nan(spark):
     import random
     from wardline.operators import fit
     rnd = random.Random(4)
@@ -250,12 +250,12 @@ def test_medians_widen_narrow_and_skip_nan(spark):
         x = sorted(y for y in v if y is not None and y == y)
         want[c] = (x[(len(x) - 1) // 2] + x[len(x) // 2]) / 2 if x else None
     assert fit.medians(df, cols) == want
-    old = fit.BAND, fit.BAND_ROWS
+    old = fit.BINS
     try:
-        fit.BAND, fit.BAND_ROWS = 0.05, 4          # narrow again and again
+        fit.BINS = 16                              # narrow again and again
         assert fit.medians(df, cols) == want
     finally:
-        fit.BAND, fit.BAND_ROWS = old
+        fit.BINS = old
 
 
 def test_running_sums_in_group_match_window(spark):

@@ -8,10 +8,12 @@ join and no shuffle.  Parameters can be saved and reloaded as parquet.
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
+from ..session import cut_lineage
 from .cohort import GROUP_COL, seeded_rank
 
 SEED = 42
@@ -56,9 +58,13 @@ def missing_rates(train: DataFrame, columns) -> DataFrame:
     """Share of NULL (or NaN) per column on the training rows, long format."""
     cols = list(columns)
     floats = {f.name for f in train.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))}
-    miss = lambda c: (F.col(c).isNull() | F.isnan(c)) if c in floats else F.col(c).isNull()
-    one = train.agg(*[F.avg(miss(c).cast("double")).alias(c) for c in cols])
-    return one.unpivot([], cols, "column", "missing_rate")
+    miss = [f"double({quoted(c)} IS NULL{f' OR isnan({quoted(c)})' if c in floats else ''})" for c in cols]
+    names = ", ".join("'" + c.replace("\\", "\\\\").replace("'", "\\'") + "'" for c in cols)
+    rows = train.selectExpr(f"posexplode_outer(array({', '.join(miss)})) AS (c, v)").groupBy("c").agg(F.avg("v").alias("missing_rate"))
+    got = rows.selectExpr(f"array({names})[c] AS column", "missing_rate")
+    if cols:
+        return got
+    return got.limit(0)
 
 
 def columns_to_drop(rates: dict, threshold: float = MISSING_DROP, safe=(), keep_suffixes=()) -> list[str]:
@@ -79,88 +85,77 @@ class ImputeParams:
     keep_empty: bool = False
 
 
-STATS_CHUNK = 100      # columns in one aggregate: keeps the generated code small
+def quoted(c: str) -> str:
+    return "`" + c.replace("`", "``") + "`"
+
 
+def literal(x: float) -> str:
+    """A number in SQL text.  Wide projections are written as SQL text: one
+    parse, where hundreds of column objects take seconds to make."""
+    return f"{float(x)!r}D" if math.isfinite(x) else f"double('{float(x)!r}')"
 
-def _number(c: str):
-    """The column as a double, NaN as NULL."""
-    return F.nanvl(F.col(c).cast("double"), F.lit(None).cast("double"))
+
+def cells(df: DataFrame, columns) -> DataFrame:
+    """The numbers of all columns as rows (``c``: place of the column, ``v``;
+    NaN as NULL); aggregates over any number of columns are then one pass with
+    a small plan.  The outer form, as no filter on the array is inferred for
+    it: that takes the optimizer minutes for many derived columns."""
+    numbers = ", ".join(f"nanvl(cast({quoted(c)} AS DOUBLE), null)" for c in columns)
+    return df.selectExpr(f"array({numbers}) AS x").selectExpr("posexplode_outer(x) AS (c, v)")
 
 
 def column_stats(df: DataFrame, columns, **stats) -> dict:
     """{column: {name: value}} of aggregate functions, each taking the column's
-    numbers; one pass for every ``STATS_CHUNK`` columns."""
-    cols, out = list(columns), {}
-    for i in range(0, len(cols), STATS_CHUNK):
-        some = cols[i:i + STATS_CHUNK]
-        row = df.agg(*[fn(_number(c)).alias(f"{k}_{name}") for k, c in enumerate(some) for name, fn in stats.items()]).first()
-        out.update({c: {name: row[f"{k}_{name}"] for name in stats} for k, c in enumerate(some)})
-    return out
+    numbers; one pass for all columns."""
+    cols = list(columns)
+    if not cols:
+        return {}
+    rows = cells(df, cols).groupBy("c").agg(*[fn(F.col("v")).alias(name) for name, fn in stats.items()]).collect()
+    found = {r["c"]: r for r in rows}
+    return {c: {name: found[k][name] if k in found else None for name in stats} for k, c in enumerate(cols)}
 
 
-BAND = 0.002           # half width of a median's first band, as a share of the rows
-BAND_ROWS = 20_000     # rows of a column in its band from which on it is narrowed again
+OCTAVE = 32            # bins of the first pass for each doubling of the magnitude
+BINS = 1 << 18         # bins of a later pass, over the one bin that holds the middle
 
 
 def medians(train: DataFrame, columns) -> dict:
     """Exact median of each column (mean of the two middle values), None for
-    an empty one: a quantile sketch of all columns gives each a narrow band
-    around its median, a second pass counts the rows below the band and
-    collects the values inside it.  A band that misses the middle is widened,
-    one that still holds many rows is narrowed by a sketch of its rows, so
-    the driver never holds more than ``BAND_ROWS`` distinct values a column.
-    """
-    cols, out = list(columns), {}
-    numbers = train.select(*[_number(c).alias(f"c{k}") for k, c in enumerate(cols)])
-    names = {c: f"c{k}" for k, c in enumerate(cols)}
-    bands, open_ = {}, []
-    if cols:
-        probs = [0.5 - BAND, 0.5 + BAND]
-        for c, q in zip(cols, numbers.approxQuantile([names[c] for c in cols], probs, BAND / 2)):
-            if q:
-                bands[c] = (q[0], q[1])
-                open_.append(c)
-            else:
-                out[c] = None
-    while open_:
-        counts, ready = {}, []
-        for i in range(0, len(open_), STATS_CHUNK):
-            some = open_[i:i + STATS_CHUNK]
-            x = {c: F.col(names[c]) for c in some}
-            row = numbers.agg(*[e for k, c in enumerate(some) for e in (
-                F.count(x[c]).alias(f"n{k}"), F.count_if(x[c] < bands[c][0]).alias(f"b{k}"),
-                F.count_if(x[c].between(*bands[c])).alias(f"i{k}"))]).first()
-            counts.update({c: (row[f"n{k}"], row[f"b{k}"], row[f"i{k}"]) for k, c in enumerate(some)})
-        for c in open_:
-            n, below, inside = counts[c]
-            low, high = (n - 1) // 2, n // 2
-            if low < below or high >= below + inside:
-                lo, hi = bands[c]
-                bands[c] = (float("-inf") if low < below else lo, float("inf") if high >= below + inside else hi)
-            elif inside > BAND_ROWS and bands[c][0] < bands[c][1]:
-                mid = ((low + high) / 2 - below) / inside
-                rows = numbers.where(F.col(names[c]).between(*bands[c]))
-                lo, hi = rows.approxQuantile(names[c], [max(0.0, mid - BAND), min(1.0, mid + BAND)], BAND / 2)
-                if (lo, hi) == bands[c]:
-                    ready.append(c)              # few distinct values, many times each
-                bands[c] = (lo, hi)
-            else:
-                ready.append(c)
-        if ready:
-            held = F.filter(F.array(*[F.struct(F.lit(c).alias("column"), F.when(
-                F.col(names[c]).between(*bands[c]), F.col(names[c])).alias("value")) for c in ready]),
-                lambda p: p["value"].isNotNull())
-            got: dict = {c: [] for c in ready}
-            for r in numbers.select(F.explode(held).alias("p")).groupBy("p.column", "p.value").count().collect():
-                got[r["column"]].append((r["value"], r["count"]))
-            for c in ready:
-                n, at, middle = counts[c][0], counts[c][1], []
-                for value, times in sorted(got[c]):
-                    middle += [value for rank in ((n - 1) // 2, n // 2) if at <= rank < at + times]
-                    at += times
-                out[c] = (middle[0] + middle[1]) / 2
-            open_ = [c for c in open_ if c not in set(ready)]
-    return {c: out[c] for c in cols}
+    an empty one.
+
+    Radix selection of all columns at once: a pass counts the rows of each bin
+    of a monotone function of the value and keeps, for either middle rank, the
+    bin that holds it with its least and largest value.  The first pass bins
+    by sign and logarithm, the later ones cut the range left into ``BINS``; a
+    double has few enough bits that it takes four passes at most, whatever
+    the number of rows or columns, and a pass is a hash aggregate with
+    map-side combine.  The driver gets two rows a column.  The columns are
+    written once; no pass runs the input's plan again."""
+    cols = list(columns)
+    if not cols:
+        return {}
+    numbers = ", ".join(f"nanvl(cast({quoted(c)} AS DOUBLE), null)" for c in cols)
+    x = cut_lineage(train.selectExpr(f"array({numbers}) AS x"), "numbers").selectExpr("posexplode_outer(x) AS (c, v)").where("v IS NOT NULL")
+
+    def binned(rows: DataFrame, *keys: str) -> DataFrame:
+        return rows.groupBy(*keys, "bin").agg(F.count("*").alias("n"), F.min("v").alias("lo"), F.max("v").alias("hi"))
+
+    def holding(bins: DataFrame) -> list:
+        before = Window.partitionBy("c", "t").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+        d = bins.withColumn("below", F.coalesce(F.sum("n").over(before), F.lit(0)))
+        return d.where("r >= below AND r < below + n").selectExpr("c", "t", "lo", "hi", "r - below AS r").collect()
+
+    first = binned(x.selectExpr("c", "v", f"""CASE WHEN v = 0 THEN 0 WHEN abs(v) = double('Infinity') THEN signum(v) * 1e6
+                                              ELSE signum(v) * (floor(log2(abs(v)) * {OCTAVE}) + 1e5) END AS bin"""), "c")
+    ranks = first.groupBy("c").agg(F.sum("n").alias("rows")).selectExpr(
+        "c", "posexplode(array((rows - 1) div 2, rows div 2)) AS (t, r)")
+    found = {(r["c"], r["t"]): r for r in holding(first.join(F.broadcast(ranks), "c"))}    # two rows a column
+    while wide := [tuple(r[k] for k in ("c", "t", "lo", "hi", "r")) for r in found.values() if r["lo"] < r["hi"]]:
+        targets = train.sparkSession.createDataFrame(wide, "c int, t int, lo double, hi double, r long")
+        inside = x.join(F.broadcast(targets.withColumnsRenamed({"lo": "a", "hi": "b"})), "c").where("v BETWEEN a AND b")
+        part = F.expr(f"least(floor((v / 2 - a / 2) / (b / 2 - a / 2) * {BINS}), {BINS - 1})")   # halves: no overflow
+        found.update({(r["c"], r["t"]): r for r in holding(binned(inside.withColumn("bin", part), "c", "t", "r"))})
+    return {c: (found[k, 0]["lo"] + found[k, 1]["lo"]) / 2 if (k, 0) in found else None for k, c in enumerate(cols)}
 
 
 def fit_median(train: DataFrame, columns, keep_empty: bool = False) -> ImputeParams:
@@ -170,14 +165,9 @@ def fit_median(train: DataFrame, columns, keep_empty: bool = False) -> ImputePar
 def apply_median(df: DataFrame, p: ImputeParams, passthrough=()) -> DataFrame:
     """Fill NULLs with the train median.  Columns empty in train are dropped,
     or filled with 0 when ``keep_empty``."""
-    out = [F.col(c) for c in passthrough]
-    for c, m in p.medians.items():
-        if m is None:
-            if p.keep_empty:
-                out.append(F.coalesce(F.col(c).cast("double"), F.lit(0.0)).alias(c))
-            continue
-        out.append(F.coalesce(F.col(c).cast("double"), F.lit(float(m))).alias(c))
-    return df.select(*out)
+    fill = {c: 0.0 if m is None else m for c, m in p.medians.items() if m is not None or p.keep_empty}
+    return df.selectExpr(*map(quoted, passthrough), *[
+        f"coalesce(cast({quoted(c)} AS DOUBLE), {literal(m)}) AS {quoted(c)}" for c, m in fill.items()])
 
 
 @dataclass
@@ -195,11 +185,8 @@ def fit_standard(train: DataFrame, columns) -> ScaleParams:
 
 
 def apply_standard(df: DataFrame, p: ScaleParams, passthrough=()) -> DataFrame:
-    out = [F.col(c) for c in passthrough]
-    for c in p.mean:
-        m = p.mean[c] if p.mean[c] is not None else 0.0
-        out.append(((F.col(c) - F.lit(float(m))) / F.lit(float(p.scale[c]))).alias(c))
-    return df.select(*out)
+    return df.selectExpr(*map(quoted, passthrough), *[
+        f"({quoted(c)} - {literal(m or 0.0)}) / {literal(p.scale[c])} AS {quoted(c)}" for c, m in p.mean.items()])
 
 
 # ---- A6: correlation drop ------------------------------------------------------------
@@ -221,7 +208,6 @@ def correlation_matrix(train: DataFrame, columns):
 def corr_drop_columns(columns, corr, threshold: float = CORR_DROP) -> list[str]:
     """Drop column j when any earlier column i (dropped or not) has
     |r_ij| > threshold; NaN never drops; fewer than two columns drop none."""
-    import math
     cols = list(columns)
     if len(cols) <= 1:
         return []

@@ -112,7 +112,7 @@ def _finish(df, feats, scale, artifacts, checkpoint=True, interactions: int = 0)
         raise ValueError("no numeric features left for modeling")
     keep = _present(df, KEEP) + (["landmark_hour"] if "landmark_hour" in df.columns and "landmark_hour" not in feats
                                  else [])
-    work = df.select(*keep, *[F.col(c).cast("double").alias(c) for c in feats])
+    work = df.selectExpr(*map(FT.quoted, keep), *[f"cast({FT.quoted(c)} AS DOUBLE) AS {FT.quoted(c)}" for c in feats])
     if checkpoint:
         work = cut_lineage(work)
     train = work.where("split = 'train'")
@@ -135,7 +135,7 @@ def _finish(df, feats, scale, artifacts, checkpoint=True, interactions: int = 0)
     final = [c for c in feats if c not in set(dropped)]
     artifacts.update({"numeric_features": feats, "medians": imp.medians, "interaction_cols": created,
                       "scaler": scaler, "corr_drop_cols": dropped, "final_feature_names": final})
-    return Matrices(work.select(*keep, *final), final, artifacts)
+    return Matrices(work.selectExpr(*map(FT.quoted, [*keep, *final])), final, artifacts)
 
 
 def apply_artifacts(table: DataFrame, artifacts: dict, features: list) -> DataFrame:
