@@ -25,6 +25,17 @@ def test_remembered_parts_give_the_tokenizers_ids():
     assert got == [encoded(t)[:-4] for t in ODD + ODD]
 
 
+def test_random_marks_give_the_tokenizers_ids():
+    rng = random.Random(11)
+    letters = "aAhHtTjJwWsSiIİıΣσςÅåé漢 \n.,-" + "".join(chr(x) for x in range(0x300, 0x345)) + "\u094d\u0f71\u0591\u1ab0"
+    texts = ["".join(rng.choice(letters) for _ in range(rng.randint(1, 12))) for _ in range(100_000)]
+    texts += ["H\u0331", "T\u0308 x", "J\u030c", "W\u030a", "\u0130\u094d"]
+    known, plain = packing.PieceIds(PATH), Tokenizer.from_file(PATH)
+    got = [np.frombuffer(x, "<u4").tolist() for x in known.encode(texts)]
+    want = [e.ids for e in plain.encode_batch(texts, add_special_tokens=False)]
+    assert [t for t, a, b in zip(texts, got, want) if a != b] == []
+
+
 def check(counts, capacity):
     runs, summary = packing.plan(counts, capacity)
     bins, placed = {}, {}

@@ -109,12 +109,15 @@ class PieceIds(dict):
 
         The tokenizer lower-cases character by character; doing it first
         makes more parts alike.  Not where it could differ: capital sigma
-        depends on its neighbours here, and special tokens are read before
-        lower-casing."""
+        depends on its neighbours here, special tokens are read before
+        lower-casing, and so is a letter that only its lower case composes
+        with the mark after it (the tokenizer composes first)."""
         split = []
         for t in texts:
             if "\u03a3" not in t and "<|" not in t:
-                t = t.lower()
+                low = t.lower()
+                if t.isascii() or unicodedata.normalize("NFC", low) == unicodedata.normalize("NFC", t).lower():
+                    t = low
             # str.split() also cuts at the separators 1C to 1F, which are no white space to the tokenizer
             plain = t.isprintable() or not any(c in t for c in "\x1c\x1d\x1e\x1f")
             split.append(t.split() if plain else t.replace("\n", " ").split(" "))
