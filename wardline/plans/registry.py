@@ -482,7 +482,7 @@ def q_landmark_matrix(spark, d):
 
 @query("logistic_two_head")
 def q_logistic(spark, d):
-    return RN.run_logistic(MX.base_matrices(_master_split(spark, d), scale_for_linear=True)).predictions
+    return RN.run_logistic(_base(spark, d)).predictions
 
 
 @query("gbt_two_head")
@@ -526,7 +526,7 @@ def q_two_monitors(spark, d):
 
 @query("attribution_linear")
 def q_attribution(spark, d):
-    m = MX.base_matrices(_master_split(spark, d), scale_for_linear=True)
+    m = _base(spark, d)
     run = RN.run_logistic(m)
     means = FT.fit_standard(m.split("train"), m.features).mean     # one pass
     sample = MD.seeded_sample(m.split("test").withColumn("t_hour", F.col("t_end").cast("bigint")), 2000,
