@@ -89,3 +89,17 @@ def test_plan_has_no_python(spark):
     plan = pii.digest(documents(spark, ["a"]))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
     assert pii.digest(documents(spark, ["a"]).limit(0)).count() == 0
+
+
+def test_many_matches_in_one_text_are_linear(spark):
+    import time
+    many = " ".join(str(10 + k % 90) for k in range(40_000))
+    phones = " ".join(f"+49 30 {k:07d}" for k in range(3_000))
+    docs = documents(spark, [many, phones])
+    assert pii.digest(docs).where("doc_id = 1").first().n_phone == 3_000
+    start = time.time()
+    rows = {r.doc_id: r for r in pii.digest(docs).collect()}
+    assert time.time() - start < 30                      # minutes when every match is carried along
+    want = ",".join(f"phone:{m.start()}:{m.end()}" for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", phones))
+    assert rows[1].spans == want
+    assert rows[0].n_card == len(stated_spans(many)["card"])

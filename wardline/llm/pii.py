@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from wardline.llm.tables import fresh
 
 KEEP = 0.6
+CHUNK = 256             # matches of a text that are worked on together
 BEFORE, AFTER = 40, 20
 BASE = ("email", "ip", "card", "phone")
 KINDS = (*BASE, "iban", "ssn")
@@ -113,19 +114,34 @@ def _parts(text: Column, kind: str) -> tuple[Column, Column]:
 
 def find(matches: Column, pieces: Column, kind: str) -> Column:
     """Kept spans of one kind in reading order: array of structs ``kind,
-    start, end`` (code points, end exclusive) and ``score``."""
+    start, end`` (code points, end exclusive) and ``score``.
+
+    Matches are taken in chunks, whose starts come from the sums of lengths
+    before them; only what passes the kind's rules is appended, so the work is
+    linear in the matches, also where one text holds very many."""
     n = F.size(matches)
-    rows = F.arrays_zip(matches.alias("m"), F.slice(pieces, 1, n).alias("before"), F.slice(pieces, 2, n).alias("after"))
     nothing = F.array().cast("array<struct<start:int,m:string,before:string,after:string>>")
 
+    def rows(chunk):
+        first, size = chunk * CHUNK + 1, F.least(F.lit(CHUNK), n - chunk * CHUNK)
+        return F.arrays_zip(F.slice(matches, first, size).alias("m"), F.slice(pieces, first, size).alias("before"),
+                            F.slice(pieces, first + 1, size).alias("after"))
+
     def add(acc, x):
         start = acc["at"] + F.length(x["before"])
         row = F.struct(start.alias("start"), x["m"].alias("m"), F.right(x["before"], F.lit(BEFORE)).alias("before"),
                        F.left(x["after"], F.lit(AFTER)).alias("after"))
-        return F.struct((start + F.length(x["m"])).alias("at"), F.concat(acc["rows"], F.array(row)).alias("rows"))
-    found = F.when(n > 0, F.aggregate(rows, F.struct(F.lit(0).alias("at"), nothing.alias("rows")), add)["rows"]) \
-        .otherwise(nothing)
-    spans = F.transform(F.filter(found, lambda x: valid(kind, x["m"])), lambda x: F.struct(
+        return F.struct((start + F.length(x["m"])).alias("at"),
+                        F.when(valid(kind, x["m"]), F.concat(acc["rows"], F.array(row))).otherwise(acc["rows"]).alias("rows"))
+
+    def length(chunk):
+        return F.aggregate(rows(chunk), F.lit(0), lambda a, x: a + F.length(x["before"]) + F.length(x["m"]))
+    chunks = F.sequence(F.lit(0), F.floor((n - 1) / CHUNK).cast("int"))
+    starts = F.aggregate(F.transform(chunks, length), F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
+                         lambda a, x: F.struct((a["at"] + x).alias("at"), F.concat(a["out"], F.array(a["at"])).alias("out")))["out"]
+    kept = F.flatten(F.transform(starts, lambda at, chunk: F.aggregate(
+        rows(chunk), F.struct(at.alias("at"), nothing.alias("rows")), add)["rows"]))
+    spans = F.transform(F.when(n > 0, kept).otherwise(nothing), lambda x: F.struct(
         F.lit(kind).alias("kind"), x["start"].alias("start"), (x["start"] + F.length(x["m"])).alias("end"),
         score(kind, x["before"], x["after"]).alias("score")))
     return spans if kind in BASE else F.filter(spans, lambda x: x["score"] >= KEEP)
