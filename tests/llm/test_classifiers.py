@@ -152,3 +152,27 @@ def test_one_language_none_and_empty(spark):
     none = one.selectExpr("doc_id", "text", "CAST(NULL AS STRING) AS lang")
     assert {r.lang_pred for r in langid.identify(none).collect()} == {"und"}
     assert langid.identify(one.limit(0)).count() == 0
+
+
+def test_long_labelled_texts_are_learnt(spark):
+    rng = random.Random(8)
+    clean = lambda n: " ".join("".join(rng.choices(SYLLABLES["en"], k=3)) for _ in range(n))
+    toxic = lambda n: " ".join(rng.choice(["vile", "scum", "filth"]) if k % 4 == 0 else clean(1) for k in range(n))
+    rows = [(i, toxic(3000) if i < 150 else clean(40)) for i in range(300)]
+    docs, labels = documents(spark, [t for _, t in rows]), spark.createDataFrame([(i, 1, int(i < 150)) for i, _ in rows], "doc_id long, quality int, toxic int")
+    assert min(len(t) for _, t in rows[:150]) > 20_000
+    got = {r.doc_id: r.score for r in toxicity.classify(docs, labels).collect() if r.doc_id is not None}
+    assert all(got[i] >= 0.7 for i in range(150)) and all(got[i] < 0.7 for i in range(150, 300))
+
+
+def test_long_texts_and_repeated_ids_in_the_language_sample(spark):
+    rows = [(i, "es" if i < 200 else "en", ("la casa de los perros que comen " if i < 200 else "the house of them that were going ") * (2 if i < 200 else 260))
+            for i in range(300)]
+    same = [(7, "es", f"el perro numero {k} de la calle") for k in range(4000)]
+    docs = spark.createDataFrame([(i, t, lang) for i, lang, t in rows + same], "doc_id long, text string, lang string")
+    texts_, langs = langid.training_sample(docs, per_language=50)
+    assert langs.count("es") == 50 and langs.count("en") == 50 and max(map(len, texts_)) <= 5000
+    again = langid.training_sample(docs.repartition(5), per_language=50)
+    assert again == (texts_, langs)
+    got = {r.doc_id: r.lang_pred for r in langid.identify(docs).collect()}
+    assert all(got[i] == lang for i, lang, _ in rows)

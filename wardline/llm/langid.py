@@ -17,14 +17,14 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, id_crc, pylist_batches, unpacked, worker_state, written
+from wardline.llm.tables import broadcast_object, id_crc, pylist_batches, unpacked, window_of, worker_state, written
 
 BUCKETS = 1 << 16
 UNKNOWN = "und"
-BROADCAST_LANGUAGES = 10_000
+BROADCAST_LANGUAGES = 100
 _DRAWS = 10 ** 15                          # steps of a sampling rate
 AMBIGUOUS = 0.2                            # score lead of the best language over the second
 _MIX = (np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D))
@@ -180,23 +180,32 @@ def train(texts: list[str], langs: list[str], epochs: int = 12, rate: float = 0.
 
 
 def training_sample(docs: DataFrame, per_language: int = 1500, longest: int = 5000) -> tuple[list[str], list[str]]:
-    """About ``per_language`` texts of each language (all if fewer), of at most
-    ``longest`` characters, from ids whose crc32 modulo 4 is not 2, drawn by a
-    hash of the id at a rate set by each language's count."""
+    """At most ``per_language`` texts of each language (all if fewer) from ids
+    whose crc32 modulo 4 is not 2, the first by a hash of the id.  Of a text
+    longer than ``longest`` characters a stretch at a hash-placed position is
+    taken; of an id's texts in a language the least, so rows that share an id
+    are one text.  The bound holds for any corpus."""
     usable = docs.select("doc_id", "text", "lang") \
-        .where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & (F.length("text") <= longest)) \
+        .where(F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull()) \
         .where(F.pmod(id_crc("doc_id"), F.lit(4)) != 2)
-    counts = written(usable.groupBy("lang").agg(F.count("*").alias("n")), "languages") \
-        .select(F.col("lang").alias("drawn"), (F.lit(per_language) / F.col("n") * _DRAWS).alias("rate"))
-    if counts.count() <= BROADCAST_LANGUAGES:
-        counts = F.broadcast(counts)
-    rows = usable.join(counts, F.col("lang") == F.col("drawn")) \
-        .where(F.pmod(F.xxhash64("doc_id"), F.lit(_DRAWS)) < F.col("rate")) \
-        .select("doc_id", "text", "lang").toArrow().to_pandas()
-    order = np.lexsort([rows["doc_id"].to_numpy(), np.array([zlib.crc32(b"%d" % i) for i in rows["doc_id"]])]) \
-        if len(rows) else []
-    rows = rows.iloc[order]
-    return rows["text"].tolist(), rows["lang"].tolist()
+    ids = written(usable.groupBy("lang", "doc_id").agg(F.xxhash64("doc_id").alias("h")), "language-ids")
+    counts = written(ids.groupBy("lang").agg(F.count("*").alias("n")), "languages")
+    # hashes are even: about four times as many as are needed pass this, then the first are taken
+    near = ids.join(counts.withColumnRenamed("lang", "of"), F.col("lang") == F.col("of")) \
+        .where(F.pmod("h", F.lit(_DRAWS)) < F.lit(4 * per_language + 100) / F.col("n") * _DRAWS)
+    first = Window.partitionBy("lang").orderBy(F.pmod("h", F.lit(_DRAWS)), "doc_id")
+    drawn = near.withColumn("place", F.row_number().over(first)).where(F.col("place") <= per_language) \
+        .select(F.col("doc_id").alias("drawn_id"), F.col("lang").alias("drawn_lang"))
+    if counts.count() <= BROADCAST_LANGUAGES:               # then the sample has a bounded number of ids
+        drawn = F.broadcast(drawn)
+    rows = usable.join(drawn, (F.col("doc_id") == F.col("drawn_id")) & (F.col("lang") == F.col("drawn_lang"))) \
+        .select("doc_id", "lang", window_of(F.col("text"), "doc_id", longest).alias("text")) \
+        .groupBy("doc_id", "lang").agg(F.min("text").alias("text")).toArrow()
+    ids = rows.column("doc_id").to_numpy()
+    hashed, langs = np.array([zlib.crc32(b"%d" % i) for i in ids], np.int64), np.array(rows.column("lang").to_pylist(), object)
+    order = sorted(range(len(ids)), key=lambda k: (hashed[k], ids[k], langs[k]))
+    rows = rows.take(pa.array(order, pa.int64()))
+    return rows.column("text").to_pylist(), rows.column("lang").to_pylist()
 
 
 def predict(docs: DataFrame, model: LanguageModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

@@ -69,6 +69,15 @@ def id_crc(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary"))
 
 
+def window_of(text: F.Column, id_col: str, longest: int) -> F.Column:
+    """A text of at most ``longest`` characters: itself, or a stretch of it at
+    a place given by a hash of the id.  Bounds what a model is trained on
+    without leaving long texts out."""
+    spare = F.length(text) - F.lit(longest)
+    start = F.pmod(F.xxhash64(id_col), F.greatest(spare, F.lit(0)) + 1).cast("int") + 1
+    return F.when(spare > 0, F.substr(text, start, F.lit(longest))).otherwise(text)
+
+
 def fresh(columns: list[str], name: str) -> str:
     """``name``, with underscores added until no column is called that."""
     taken = {c.lower() for c in columns}

@@ -24,7 +24,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import broadcast_object, fresh, id_crc, pylist_batches, unpacked, worker_state
+from wardline.llm.tables import (_give_back, broadcast_object, fresh, id_crc, pylist_batches, unpacked, window_of,
+                                 worker_state)
 
 WIDTHS = (1, 2, 3)
 BUCKETS = 1 << 24
@@ -207,12 +208,14 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64
     for i in fit:
         pairs = [known.get(w) or known.setdefault(w, word_buckets(w)) for w in words_of(texts[i])]
         docs.append(np.array(pairs, np.int32).reshape(-1, 2))
+    del known, pairs                                        # each form goes before the next one is made
     y = labels[fit]
 
     per_text = [np.unique(d) for d in docs]
     buckets, where = np.unique(np.concatenate(per_text), return_inverse=True)
     total = np.bincount(where, minlength=len(buckets))
     toxic = np.bincount(where, np.repeat(y, [len(u) for u in per_text]), len(buckets))
+    del per_text, where
     enough = (total >= LEAST_TEXTS) & (buckets > 0)
     share, total, toxic = y.mean(), total[enough], toxic[enough]
     z = (toxic - total * share) / np.sqrt(total * share * (1 - share) + 1)
@@ -220,7 +223,9 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64
         buckets[enough], (rng.standard_normal((1 + len(z), DIM)) * 0.02).astype(np.float32),
         [(rng.standard_normal((w, DIM, FILTERS)) * 0.1).astype(np.float32) for w in WIDTHS],
         np.zeros(len(WIDTHS) * FILTERS, np.float32), np.full(len(WIDTHS) * FILTERS, 0.2, np.float32), -2.0)
-    docs = [model.rows(d) for d in docs]
+    for i, d in enumerate(docs):
+        docs[i] = model.rows(d).astype(np.int32)
+    _give_back()
     model.embedding[1:, 0] = np.sign(z) * np.log1p(np.abs(z))
     model.embedding[0] = 0
     for f in model.filters:
@@ -279,9 +284,11 @@ def train(texts: list[str], labels: np.ndarray, epochs: int = 8, batch: int = 64
             uniq, ge = uniq[keep], ge[keep]
             sums["e"][uniq] += ge * ge
             model.embedding[uniq] -= rate * ge / np.sqrt(sums["e"][uniq])
+    del docs, sums
     held = np.flatnonzero(rank % 5 == 4)
     logits, groups = TextScorer(model).logits([texts[i] for i in (held if len(held) else fit)])
     model.thresholds = calibrated(logits, groups, labels[held] if len(held) else y)
+    _give_back()
     return model
 
 
@@ -314,20 +321,23 @@ def calibrated(logits: np.ndarray, groups: np.ndarray, labels: np.ndarray, least
 
 
 def training_sample(docs: DataFrame, labels: DataFrame, positives: int = 3000, negatives: int = 6000,
-                    longest: int = 20_000) -> tuple[list[str], np.ndarray]:
-    """At most ``positives`` + ``negatives`` labelled texts of at most
-    ``longest`` characters, drawn by a hash of the id, from ids whose crc32
-    modulo 3 is not 1.  The bound holds for any corpus."""
+                    longest: int = 8_000) -> tuple[list[str], np.ndarray]:
+    """At most ``positives`` + ``negatives`` labelled texts, drawn by a hash of
+    the id, from ids whose crc32 modulo 3 is not 1.  Of a text longer than
+    ``longest`` characters a stretch at a hash-placed position is taken; of an
+    id's texts the least.  The bound holds for any corpus."""
     usable = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isin(0, 1)) \
         .where(F.pmod(id_crc("doc_id"), F.lit(3)) != 1).groupBy("doc_id").agg(F.max("toxic").alias("y"))
     order = [F.xxhash64("doc_id"), F.col("doc_id")]
     drawn = usable.where("y = 1").orderBy(*order).limit(positives) \
         .union(usable.where("y = 0").orderBy(*order).limit(negatives)).withColumnRenamed("doc_id", "labelled_id")
-    rows = docs.select("doc_id", "text").where(F.length("text") <= longest) \
-        .join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled_id")) \
-        .select("doc_id", "text", "y").dropDuplicates(["doc_id"]).toArrow().to_pandas()
-    rows = rows.iloc[np.lexsort([rows["doc_id"].to_numpy(), rows["doc_id"].map(lambda i: zlib.crc32(b"%d" % i))])]
-    return rows["text"].tolist(), rows["y"].to_numpy(np.int64)
+    rows = docs.where(F.col("text").isNotNull()).join(F.broadcast(drawn), F.col("doc_id") == F.col("labelled_id")) \
+        .select("doc_id", window_of(F.col("text"), "doc_id", longest).alias("text"), "y") \
+        .groupBy("doc_id", "y").agg(F.min("text").alias("text")).toArrow()
+    ids = rows.column("doc_id").to_numpy()
+    order = np.lexsort([ids, np.array([zlib.crc32(b"%d" % i) for i in ids], np.int64)])
+    rows = rows.take(pa.array(order))
+    return rows.column("text").to_pylist(), rows.column("y").to_numpy().astype(np.int64)
 
 
 def _scored(docs: DataFrame, model: ToxicityModel, name: str) -> DataFrame:
