@@ -50,8 +50,9 @@ def test_marked_elements_weigh_less_and_an_empty_page_takes_them_back():
     # a short article in a marked wrapper, beside longer text
     page = f"<body><div class=print><article><p>{text}</p></article></div><div class=x><p>{more}</p></div></body>"
     assert text.strip() in {b[1] for b in htmltext.blocks(page, htmltext._Names())}
-    page = "<body>" + "".join(f"<div class=notice><p>part {i} of it</p></div>" for i in range(3)) + "</body>"
+    page = "<body>" + "".join(f"<div class=widget><p>part {i} of it</p></div>" for i in range(3)) + "</body>"
     assert [b[1] for b in htmltext.blocks(page, htmltext._Names())] == ["part 0 of it", "part 1 of it", "part 2 of it"]
+    assert htmltext.blocks(page.replace("widget", "notice"), htmltext._Names()) == []    # notices are no article
 
 
 def test_hosts_agree_on_the_container(spark):
@@ -127,3 +128,36 @@ def test_small_payloads_may_all_be_responses_and_empty_table(spark):
     assert {r.record_type for r in got if r.payload_bytes < 5} == {"response"}
     root = tempfile.mkdtemp(prefix="wardline-warc-")
     assert warc.records(warc.write(pages(spark, ROWS).limit(0), root), root).count() == 0
+
+
+ARTICLE = "<p>The first paragraph, of the article. It says something.</p><p>The second one, short.</p>"
+SAID = "The first paragraph, of the article. It says something.\nThe second one, short."
+THREAD = "".join(f"<div class='c'><p>Reader {k} says a lot, and more, and still more. And again.</p></div>" for k in range(40))
+
+
+@pytest.mark.parametrize("page, want", [
+    (f'<body><div class="post">{ARTICLE}<div class="comments">{THREAD}</div></div></body>', SAID),
+    (f'<body><article>{ARTICLE}</article><section id="comments">{THREAD}</section></body>', SAID),
+    (f'<body><article>{ARTICLE}<div class="post-comments">{THREAD}</div></article></body>', SAID),
+    (f'<body><article>{ARTICLE}</article><div id="disqus"><article>{THREAD}</article></div></body>', SAID),
+    (f'<body><form id="aspnetForm"><input name="x"><div>{ARTICLE}</div></form></body>', SAID),
+    (f'<body><div>{ARTICLE}</div><form><p>Your name</p><select><option>a</option></select></form></body>', SAID),
+    ('<body><div class="cookie-notice"><p>We use cookies, as all do. Accept them.</p></div></body>', ""),
+    (f'<body><div class="content ads">{ARTICLE}</div></body>', SAID),
+    (f'<body><div class="blog-post comments-open">{ARTICLE}<div class="ad">Buy now, buy more.</div></div></body>', SAID),
+    (f'<body><div class="comment-page"><article>{ARTICLE}</article></div></body>', SAID),
+    (f'<body><div class="post" title="a > b < c">{ARTICLE}</div></body>', SAID),
+])
+def test_comments_notices_and_forms(page, want):
+    from wardline.llm import htmltext
+    assert htmltext.extract(page, [])[0] == want
+
+
+@pytest.mark.parametrize("page", ["<a " * 330_000, "<a 'x " * 160_000, '<a "x ' * 160_000, "<div>x" * 160_000, "<script " * 120_000,
+                                  "<script>a</script " * 50_000, "<div>x</div>" * 80_000, "<div>" * 5_000 + "<p>x</p></b></i>" * 50_000])
+def test_untidy_pages_take_linear_time(page):
+    import time
+    from wardline.llm import htmltext
+    start = time.time()
+    htmltext.extract(page, [])
+    assert time.time() - start < 5

@@ -10,16 +10,20 @@
 Only paths with at least a tenth of their host's votes win, so a host has at
 most ten.  The parser keeps no tree: it walks over the tags with a stack.
 
-An element whose class, id or role names clutter is left out when it holds
-under half of the page's unlinked text and no article or main element; one
-that stays counts ``MARKED`` of its score.  If that leaves a page without
-text, all its marked elements stay.
+An element whose class, id or role names what others wrote or sell (reader
+comments, adverts, notices) is left out however much it holds, unless it holds
+the page's only article.  One that names other clutter, and a form, is left
+out when it holds under half of the page's unlinked text and no article or
+main element; one that stays counts ``MARKED`` of its score.  If the latter
+leave a page without text, they stay.  A page takes time in proportion to its
+length, tidy or not.
 """
 
 from __future__ import annotations
 
 import html as htmllib
 import re
+from collections import Counter
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -33,11 +37,11 @@ BROADCAST_HOSTS = 50_000
 
 # Elements by their part in a page.
 RAW = ("script", "style", "noscript", "template", "textarea", "iframe", "svg", "title", "xmp")
-SKIP = frozenset("head nav footer aside form button select dialog menu object audio video canvas map".split()) \
+SKIP = frozenset("head nav footer aside button select dialog menu object audio video canvas map".split()) \
     | frozenset(RAW)
 BLOCK = frozenset(
     "html body article main section div p h1 h2 h3 h4 h5 h6 ul ol li dl dt dd table thead tbody tfoot tr td th caption "
-    "blockquote pre figure figcaption address header hgroup fieldset details summary center hr".split()) | SKIP
+    "blockquote pre figure figcaption address header hgroup form fieldset details summary center hr".split()) | SKIP
 VOID = frozenset("br hr img meta link input area base col embed source track wbr param".split())
 KEEP_CLASS = frozenset(("html", "body", "article", "main"))
 CLOSES = {"li": ("li",), "dt": ("dt", "dd"), "dd": ("dt", "dd"), "tr": ("tr", "td", "th"), "td": ("td", "th"),
@@ -50,34 +54,47 @@ CLUTTER = frozenset(
     "newsletter subscribe subscription signup login share sharing social related recommended comment comments reply replies "
     "disqus respond discussion pagination pager search searchbox toolbar widget widgets skip print complementary "
     "contentinfo masthead".split())
+# Of these, words of what others wrote or sell: out however much text it holds.
+FOREIGN = frozenset(
+    "ad ads advert adverts advertisement adsense sponsor sponsored promo promotion cookie cookies consent gdpr notice notices "
+    "alert popup modal overlay comment comments reply replies disqus respond discussion".split())
 LAYOUT = frozenset(("no", "has", "with", "without"))         # no-sidebar, has-ads: about the page, not the element
+STATE = frozenset("open closed enabled disabled on off allowed".split())     # comments-open: likewise
 HEADER = frozenset(("header", "topbar", "masthead"))
 ARTICLE_WORDS = frozenset("article post entry content story main page".split())
 
+# A tag ends before the next "<" and a quoted value after 2,000 characters, so a page of broken tags takes linear time.
+_VALUES = r"(?:[^<>\"']|\"[^\"]{0,2000}\"|'[^']{0,2000}')*"
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)"
-    r"|<(" + "|".join(RAW) + r")(?=[\s/>])(?:[^>\"']|\"[^\"]*\"|'[^']*')*>.*?(?:</\1(?=[\s/>])[^>]*>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)>|</?[a-zA-Z][^>]*>|<[!?/][^>]*>", re.S | re.I)
+    r"|<(" + "|".join(RAW) + rf")(?=[\s/>]){_VALUES}>.*?(?:</\1(?=[\s/>])[^<>]*>|\Z)"
+    rf"|<(/?)([a-zA-Z][^\s/<>]*)({_VALUES})>|</?[a-zA-Z][^<>]*>|<[!?/][^<>]*>", re.S | re.I)
+MAX_DEPTH = 64              # containers inside deeper ones count as part of them
 _NAMES = re.compile(r"""(?:^|\s)(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
 
 class _Names(dict):
     """What an element's attributes say, by its raw attribute text:
-    (first class, digits folded; words of class, id and role)."""
+    (first class, digits folded; words of class, id and role; whether they
+    name something foreign to the article and nothing of it)."""
 
-    def __missing__(self, raw: str) -> tuple[str, frozenset]:
-        first, words = "", set()
+    def __missing__(self, raw: str) -> tuple[str, frozenset, bool]:
+        first, words, foreign, own = "", set(), False, False
         for name, a, b, c in _NAMES.findall(raw):
             value = a or b or c
             if name.lower() == "class" and value.split() and not first:
                 first = re.sub(r"[0-9]+", "#", value.split()[0].lower())
             for one in value.split():
                 said = [w.lower() for w in _WORDS.findall(one)]
-                words.update(said[:next((k for k, w in enumerate(said) if w in LAYOUT), len(said))])
+                if STATE.isdisjoint(said):
+                    said = said[:next((k for k, w in enumerate(said) if w in LAYOUT), len(said))]
+                    words.update(said)
+                    foreign |= not FOREIGN.isdisjoint(said)
+                    own |= not ARTICLE_WORDS.isdisjoint(said) and CLUTTER.isdisjoint(said)
         if len(self) > 20_000:
             self.clear()
-        self[raw] = first, frozenset(words)
+        self[raw] = first, frozenset(words), foreign and not own
         return self[raw]
 
 
@@ -88,6 +105,9 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
     out: list[tuple[tuple[str, ...], str, int, tuple[int, ...]]] = []
     stack: list[tuple[str, str, bool, tuple[int, ...]]] = [("", "", False, ())]   # tag, path, in clutter, marked elements
     holds: list[bool] = []                                   # whether each marked element holds an article
+    foreign: list[bool] = []                                 # whether it is foreign to the article
+    free, beyond = False, 0                                  # an article outside foreign elements; containers not opened
+    open_tags: Counter = Counter()
     paths: tuple[str, ...] = ("",)
     text: list[str] = []
     linked, in_link, in_article, at = 0, False, 0, 0
@@ -104,6 +124,7 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
         nonlocal paths, in_article
         end_block()
         in_article -= sum(tag in ("article", "main") for tag, *_ in stack[depth:])
+        open_tags.subtract(tag for tag, *_ in stack[depth:])
         del stack[depth:]
         paths = tuple(dict.fromkeys(path for _, path, *_ in stack))
 
@@ -128,7 +149,11 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
         if m[2]:
             if tag == "a":
                 in_link = False
-            for depth in range(len(stack) - 1, 0, -1):
+            if beyond and (tag in BLOCK or not open_tags[tag]):
+                end_block()
+                beyond -= tag in BLOCK
+                continue
+            for depth in range(len(stack) - 1, 0, -1) if open_tags[tag] else ():
                 if stack[depth][0] == tag:
                     pop_to(depth)
                     break
@@ -141,15 +166,16 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
             continue
         if tag == "a":
             in_link = True
-        first, words = names[m[4]] if m[4] else ("", frozenset())
+        first, words, alien = names[m[4]] if m[4] else ("", frozenset(), False)
         block = tag in BLOCK
         clutter = tag in SKIP or (tag == "header" and not in_article)
-        marked = tag not in KEEP_CLASS and not clutter and bool(
+        alien = alien and tag not in ("html", "body", "main")
+        marked = alien or tag == "form" or tag not in KEEP_CLASS and not clutter and bool(
             words & CLUTTER or (not in_article and words & HEADER and not words & ARTICLE_WORDS))
         if block:
             # a block ends an open paragraph; list items, rows and cells end their like
             ends = CLOSES.get(tag, ())
-            for depth in range(len(stack) - 1, 0, -1):
+            for depth in range(len(stack) - 1, 0, -1) if any(open_tags[t] for t in ("p", *ends)) else ():
                 if stack[depth][0] == "p" or stack[depth][0] in ends:
                     pop_to(depth)
                 elif stack[depth][0] in SCOPE or stack[depth][0] not in BLOCK:
@@ -157,17 +183,23 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
             end_block()
         if (block or clutter or marked) and tag not in VOID and not m[4].endswith("/"):
             end_block()
+            if len(stack) > MAX_DEPTH:
+                beyond += tag in BLOCK
+                continue
             label = f"{tag}.{first}" if first else tag
             path = stack[-1][1] if tag == "p" else label if tag in ("html", "body") else f"{stack[-1][1]}>{label}"
             marks = stack[-1][3]
             if tag in ("article", "main"):
                 in_article += 1
                 if not words & CLUTTER:                     # a comment may be an article element too
+                    free |= not any(foreign[k] for k in marks)
                     for k in marks:
                         holds[k] = True
             if marked:
                 marks = (*marks, len(holds))
                 holds.append(False)
+                foreign.append(alien)
+            open_tags[tag] += 1
             stack.append((tag, path, clutter or stack[-1][2], marks))
             paths = tuple(dict.fromkeys(path for _, path, *_ in stack))
     if at < len(page):
@@ -175,12 +207,17 @@ def blocks(page: str, names: _Names) -> list[tuple[tuple[str, ...], str, int, bo
         cut = re.search(r"<[a-zA-Z/!][^<]*\Z", rest)            # a tag that the page's end cut off
         add(rest[:cut.start()] if cut else rest)
     end_block()
-    return unmarked(out, holds) if holds else [(*b[:3], False) for b in out]
+    if not holds:
+        return [(*b[:3], False) for b in out]
+    # what is foreign goes, unless it holds the page's only article
+    gone = {k for k, alien in enumerate(foreign) if alien and (free or not holds[k])}
+    return unmarked([b for b in out if gone.isdisjoint(b[3])], holds)
 
 
 def unmarked(found: list, holds: list[bool]) -> list[tuple[tuple[str, ...], str, int, bool]]:
     """Blocks (with the marked elements around each) without those in a marked
-    element that is clutter; all of them if none is left."""
+    element that is clutter, as it holds no article and under half of the
+    unlinked text; all of them if none is left."""
     own, total = [0] * len(holds), 0
     for _, text, linked, marks in found:
         total += len(text) - linked
