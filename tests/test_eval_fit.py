@@ -150,3 +150,18 @@ def test_cif_bounds(spark):
                 s = r[f"cif_discharge_{hz}"] + r[f"cif_death_{hz}"]
                 assert -1e-12 <= s <= 1 + 1e-12 and s >= prev - 1e-12
                 prev = s
+
+
+def test_exact_group_counts(spark):
+    from pyspark.sql import functions as F
+    from wardline.operators import fit as FT
+    for n in (3, 7, 100, 333):
+        df = spark.range(n * 4).select((F.col("id") % n).alias("subject_id"), "id")
+        got = FT.exact_group_split(df.union(spark.createDataFrame([(None, -1)], df.schema)))
+        by = {r.split: r.n for r in got.groupBy("split").agg(F.count_distinct("subject_id").alias("n")).collect()}
+        outer = n * 8 // 10
+        assert by.get("test") == n - outer and by.get("train", 0) == outer * 8 // 10 and by.get("val", 0) == outer - outer * 8 // 10
+        assert got.where("subject_id IS NULL AND split IS NOT NULL").count() == 0
+        assert got.groupBy("subject_id").agg(F.count_distinct("split").alias("s")).where("s > 1").count() == 0
+    with pytest.raises(ValueError):
+        FT.exact_group_split(spark.createDataFrame([(1,), (2,)], "subject_id long"))

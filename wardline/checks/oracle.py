@@ -378,6 +378,15 @@ _CORR_PAIRS = " OR ".join(
 
 QUERIES.update({
     "group_split": f"SELECT row_id, subject_id, {_split_expr('subject_id')} AS split FROM wide",
+    "group_split_exact": """WITH g AS (
+        SELECT subject_id, row_number() OVER (ORDER BY CAST('0x' || substr(md5('42:' || CAST(subject_id AS VARCHAR)), 1, 8) AS BIGINT), subject_id) AS r1,
+               CAST('0x' || substr(md5('43:' || CAST(subject_id AS VARCHAR)), 1, 8) AS BIGINT) AS h2, count(*) OVER () AS n
+        FROM (SELECT DISTINCT subject_id FROM wide WHERE subject_id IS NOT NULL)),
+      o AS (SELECT subject_id, r1 <= n * 8 // 10 AS kept, n * 8 // 10 AS outer_n,
+                   row_number() OVER (PARTITION BY r1 <= n * 8 // 10 ORDER BY h2, subject_id) AS r2 FROM g)
+      SELECT row_id, w.subject_id, CASE WHEN o.kept IS NULL THEN NULL WHEN NOT o.kept THEN 'test'
+             WHEN r2 <= outer_n * 8 // 10 THEN 'train' ELSE 'val' END AS split
+      FROM wide w LEFT JOIN o ON o.subject_id = w.subject_id""",
     "split_summary": f"SELECT split, count(*) AS rows, count(DISTINCT subject_id) AS patients, "
                      f"round(avg(label_can_discharge_24h), 6) AS pos_rate "
                      f"FROM (SELECT *, {_split_expr('subject_id')} AS split FROM master_tr) GROUP BY split",

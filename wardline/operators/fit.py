@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from ..session import cut_lineage
 from .cohort import GROUP_COL, seeded_rank
+from .sequence import ranked
 
 SEED = 42
 MISSING_DROP = 0.90
@@ -38,6 +39,33 @@ def group_split(df: DataFrame, group: str = GROUP_COL, seed: int = SEED, train_f
     return df.withColumn("split", F.when(r1 >= cut1, "test").when(r2 >= cut2, "val").otherwise("train"))
 
 
+def exact_group_split(df: DataFrame, group: str = GROUP_COL, seed: int = SEED, train_frac: float = 0.8,
+                      inner_frac: float = 0.8) -> DataFrame:
+    """Add ``split`` with exact group counts (T5): of ``n`` distinct groups
+    ``floor(train_frac * n)`` are kept for training and validation, and of
+    these ``floor(inner_frac * ...)`` for training.
+
+    Groups are ordered by a seeded hash of the id, ties by id.  The id at the
+    rank of each cut is found among the distinct groups by a distributed
+    ranking; rows are then decided on their own against two literals, with no
+    join.  Rows without a group have no split."""
+    check_groups(df, group)
+    groups = cut_lineage(df.select(group).where(F.col(group).isNotNull()).distinct(), "groups")
+    outer = math.floor(train_frac * groups.count())
+    inner = math.floor(inner_frac * outer)
+
+    def first(among: DataFrame, k: int, rank):
+        """Whether a row's group is one of the first ``k`` of ``among``."""
+        cut = ranked(among.select(F.col(group), rank.alias("_h")), ["_h", group], "_at").where(F.col("_at") == k).first()
+        if cut is None:
+            return F.lit(False)
+        last = F.lit(cut[group]).cast(df.schema[group].dataType)
+        return (rank < cut["_h"]) | ((rank == cut["_h"]) & (F.col(group) <= last))
+    kept = first(groups, outer, seeded_rank(group, seed))
+    own = first(groups.where(kept), inner, seeded_rank(group, seed + 1))
+    return df.withColumn("split", F.when(F.col(group).isNotNull(), F.when(~kept, "test").when(own, "train").otherwise("val")))
+
+
 def check_groups(df: DataFrame, group: str = GROUP_COL, minimum: int = 3) -> None:
     n = df.select(F.count_distinct(group)).first()[0]
     if n < minimum:

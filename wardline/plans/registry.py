@@ -283,6 +283,11 @@ def q_group_split(spark, d):
     return _wide_split(spark, d).select("row_id", "subject_id", "split")
 
 
+@query("group_split_exact")
+def q_group_split_exact(spark, d):
+    return FT.exact_group_split(fixtures.wide(spark, d)).select("row_id", "subject_id", "split")
+
+
 @query("split_summary")
 def q_split_summary(spark, d):
     m = FT.group_split(M.master_trailing(cohort_inputs(spark, d)))
