@@ -14,7 +14,7 @@ from pyspark.sql import SparkSession, functions as F, types as T
 from ..plans.master import CohortInputs
 from ..functions.timecols import try_double
 from ..operators.notes import NOTE_TIME_COLUMNS
-from .tables import coerce_types, read_cohort_csv
+from .tables import coerce_types, read_cohort_csv, read_quoted_csv
 
 STATIC_TIMES = ("intime", "outtime", "deathtime")
 ID_COLUMNS = ("stay_id", "subject_id", "hadm_id")
@@ -49,10 +49,11 @@ def read_cohort_tables(spark: SparkSession, static_csv: str, text_csv: str, time
                        parquet_dir: str | None = None) -> CohortInputs:
     """Read the static, text and time-series CSV files (header row, quotes),
     type them leniently (unparseable -> NULL) and, when ``parquet_dir`` is
-    given, persist them as parquet and read that back.  Only notes hold line
-    breaks, so only the text file is read unsplit."""
+    given, persist them as parquet and read that back.  Notes hold line
+    breaks, so the text file is read by quote parity; all three are read over
+    many tasks."""
     st = _typed(read_cohort_csv(spark, static_csv), STATIC_TIMES)
-    tx = _typed(read_cohort_csv(spark, text_csv, multi_line=True), NOTE_TIME_COLUMNS[:2] + ("intime",))
+    tx = _typed(read_quoted_csv(spark, text_csv), NOTE_TIME_COLUMNS[:2] + ("intime",))
     ts = _typed(read_cohort_csv(spark, time_csv), ("hour_ts", "intime"), lenient=True)
     if parquet_dir:
         out = {}
