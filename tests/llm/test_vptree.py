@@ -85,3 +85,16 @@ def test_factor_trades_work_for_recall():
     _, less, fewer = tree.search(q, 5, factor=0.5)
     assert fewer < taken
     assert np.mean(np.isclose(np.sort(less, axis=1), want)) > 0.9
+
+
+def test_ties_of_more_directions_than_find_room(spark):
+    rows = [(i, [c * x for x in (1.0, 2.0, 3.0)]) for i, c in enumerate(2.0 ** (k % 7) for k in range(60))]   # powers of two: equal cosines
+    for sizes in ({}, {"shard_rows": 5, "block_rows": 4}):
+        got = search(spark, rows, modulus=20, **sizes)
+        assert [v for v, _ in got[0]] == [1, 2, 3, 4, 5] and [v for v, _ in got[20]] == [0, 1, 2, 3, 4]
+    hot = [(i, np.eye(4)[i % 4].tolist()) for i in range(400)] + [(1000 + i, (2.0 ** (i % 9) * np.eye(4)[i % 4]).tolist()) for i in range(80)]
+    got = search(spark, hot, modulus=100)
+    assert [v for v, _ in got[100]] == [0, 4, 8, 12, 16] and [v for v, _ in got[0]] == [4, 8, 12, 16, 20]
+    rng = np.random.default_rng(4)
+    signs = [(i, rng.choice([-1.0, 1.0], 6).tolist()) for i in range(300)]       # many equal cosines between different vectors
+    same(search(spark, signs, shard_rows=40), brute(signs, 5, 5))

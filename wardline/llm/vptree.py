@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from wardline.llm.tables import written
 
 LEAF = 128
+ROUNDING = 1e-11        # cosines closer than this may be equal
 
 
 @dataclass
@@ -82,21 +83,26 @@ class VPTree:
 
     def search(self, queries: np.ndarray, k: int, factor: float = 1.0) -> tuple[np.ndarray, np.ndarray, int]:
         """The ``k`` nearest points of each query: positions (-1: none) and
-        cosines, unordered; and the number of cosines taken."""
+        cosines, unordered; and the number of cosines taken.  Where points that
+        did not find room tie with the last one (within rounding), all that tie
+        are compared by exact score and smallest id."""
         unit = unit_rows(np.asarray(queries, np.float64))
         n = len(unit)
         found = np.full((n, k), -1)
         cos = np.full((n, k), -np.inf)
+        lost = np.full(n, -np.inf)                       # the best cosine that found no room
         taken = 0
 
         def offer(who, points, values):
-            if values.shape[1] > k:
-                part = np.argpartition(-values, k - 1, axis=1)[:, :k]
+            if values.shape[1] > k + 1:
+                part = np.argpartition(-values, k, axis=1)[:, :k + 1]
                 points, values = points[part], np.take_along_axis(values, part, 1)
             else:
                 points = np.broadcast_to(points, values.shape)
             both = np.concatenate([cos[who], values], axis=1)
-            top = np.argpartition(-both, k - 1, axis=1)[:, :k]
+            top = np.argpartition(-both, k, axis=1)
+            lost[who] = np.maximum(lost[who], np.take_along_axis(both, top[:, k:k + 1], 1)[:, 0])
+            top = top[:, :k]
             cos[who] = np.take_along_axis(both, top, 1)
             found[who] = np.take_along_axis(np.concatenate([found[who], points], axis=1), top, 1)
 
@@ -147,8 +153,47 @@ class VPTree:
                 stay = who[bound <= factor * worst + 1e-9]
                 if len(stay):
                     todo.append((self.children[node, c], stay))
+        tied = np.flatnonzero(np.isfinite(lost) & (lost >= cos.min(axis=1) - ROUNDING))
+        if len(tied):
+            taken += self._settle(np.asarray(queries, np.float64), unit, tied, found, cos, k, factor)
         return found, cos, taken
 
+    def _settle(self, queries, unit, tied, found, cos, k: int, factor: float) -> int:
+        """Of the points within rounding of the last kept cosine of the
+        queries ``tied``, or better, keep the ``k`` first by exact score and
+        smallest id.  Returns the number of cosines taken."""
+        least = cos.min(axis=1) - ROUNDING
+        smallest = np.array([i[0] for i in self.ids])
+        kept = {int(q): (np.zeros(0, int), np.zeros(0)) for q in tied}
+        taken, todo = 0, [(0, tied)]
+
+        def keep(who, points, values):
+            for q, row in zip(who.tolist(), values >= least[who, None]):
+                if row.any():
+                    at = np.concatenate([kept[q][0], points[row]])
+                    score = np.concatenate([kept[q][1], cosine(np.repeat(queries[q][None], row.sum(), 0), self.vectors[points[row]])])
+                    first = np.lexsort([smallest[at], -score])[:k]
+                    kept[q] = at[first], score[first]
+        while todo:
+            node, who = todo.pop()
+            a, b = self.begin[node], self.end[node]
+            inner = self.children[node, 0] >= 0
+            points = np.arange(a, a + 1 if inner else b)
+            values = unit[who] @ self.unit[points].T
+            taken += values.size
+            keep(who, points, values)
+            if inner:
+                d, radius = np.sqrt(np.maximum(0, 2 - 2 * values[:, 0])), np.sqrt(np.maximum(0, 2 - 2 * least[who]))
+                for c in (1, 0):
+                    low, high = self.range_[node, c]
+                    stay = who[np.maximum(np.maximum(d - high, low - d), 0) <= factor * radius + 1e-9]
+                    if len(stay):
+                        todo.append((self.children[node, c], stay))
+        for q, (at, score) in kept.items():
+            found[q], cos[q] = -1, -np.inf
+            found[q, :len(at)], cos[q, :len(at)] = at, score
+        return taken
+
 
 def unit_rows(x: np.ndarray) -> np.ndarray:
     """Rows scaled to length 1; first by their largest entry, so that very
