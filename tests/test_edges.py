@@ -269,3 +269,37 @@ def test_running_sums_in_group_match_window(spark):
         got = running_in_group(df, "g", ["t"], {"s": F.col("x"), "n": F.lit(1)}, n_parts=parts)
         assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
     assert running_in_group(df.where("false"), "g", ["t"], {"s": F.col("x")}).collect() == []
+
+
+def test_every_note_time_column(spark):
+    st = spark.createDataFrame([static_row(1, 1, 1, 100)], STATIC_SCHEMA)
+    for column, kind, value, want in (("radiology_note_time_min", "timestamp_ntz", h(24), 24.0), ("t_max_rel", "string", "7.5", 7.5),
+                                      ("t_min_rel", "double", -3.0, 0.0), ("t_max_rel", "string", "soon", None)):
+        tx = spark.createDataFrame([(1, 0, value, "one report")], f"stay_id long, note_row long, {column} {kind}, radiology_note_text string")
+        assert notes.note_time_column(tx.columns) == column
+        got = notes.note_segments(tx, st, keep_unknown_time=True).first()
+        assert got["report_time"] == want and got["clean_text"] == "one report"
+    both = tx.selectExpr("*", "1.0D AS t_min_rel")
+    assert notes.note_time_column(both.columns) == "t_max_rel" and notes.note_time_column(["x"]) is None
+
+
+def test_plan_without_deathtime(spark):
+    from wardline.plans import master as M
+    st = spark.createDataFrame([static_row(1, 1, 1, 100), static_row(2, 2, 2, 100)], STATIC_SCHEMA).drop("deathtime")
+    ts = spark.createDataFrame([(s, h(k), float(k)) for s in (1, 2) for k in range(0, 60, 5)], "stay_id long, hour_ts timestamp_ntz, hr double")
+    tx = spark.createDataFrame([(1, h(3), "a report")], "stay_id long, radiology_note_time_max timestamp_ntz, radiology_note_text string")
+    for m in (M.master_trailing(M.CohortInputs(st, ts, tx)), M.master_cumulative(M.CohortInputs(st, ts))):
+        rows = m.collect()
+        assert rows and all(r.icu_death_flag == 0 for r in rows)
+
+
+def test_cif_file_holds_the_table(spark, tmpdir_path):
+    from wardline.operators import survival as SV
+    from wardline.sources.sinks import write_cif
+    df = spark.createDataFrame([(1, 24.0, *[0.1 * k for k in range(9)])],
+                               "stay_id long, t_end double, " + ", ".join(f"{SV.logit_col(b, k)} double" for b in range(3) for k in SV.CLASSES))
+    cif = SV.cif_from_logits(df)
+    write_cif(cif, tmpdir_path)
+    back = spark.read.option("header", True).option("inferSchema", True).csv(f"{tmpdir_path}/cif_predictions").first()
+    want = cif.first()
+    assert back.asDict().keys() == want.asDict().keys() and all(back[c] == pytest.approx(want[c]) for c in want.asDict())
