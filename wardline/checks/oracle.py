@@ -378,6 +378,15 @@ _CORR_PAIRS = " OR ".join(
 
 QUERIES.update({
     "group_split": f"SELECT row_id, subject_id, {_split_expr('subject_id')} AS split FROM wide",
+    "aalen_johansen": f"""WITH d AS (
+        SELECT t_end, remaining_hours AS t, count(*) AS n, count(*) FILTER (event_type = 'discharge') AS d1,
+               count(*) FILTER (event_type = 'death') AS d2 FROM lmk WHERE remaining_hours IS NOT NULL GROUP BY ALL),
+      r AS (SELECT *, sum(n) OVER (PARTITION BY t_end ORDER BY t DESC) AS at_risk FROM d),
+      s AS (SELECT *, product(1.0 - (d1 + d2) / at_risk) OVER (PARTITION BY t_end ORDER BY t) AS survival FROM r),
+      b AS (SELECT *, coalesce(lag(survival) OVER (PARTITION BY t_end ORDER BY t), 1.0) AS before FROM s)
+      SELECT t_end, {_r('t', 'remaining_hours')}, CAST(at_risk AS BIGINT) AS at_risk, {_r('survival', 'survival')},
+             round(sum(before * d1 / at_risk) OVER w, 6) AS cif_discharge, round(sum(before * d2 / at_risk) OVER w, 6) AS cif_death
+      FROM b WINDOW w AS (PARTITION BY t_end ORDER BY t)""",
     "group_split_exact": """WITH g AS (
         SELECT subject_id, row_number() OVER (ORDER BY CAST('0x' || substr(md5('42:' || CAST(subject_id AS VARCHAR)), 1, 8) AS BIGINT), subject_id) AS r1,
                CAST('0x' || substr(md5('43:' || CAST(subject_id AS VARCHAR)), 1, 8) AS BIGINT) AS h2, count(*) OVER () AS n

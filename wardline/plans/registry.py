@@ -408,6 +408,7 @@ def q_modality_switch(spark, d):
 # ---- step 8: models, loss curves, survival ----------------------------------------
 
 from ..operators import curves as CV  # noqa: E402
+from ..operators import incidence as IN  # noqa: E402
 from ..operators import models as MD  # noqa: E402
 from ..operators import survival as SV  # noqa: E402
 from . import matrices as MX  # noqa: E402
@@ -569,6 +570,13 @@ def q_cause_specific(spark, d):
     return RN.cif_table(RN.cause_specific_cif(m, targets), targets)
 
 
+@query("aalen_johansen")
+def q_aalen_johansen(spark, d):
+    lt = M.landmark_table(cohort_inputs(spark, d, with_text=False))
+    return rounded(IN.aalen_johansen(lt.select("t_end", "event_type", "remaining_hours"), "remaining_hours", "event_type",
+                                     keys=["t_end"]))
+
+
 @query("tensor_dataset")
 def q_tensor_dataset(spark, d):
     inp = cohort_inputs(spark, d)
