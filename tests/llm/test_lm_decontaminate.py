@@ -102,6 +102,29 @@ def test_real_words_and_pairs_at_any_size(spark, monkeypatch):
         assert (got[i].background_loss, got[i].target_loss) == pytest.approx(want, abs=1e-9)
 
 
+def test_many_levels_of_ranges_and_hot_ids(spark, monkeypatch):
+    """Blocks meet over several levels of ranges, and one id or text on a
+    third of all rows is spread over blocks: scores stay the same."""
+    import random
+    rng = random.Random(3)
+    rows = [(7 if i % 3 == 0 else None if i % 3 == 1 else i, "the same words" if i % 2 else " ".join(rng.choices("abcdefghij", k=12)))
+            for i in range(600)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(7, 1, 0), (8, 1, 0)], "doc_id long, quality int, toxic int")
+
+    def result():
+        return sorted((tuple(r) for r in lmscore.score_against(docs, labels).collect()), key=str)
+    want = result()
+    one = [r[0] for r in lmscore.blocks(docs.selectExpr("doc_id", "text", "false AS wanted")).select("block").collect()]
+    monkeypatch.setattr(lmscore, "BLOCK_BYTES", 400)
+    monkeypatch.setattr(lmscore, "FAN", 3)
+    many = lmscore.blocks(docs.selectExpr("doc_id", "text", "false AS wanted")).selectExpr("block", "size(ids) AS n").collect()
+    assert len(one) == 3 and len(many) > 3 ** 2 and len({r.block for r in many}) == len(many) and max(r.n for r in many) < 100
+    got = result()
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(g[2:] == pytest.approx(w[2:], abs=1e-12) for g, w in zip(got, want))
+
+
 ITEMS = [
     (1, "The farmer Alice picked 12 kg of apples and Alice sold 5 kg of them on the market. How many are left?"),
     (2, "Which river runs through the old town before it meets the northern sea at last"),

@@ -17,16 +17,16 @@ V the number of different words, at least ``WORDS``:
 
 c(h) counts h as a context; a document's first word has context 0.
 
-1. Documents are dealt by id into blocks of about ``BLOCK_BYTES`` of text.
-   Each block adds up its own counts and sends them, in order of their keys,
-   to the parts, which are ranges of keys.
-2. Each part adds up the blocks' counts and answers every block with the
-   totals in the order that it asked.
-3. Each block works its keys out again, lays the answers beside them and
-   scores its documents.
-
-A frequent word or pair comes once from each block, so no part has more of
-them than there are blocks.
+1. Texts are tokenized once, where they are read, and written as blocks of
+   about ``BLOCK_BYTES`` of text: the block's words and each token's place
+   among them.  A block is consecutive rows, so no id or text is hot.
+2. A block sends its different keys and their counts to at most ``FAN``
+   ranges of keys.  If there are more blocks than that, groups of blocks add
+   up what they got and send it on to finer ranges, level by level, until all
+   blocks of a range have met: each node has about as many senders as
+   receivers, and keys that many blocks share shrink on the way.
+3. The totals go back the same way, each in the order it was asked for.
+4. Each block lays the totals beside its keys and scores its documents.
 """
 
 from __future__ import annotations
@@ -35,165 +35,250 @@ import re
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from wardline.llm.tables import pylist_batches, shuffle_partitions, worker_state, written
+from wardline.llm.tables import pylist_batches, worker_state, written
 
 WORDS = 1 << 18
 ADD = 0.1
 PRIOR = 5.0
 BLOCK_BYTES = 6_000_000
-PART_BYTES = 12_000_000          # text for which a part holds keys: about 2 million
+BLOCK_ROWS = 200_000
+FAN = 256
+BROADCAST_TARGETS = 1_000_000    # ids of 8 bytes; more are joined by a shuffle
 _WORD = re.compile(r"[^\W_]+")
 _KIND = np.uint64(3)             # the lowest bits of a key: 1 word, 2 context, 3 pair
+_BLOCK = "block long, ids array<long>, lengths array<long>, wanted array<boolean>, words binary, places binary"
+_SENT = "node long, part long, child long, keys binary, background binary, target binary"
+_TOLD = "child long, part long, background binary, target binary, words long, n_background long, n_target long"
 
 
 class WordIds(dict):
-    """Word to its 64-bit hash, remembered up to ``limit`` words."""
+    """Word to its 64-bit hash without the bits of the kind, remembered up to
+    ``limit`` words."""
 
-    limit = 500_000
+    limit = 200_000
 
     def __missing__(self, word: str) -> int:
         import xxhash
         if len(self) >= self.limit:
             self.clear()
-        self[word] = i = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        self[word] = i = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass")) & ~3
         return i
 
 
-def token_ids(texts: list[str | None], known: WordIds) -> tuple[np.ndarray, np.ndarray]:
-    """(ids end to end, tokens in each text)."""
-    get, parts = known.__getitem__, []
-    for text in texts:
-        words = _WORD.findall(text.lower()) if text else []
-        parts.append(np.fromiter(map(get, words), np.uint64, len(words)))
-    return (np.concatenate(parts) if parts else np.zeros(0, np.uint64)), np.array([len(p) for p in parts], np.int64)
-
-
-def contexts(ids: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The id before each token; 0 at the start of a text."""
-    before = np.zeros_like(ids)
-    before[1:] = ids[:-1]
-    starts = np.cumsum(lengths) - lengths
-    before[starts[lengths > 0]] = 0
-    return before
-
+def packed(values: np.ndarray) -> bytes:
+    """Whole numbers by bytes of equal weight, lowest first, as many as the
+    largest number has; the first byte tells how many.  Compressed here, as
+    the codecs of shuffles do not code single bytes by their frequency."""
+    import zstandard
+    width = max(1, (int(values.max()).bit_length() + 7) // 8) if len(values) else 1
+    planes = values.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width]
+    return zstandard.ZstdCompressor(level=1).compress(bytes([width]) + planes.T.tobytes())
 
-def kinds_of(before: np.ndarray, ids: np.ndarray):
-    """Keys of the tokens' words, then of their contexts, then of their pairs."""
-    yield ids & ~_KIND | np.uint64(1)
-    yield before & ~_KIND | np.uint64(2)
-    yield before * np.uint64(0x9E3779B97F4A7C15) + ids | _KIND
 
+def opened(value: bytes) -> np.ndarray:
+    import zstandard
+    value = zstandard.ZstdDecompressor().decompress(value)
+    width = value[0]
+    planes = np.frombuffer(value, np.uint8, offset=1).reshape(width, -1)
+    out = np.zeros((planes.shape[1], 8), np.uint8)
+    out[:, :width] = planes.T
+    return out.view("<u8").ravel()
+
+
+def block_table(rows: list[tuple], names: str) -> pa.Table:
+    """Rows as an Arrow table of a Spark schema text."""
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "array<long>": pa.list_(pa.int64()), "array<boolean>": pa.list_(pa.bool_())}
+    fields = [f.split(" ") for f in names.split(", ")]
+    return pa.Table.from_arrays([pa.array([r[k] for r in rows], kinds[kind]) for k, (_, kind) in enumerate(fields)],
+                                [name for name, _ in fields])
+
+
+def blocks(docs: DataFrame) -> DataFrame:
+    """Tokenized blocks of the rows of ``docs`` (doc_id, text, wanted)."""
+    def run(batches):
+        from pyspark import TaskContext
+        known, number = worker_state("lm words", WordIds), TaskContext.get().partitionId() << 32
+        ids, wanted, tokens, held = [], [], [], 0
+
+        def row():
+            words, places = np.unique(np.concatenate(tokens), return_inverse=True)
+            return block_table([(number, ids, [len(t) for t in tokens], wanted, packed(np.diff(words, prepend=np.uint64(0))),
+                                 packed(places))], _BLOCK).to_batches()[0]
+        for whole in batches:
+            for batch in pylist_batches(whole, "text", 1_000_000):
+                for i, text, mark in zip(*[batch.column(k).to_pylist() for k in range(3)]):
+                    found = _WORD.findall(text.lower()) if text else []
+                    ids.append(i)
+                    wanted.append(mark)
+                    tokens.append(np.fromiter(map(known.__getitem__, found), np.uint64, len(found)))
+                    held += len(text or "")
+                    if held >= BLOCK_BYTES or len(ids) >= BLOCK_ROWS:
+                        yield row()
+                        ids, wanted, tokens, held, number = [], [], [], 0, number + 1
+        if ids:
+            yield row()
+
+    return docs.select("doc_id", "text", "wanted").mapInArrow(run, _BLOCK)
+
+
+class Keys:
+    """The different keys of a block in order, and where its tokens have theirs."""
+
+    def __init__(self, lengths: np.ndarray, words: np.ndarray, places: np.ndarray):
+        self.places, n = places, len(words)
+        self.before = np.empty_like(places)                  # place of the context; n: none
+        self.before[1:] = places[:-1]
+        self.before[(np.cumsum(lengths) - lengths)[lengths > 0]] = n
+        heads = np.append(words, np.uint64(0))
+        pairs, self.pairs = np.unique(heads[self.before] * np.uint64(0x9E3779B97F4A7C15) + words[places] | _KIND, return_inverse=True)
+        self.sizes = n, n + 1, len(pairs)
+        self.used = np.concatenate([np.ones(n, bool), np.bincount(self.before, minlength=n + 1) > 0, np.ones(len(pairs), bool)])
+        keys = np.concatenate([words | np.uint64(1), heads | np.uint64(2), pairs])[self.used]
+        self.order = np.argsort(keys)
+        self.keys = keys[self.order]
+
+    def counts(self, tokens=slice(None)) -> np.ndarray:
+        """How often each key comes among ``tokens``."""
+        kinds = zip((self.places, self.before, self.pairs), self.sizes)
+        return np.concatenate([np.bincount(place[tokens], minlength=n) for place, n in kinds])[self.used][self.order]
+
+    def at_tokens(self, totals: np.ndarray):
+        """The totals of the keys of each token's word, context and pair."""
+        every = np.zeros(len(self.used))
+        every[np.flatnonzero(self.used)[self.order]] = totals
+        ends = np.cumsum(self.sizes)[:-1]
+        return [kind[place] for kind, place in zip(np.split(every, ends), (self.places, self.before, self.pairs))]
+
+
+def keys_of(lengths: np.ndarray, words: bytes, places: bytes) -> Keys:
+    return Keys(lengths, np.cumsum(opened(words), dtype=np.uint64), opened(places).astype(np.int64))
+
+
+def cut(keys: np.ndarray, parts: int) -> list[tuple[int, slice]]:
+    """(number of the range, its keys) of sorted keys under ``parts`` ranges."""
+    part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+    cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
+    return [(int(part[a]), slice(a, b)) for a, b in zip(cuts, cuts[1:]) if b > a]
+
+
+def sent_rows(node: int, child: int, keys, background, target, parts: int) -> list[tuple]:
+    return [(node, p, child, packed(np.diff(keys[s], prepend=np.uint64(0))), packed(background[s]), packed(target[s]))
+            for p, s in cut(keys, parts)]
+
+
+def block_counts(table: DataFrame, groups: int, parts: int) -> DataFrame:
+    """What each block sends: a row for each of ``parts`` ranges that it has
+    keys of, to the ``node`` of its group of blocks."""
+    def run(batches):
+        for batch in batches:
+            for k in range(batch.num_rows):
+                block, _, lengths, wanted, words, places = (c[k].as_py() for c in batch.columns)
+                lengths = np.array(lengths, np.int64)
+                found = keys_of(lengths, words, places)
+                some = np.repeat(np.array(wanted, bool), lengths)
+                node = (block * 0x9E3779B97F4A7C15 & (1 << 64) - 1) * groups >> 64
+                rows = sent_rows(node, block, found.keys, found.counts(), found.counts(some), parts)
+                for a in range(0, len(rows), 64):
+                    yield from block_table(rows[a:a + 64], _SENT).to_batches()
+
+    return table.mapInArrow(run, _SENT)
+
+
+def children(rows: pa.Table):
+    """(child, its keys, their counts by name) of a node's rows."""
+    for k in range(rows.num_rows):
+        yield (rows.column("child")[k].as_py(), np.cumsum(opened(rows.column("keys")[k].as_py()), dtype=np.uint64),
+               [opened(rows.column(name)[k].as_py()).astype(np.int64) for name in ("background", "target")])
+
+
+def merged(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """A node's different keys, and their counts added up over its children."""
+    keys = np.unique(np.concatenate([keys for _, keys, _ in children(rows)]))
+    counts = np.zeros((2, len(keys)), np.int64)
+    for _, own, values in children(rows):
+        at = np.searchsorted(keys, own)
+        for total, value in zip(counts, values):
+            total[at] += value
+    return keys, counts
+
+
+def sent_on(sent: DataFrame, fan: int, parts: int) -> DataFrame:
+    """What the nodes of a level send to those of the next."""
+    def run(rows):
+        keys, counts = merged(rows)
+        node = rows.column("node")[0].as_py()
+        return block_table(sent_rows(node // fan, node, keys, *counts, parts), _SENT)
 
-def distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(different keys in order, how often each comes)."""
-    keys = np.sort(keys)
-    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]])) if len(keys) else np.zeros(0, np.int64)
-    return keys[first], np.diff(first, append=len(keys))
+    return sent.groupBy("node", "part").applyInArrow(run, _SENT)
 
 
-def block_tokens(block: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(context, id) of each token of a block's texts, tokens in each text."""
-    known = worker_state("lm words", WordIds)
-    found = [token_ids(part.column(0).to_pylist(), known)
-             for batch in block.select(["text"]).to_batches() for part in pylist_batches(batch, "text", 2_000_000)]
-    ids = np.concatenate([i for i, _ in found] or [np.zeros(0, np.uint64)])
-    lengths = np.concatenate([n for _, n in found] or [np.zeros(0, np.int64)])
-    return contexts(ids, lengths), ids, lengths
+def answer_rows(rows: pa.Table, keys: np.ndarray, counts: np.ndarray) -> list[tuple]:
+    part = rows.column("part")[0].as_py()
+    return [(child, part, *[packed(c[np.searchsorted(keys, own)]) for c in counts], None, None, None)
+            for child, own, _ in children(rows)]
 
 
-def packed(values: np.ndarray) -> bytes:
-    """64-bit values, first bytes first: small values are long runs of zeros
-    to the codecs of shuffles and files."""
-    return values.astype(np.uint64).view(np.uint8).reshape(-1, 8).T.tobytes()
+def totals(sent: DataFrame) -> DataFrame:
+    """The answers of the last level; besides, a row without a child for each
+    range: its different ``words`` and their tokens in ``n_background`` and
+    ``n_target``."""
+    def run(rows):
+        keys, counts = merged(rows)
+        word = keys & _KIND == 1
+        return block_table(answer_rows(rows, keys, counts) + [(None, None, None, None, int(word.sum()), *map(int, counts[:, word].sum(1)))], _TOLD)
 
+    return sent.groupBy("node", "part").applyInArrow(run, _TOLD)
 
-def opened(value: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(value, np.uint8).reshape(8, -1).T).view(np.uint64).ravel()
-
-
-def block_counts(docs: DataFrame, targets: DataFrame, parts: int) -> DataFrame:
-    """A row for each block and part: the ``keys`` (as differences) and their
-    counts in ``background`` (all documents) and ``target``."""
-    def run(block, marks):
-        before, ids, lengths = block_tokens(block)
-        column = block.column("doc_id")
-        wanted = np.isin(column.fill_null(0).to_numpy(), marks.column("doc_id").to_numpy()) & column.is_valid().to_numpy()
-        wanted = np.repeat(wanted, lengths)
-        keys, every = distinct(np.concatenate([*kinds_of(before, ids)]))
-        held = every, np.zeros_like(every)
-        some, often = distinct(np.concatenate([*kinds_of(before[wanted], ids[wanted])]))
-        held[1][np.searchsorted(keys, some)] = often
-        part = ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-        cuts = [0, *(np.flatnonzero(np.diff(part)) + 1).tolist(), len(keys)]
-        spans = [slice(a, b) for a, b in zip(cuts, cuts[1:]) if b > a]
-        rows = [(part[s.start], packed(np.diff(keys[s], prepend=np.uint64(0))), packed(held[0][s]), packed(held[1][s]))
-                for s in spans]
-        number = block.column("block")[0] if spans else None
-        return pa.Table.from_arrays(
-            [pa.array([number.as_py()] * len(rows) if spans else [], pa.int32()), pa.array([r[0] for r in rows], pa.int32()),
-             *[pa.array([r[k] for r in rows], pa.binary()) for k in (1, 2, 3)]],
-            ["block", "part", "keys", "background", "target"])
 
-    return docs.groupBy("block").cogroup(targets.groupBy("block")) \
-        .applyInArrow(run, "block int, part int, keys binary, background binary, target binary")
+def told_counts(told: pa.Table, n: int) -> np.ndarray:
+    """Totals of ``n`` keys, from the answers for their ranges."""
+    told = told.sort_by("part")
+    counts = np.array([np.concatenate([np.zeros(0, np.uint64), *map(opened, told.column(name).to_pylist())])
+                       for name in ("background", "target")]).astype(np.int64)
+    if counts.shape[1] != n:
+        raise RuntimeError("the answers are not for the keys that were sent")
+    return counts
 
 
-def totals(counts: DataFrame) -> DataFrame:
-    """The rows of :func:`block_counts` with the counts of all blocks in place
-    of their own; besides, a row without a block for each part: its different
-    ``words`` and their tokens in ``n_background`` and ``n_target``."""
-    def run(rows):
-        asked = [np.cumsum(opened(v), dtype=np.uint64) for v in rows.column("keys").to_pylist()]
-        keys, place = np.unique(np.concatenate(asked), return_inverse=True)
-        ends = np.cumsum([len(a) for a in asked])[:-1]
-        word, all_of, answers = keys & _KIND == 1, [], []
-        for name in ("background", "target"):
-            own = np.concatenate([opened(v) for v in rows.column(name).to_pylist()])
-            all_of.append(np.bincount(place, own, len(keys)).astype(np.int64))
-            answers.append([packed(a) for a in np.split(all_of[-1][place], ends)])
-        n = len(asked)
-        return pa.Table.from_arrays(
-            [pa.array([*rows.column("block").to_pylist(), None], pa.int32()),
-             pa.array([*rows.column("part").to_pylist(), None], pa.int32()),
-             *[pa.array([*a, None], pa.binary()) for a in answers],
-             *[pa.array([None] * n + [int(x)], pa.int64()) for x in (word.sum(), all_of[0][word].sum(), all_of[1][word].sum())]],
-            ["block", "part", "background", "target", "words", "n_background", "n_target"])
+def passed_back(sent: DataFrame, answers: DataFrame, fan: int) -> DataFrame:
+    """The answers of a level, from those that its nodes got from the next."""
+    def run(rows, told):
+        keys = np.unique(np.concatenate([keys for _, keys, _ in children(rows)]))
+        return block_table(answer_rows(rows, keys, told_counts(told, len(keys))), _TOLD)
 
-    return counts.groupBy("part").applyInArrow(
-        run, "block int, part int, background binary, target binary, words long, n_background long, n_target long")
+    answers = answers.where("child is not null") \
+        .select(F.col("child").alias("node"), F.floor(F.col("part") / fan).alias("coarse"), "part", "background", "target")
+    return sent.groupBy("node", "part").cogroup(answers.groupBy("node", "coarse")).applyInArrow(run, _TOLD)
 
 
-def score(docs: DataFrame, answers: DataFrame, words: int, n_background: int, n_target: int) -> DataFrame:
+def score(table: DataFrame, answers: DataFrame, words: int, n_background: int, n_target: int) -> DataFrame:
     """``doc_id, n_tokens, target_loss, background_loss, score`` of every row
-    of ``docs`` (block, doc_id, text), from the ``answers`` to its block.  Both
-    models are the background's if there is no target token."""
+    of the blocks in ``table``, from the ``answers`` to each.  Both models are
+    the background's if there is no target token."""
     scale = n_target / n_background if n_target else 1.0
     n, vocabulary = float(n_target or n_background), max(WORDS, words)
 
     def run(block, told):
-        before, ids, lengths = block_tokens(block)
+        _, ids, lengths, _, words, places = (c[0] for c in block.columns)
+        lengths = np.array(lengths.as_py(), np.int64)
         out, full = np.zeros((2, len(lengths))), lengths > 0
         if full.any():
-            told = told.sort_by("part")
-            places = [np.unique(keys, return_inverse=True) for keys in kinds_of(before, ids)]
-            keys = np.sort(np.concatenate([some for some, _ in places]))
-            places = [(np.searchsorted(keys, some), place) for some, place in places]
-            for k, name in enumerate(("background", "target" if n_target else "background")):
-                count = np.concatenate([opened(v) for v in told.column(name).to_pylist()])
-                if len(count) != len(keys):
-                    raise RuntimeError("a block's documents are not those that were counted")
-                word, head, pair = ((count[some] * (1.0 if k else scale))[place] for some, place in places)
+            found = keys_of(lengths, words.as_py(), places.as_py())
+            counts = told_counts(told, len(found.keys))
+            for k in range(2):
+                count = counts[1] if k and n_target else counts[0] * (1.0 if k else scale)
+                word, head, pair = found.at_tokens(count)
                 one = (word + ADD) / (n + ADD * vocabulary)
                 loss = -np.log((pair + PRIOR * one) / (head + PRIOR))
                 out[k, full] = np.add.reduceat(loss, (np.cumsum(lengths) - lengths)[full]) / lengths[full]
         return pa.Table.from_arrays(
-            [block.column("doc_id"), pa.array(lengths), pa.array(out[1]), pa.array(out[0]), pa.array(out[0] - out[1])],
+            [ids.values, pa.array(lengths), pa.array(out[1]), pa.array(out[0]), pa.array(out[0] - out[1])],
             ["doc_id", "n_tokens", "target_loss", "background_loss", "score"])
 
-    return docs.groupBy("block").cogroup(answers.groupBy("block")) \
+    return table.groupBy("block").cogroup(answers.groupBy("child")) \
         .applyInArrow(run, "doc_id long, n_tokens long, target_loss double, background_loss double, score double")
 
 
@@ -202,22 +287,31 @@ def score_against(docs: DataFrame, labels: DataFrame) -> DataFrame:
     good (quality 1) as the target.
 
     A null or empty text has no token, losses and score 0.  Repeated rows are
-    counted and scored as often as they come (rows that share an id, or have
-    none and share a text, are in one block); rows without an id belong to
+    counted and scored as often as they come; rows without an id belong to
     the background and are scored; without a target every score is 0; an
     empty table gives no rows; other columns are ignored.
     """
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    least = shuffle_partitions(docs.sparkSession)
-    blocks, parts = max(least, size // BLOCK_BYTES + 1), max(least, size // PART_BYTES + 1)
-
-    def dealt(key: Column) -> Column:
-        return F.pmod(F.xxhash64(key), F.lit(blocks)).cast("int").alias("block")
-    rows = rows.select(F.when(F.col("doc_id").isNull(), dealt(F.col("text"))).otherwise(dealt(F.col("doc_id"))).alias("block"),
-                       "doc_id", "text")
-    targets = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id")).distinct() \
-        .select(dealt(F.col("doc_id")), "doc_id")
-    answers = written(totals(block_counts(rows, targets, parts)), "lm-totals")
-    sums = answers.where("block is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "n_background", "n_target")]).first()
-    return score(rows, answers.where("block is not null").select("block", "part", "background", "target"), *sums)
+    targets = labels.where("quality = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"), F.lit(True).alias("wanted")) \
+        .distinct()
+    if targets.count() <= BROADCAST_TARGETS:
+        targets = F.broadcast(targets)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")) \
+        .join(targets, "doc_id", "left").select("doc_id", "text", F.coalesce("wanted", F.lit(False)).alias("wanted"))
+    table = written(blocks(rows), "lm-blocks")
+    levels, n = 1, max(1, table.count())
+    while FAN ** levels < n:
+        levels += 1
+    fan = 2
+    while fan ** levels < n:
+        fan += 1
+    sent = block_counts(table, fan ** (levels - 1), fan)
+    below = []
+    for level in range(1, levels):
+        below.append(written(sent, "lm-sent"))
+        sent = sent_on(below[-1], fan, fan ** (level + 1))
+    last = written(totals(sent), "lm-totals")
+    sums = last.where("child is null").agg(*[F.coalesce(F.sum(c), F.lit(0)) for c in ("words", "n_background", "n_target")]).first()
+    answers = last.where("child is not null")
+    for sent in reversed(below):
+        answers = passed_back(sent, answers, fan)
+    return score(table, answers.select("child", "part", "background", "target"), *sums)
