@@ -178,6 +178,30 @@ def test_part_of_a_long_item(spark):
     assert [(r.doc_id, r.run) for r in got] == [(1, 13)] and got[0].coverage == pytest.approx(13 / 60)
 
 
+def test_dense_slots_short_items_and_common_openings(spark):
+    items = [(1, "12 + 7 * 30 - 5 / 4 = 9"), (2, "What is the capital of France"), (3, "define entropic gravity"),
+             (4, "Anna has 3 4 5 6 7 8 9 and 10 cups left")]
+    fill = "so " * 6000
+    texts = [("they ask 13 + 8 * 31 - 6 / 5 = 8 here", [1]), ("13 + 8 * 31 / 6 - 5 = 8", []), ("call +1 555-12-13 or 20-30-40", []),
+             ("what is the capital of the small firm", []), ("he said: what is the capital of Italy and left", [2]),
+             ("what is the capital of france", [2]), ("please define entropic gravity in a few words", [3]),
+             ("define entropic things, gravity", []), ("then Berta has 1 2 5 6 8 8 9 and 11 cups left there", [4]),
+             ("what is the capital " + fill + " is the capital of France", []),
+             (fill + "define entropic gravity", [3]), (fill + "then 13 + 8 * 31 - 6 / 5 = 8", [1])]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(texts)], "doc_id long, text string")
+    got = {r.doc_id: r.item_ids for r in
+           decontaminate.contaminated(docs, spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert got == {i: ids for i, (_, ids) in enumerate(texts) if ids}
+
+
+def test_far_apart_alignments_do_not_add_up(spark):
+    words = [f"word{chr(97 + i)}" for i in range(20)]
+    items = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    parts = [" ".join(words[k:k + 6]) for k in (0, 7, 14)]
+    docs = spark.createDataFrame([(1, " in between ".join(parts)), (2, (" in between" * 200 + " ").join(parts))], "doc_id long, text string")
+    assert [r.doc_id for r in decontaminate.contaminated(docs, items).collect()] == [1]
+
+
 def test_slots_must_be_consistent(spark):
     text = "then {0} gave it to {1} who told {0} that {1} had seen how {0} and {1} went away with {0} again"
     items = spark.createDataFrame([(1, text.format("Anna", "Berta"))], "item_id long, text string")

@@ -9,31 +9,40 @@ a name is hashed a second time with the name as an ordinary word, as a copy in
 lower or upper case has it.  The raw
 values in the slots are then compared along each alignment of the document
 with the item: one item value must always stand for one document value.
-Windows with a slot that breaks this do not count.  A document is
+Windows with a slot that breaks this do not count.  Alignments add up where
+they lie close together (words put in or left out).  A document is
 contaminated by an item when the windows that count cover at least
-``COVERAGE`` of the item's tokens, or ``RUN`` of them on end (a part of a long
-item; single windows meet by chance in long texts, such runs do not).
+``COVERAGE`` of the item's tokens and ``LEAST`` of them (all of a shorter
+item), or ``RUN`` on end (a part of a long item; single windows meet by chance
+in long texts, such runs do not).
 
-A window with under ``LITERALS`` ordinary words says too little as a template
-and is compared with its raw values instead.  An item with fewer tokens than
-a window matches only a document of exactly these tokens.
+A window with under ``LITERALS`` ordinary words (signs of arithmetic between
+numbers are such) says too little as a template: it is compared with its raw
+values, and a second time as a template with the tokens after it, until it
+holds ``LITERALS`` words, at most ``WIDEST`` tokens.  An item with fewer
+tokens than a window, but ``LITERALS`` at least, is one window of its own
+length; a still shorter one matches only a document of exactly its tokens.
 
 All of it is column expressions and joins.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from wardline.llm.tables import written
 
 WINDOW = 5
 LITERALS = 3
+WIDEST = 20
 SEGMENT = 256
 COVERAGE = 0.5
+LEAST = 8
 RUN = 13
+NEAR = 50
 BROADCAST_WINDOWS = 300_000
+BROADCAST_CHARS = 30_000_000
 
 # Units by what they measure.
 UNITS = {
@@ -53,7 +62,8 @@ _SPACES = r"[\s\p{Z}&&[^ ]][\s\p{Z}]*+| [\s\p{Z}]++"          # white space that
 _AFTER_NUMBER = r"(?<=[0-9])\s?(" + "|".join(sorted((u for u in _DIMENSION if u[0] not in "$€£"), key=lambda u: (-len(u), u))) \
     + r")(?![\p{L}\p{Nd}])"
 _BEFORE_NUMBER = r"[$€£](?=\s?[0-9])"
-_TOKENS = _UNIT + r"[%$€£]|" + _UNIT + r"°[cf]|[" + _NAME + _UNIT + r"]?[\p{L}\p{M}]++(?:['’][\p{L}\p{M}]++)*+|[0-9]++(?:[.,][0-9]++)*+"
+_SIGN = r"(?<=[0-9)])\s?(=|[-+*/×÷−](?=\s?[0-9(]))"           # becomes a word: '~' sorts after ':'
+_TOKENS = r"~[-+*/×÷−=]|" + _UNIT + r"[%$€£]|" + _UNIT + r"°[cf]|[" + _NAME + _UNIT + r"]?[\p{L}\p{M}]++(?:['’][\p{L}\p{M}]++)*+|[0-9]++(?:[.,][0-9]++)*+"
 
 
 def marked(text: Column) -> Column:
@@ -66,7 +76,8 @@ def marked(text: Column) -> Column:
 def tokens(text: Column) -> Column:
     """Tokens of a marked text.  Ordinary words sort after ':', what fills a
     slot (marks and digits) before it."""
-    units = F.regexp_replace(F.regexp_replace(text, _AFTER_NUMBER, " " + _UNIT + "$1"), _BEFORE_NUMBER, " " + _UNIT + "$0 ")
+    units = F.regexp_replace(text, _SIGN, " ~$1 ")
+    units = F.regexp_replace(F.regexp_replace(units, _AFTER_NUMBER, " " + _UNIT + "$1"), _BEFORE_NUMBER, " " + _UNIT + "$0 ")
     return F.regexp_extract_all(F.when(text.rlike("[0-9]"), units).otherwise(text), F.lit(_TOKENS), F.lit(0))
 
 
@@ -86,10 +97,10 @@ def unnamed(raw: Column) -> Column:
     return F.transform(raw, lambda t: F.when(t.startswith(_NAME), t.substr(2, 1 << 30)).otherwise(t))
 
 
-def windows(texts: DataFrame, key: str, both: bool = False) -> DataFrame:
-    """A row for each window: ``key``, the text's ``total`` tokens, ``h``, and
-    where it lies: its segment's first token ``start``, its place ``pos`` in
-    it, and the tokens of a ``segment`` that holds a slot.
+def windows(texts: DataFrame, key: str, both: bool = False, short: tuple = (), whole: bool = False) -> DataFrame:
+    """A row for each window: ``key``, the text's ``total`` tokens, ``h``, the
+    window's ``size``, and where it lies: its segment's first token ``start``,
+    its place ``pos`` in it, and the tokens of a ``segment`` that holds a slot.
 
     A text is cut into segments of ``SEGMENT`` windows, and only a segment
     with a slot carries its tokens along with its hashes.  A hash runs over
@@ -97,14 +108,16 @@ def windows(texts: DataFrame, key: str, both: bool = False) -> DataFrame:
     one window hashes like no other.  A text without a token has one window
     of size 0, which no item has.
 
-    With ``both``, windows of a segment that has names come a second time,
-    ``plain``: names are ordinary words, and ``h`` is null without a name.
+    With ``both``, windows with a name come a second time, ``plain``: names
+    are ordinary words; and windows with too few words come again, widened.
+    Besides there are windows of the sizes ``short``: those that lie inside
+    longer texts, or with ``whole`` those that are the whole text.
     """
     rows = texts.select(F.col(key), marked(F.col("text")).alias("text")) \
         .select(key, F.col("text").rlike(f"[{_NAME}{_UNIT}0-9]").alias("slots"), tokens(F.col("text")).alias("all"))
     starts = F.sequence(F.lit(0), F.greatest(F.size("all") - WINDOW, F.lit(0)), F.lit(SEGMENT))
     cut = F.transform(starts, lambda i: F.struct(F.size("all").alias("total"), i.alias("start"),
-                                                 F.slice("all", i + 1, SEGMENT + WINDOW - 1).alias("raw")))
+                                                 F.slice("all", i + 1, SEGMENT + WIDEST - 1).alias("raw")))
     # outer: else Spark puts a filter on the array's size below, and works the array out twice
     rows = rows.select(key, "slots", F.explode_outer(cut).alias("s")) \
         .select(key, "s.total", "s.start", "s.raw", (F.col("slots") & F.exists("s.raw", lambda t: t < ":")).alias("slots")) \
@@ -113,50 +126,82 @@ def windows(texts: DataFrame, key: str, both: bool = False) -> DataFrame:
     def hashed(array, i):
         return F.xxhash64(*[F.get(array, i + j) for j in range(WINDOW)])
 
+    def filled(i, raw, size=WINDOW):
+        return sum((F.coalesce((F.get(raw, i + j) < ":").cast("int"), F.lit(0)) for j in range(1, size)),
+                   (F.get(raw, i) < ":").cast("int"))
+
+    def dense(i, raw="raw"):
+        return filled(i, raw) > F.greatest(F.least(F.col("total"), F.lit(WINDOW)) - LITERALS, F.lit(0))
+
     def slotted(i, raw="raw", canon="canon"):
-        filled = sum((F.coalesce((F.get(raw, i + j) < ":").cast("int"), F.lit(0)) for j in range(1, WINDOW)),
-                     (F.get(raw, i) < ":").cast("int"))
-        spare = F.greatest(F.least(F.col("total"), F.lit(WINDOW)) - LITERALS, F.lit(0))
-        return F.when(filled > spare, hashed(raw, i)).otherwise(hashed(canon, i))
-    at = F.sequence(F.lit(0), F.greatest(F.size("raw") - WINDOW, F.lit(0)))
-    every = F.when(F.col("slots"), F.transform(at, lambda i: slotted(i))).otherwise(F.transform(at, lambda i: hashed("raw", i)))
+        return F.when(dense(i, raw), hashed(raw, i)).otherwise(hashed(canon, i))
+
+    def window(i, h, size=WINDOW, plain=False):
+        return F.struct(i.cast("int").alias("pos"), F.lit(size).cast("int").alias("size") if isinstance(size, int) else size.cast("int").alias("size"),
+                        F.lit(plain).alias("plain"), h.alias("h"))
+
+    def present(array):
+        return F.filter(array, lambda w: w["h"].isNotNull())
+    at = F.sequence(F.lit(0), F.greatest(F.least(F.size("raw") - WINDOW, F.lit(SEGMENT - 1)), F.lit(0)))
+    own = F.least("total", F.lit(WINDOW))
+    every = F.when(F.col("slots"), F.transform(at, lambda i: window(i, slotted(i), own))) \
+        .otherwise(F.transform(at, lambda i: window(i, hashed("raw", i), own)))
     if both:
         named = F.col("slots") & F.exists("raw", lambda t: t.startswith(_NAME))
         rows = rows.withColumn("words", F.when(named, unnamed(F.col("raw")))) \
-            .withColumn("canon_words", F.when(F.col("words").isNotNull(), template(F.col("words"))))
+            .withColumn("canon_words", F.when(F.col("words").isNotNull(), template(F.col("words")))) \
+            .withColumn("word_at", F.when(F.col("slots"), F.filter(F.sequence(F.lit(0), F.size("raw") - 1), lambda p: F.get("raw", p) >= ":")))
 
         def again(i):
             name = [F.coalesce(F.get("raw", i + j).startswith(_NAME), F.lit(False)) for j in range(WINDOW)]
-            return F.when(name[0] | name[1] | name[2] | name[3] | name[4], slotted(i, "words", "canon_words"))
-        first = F.greatest(F.size("raw") - WINDOW + 1, F.lit(1))
-        hs = F.when(F.col("words").isNotNull(), F.concat(every, F.transform(at, again))).otherwise(every)
-        return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), first.alias("first"), hs.alias("hs")) \
-            .select(key, "total", "start", "segment", "first", F.posexplode_outer("hs").alias("n", "h")) \
-            .select(key, "total", "start", "segment", F.pmod("n", "first").alias("pos"), "h", (F.col("n") >= F.col("first")).alias("plain"))
-    return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), every.alias("hs")) \
-        .select(key, "total", "start", "segment", F.posexplode_outer("hs").alias("pos", "h"))
+            return window(i, F.when(name[0] | name[1] | name[2] | name[3] | name[4], slotted(i, "words", "canon_words")), own, True)
+
+        def wide(i):
+            size = F.when(dense(i), F.get(F.filter("word_at", lambda p: p >= i), F.lit(LITERALS - 1)) - i + 1)
+            return F.struct(i.alias("pos"), size.alias("size"))
+        widened = F.transform(F.filter(F.transform(at, wide), lambda w: (w["size"] > WINDOW) & (w["size"] <= WIDEST)),
+                              lambda w: window(w["pos"], F.xxhash64(F.slice("canon", w["pos"] + 1, w["size"])), w["size"]))
+        every = F.when(F.col("words").isNotNull(), F.concat(every, present(F.transform(at, again)), widened)) \
+            .when(F.col("slots"), F.concat(every, widened)).otherwise(every)
+
+    def brief(size):
+        def at_place(i):
+            literal = F.xxhash64(F.slice("raw", i + 1, size))
+            return window(i, F.when(filled(i, "raw", size) > size - LITERALS, literal)
+                          .otherwise(F.xxhash64(F.slice(F.coalesce("canon", "raw"), i + 1, size))), size)
+        places = F.sequence(F.lit(0), F.greatest(F.least(F.size("raw") - size, F.lit(SEGMENT + WINDOW)), F.lit(0)))
+        return F.transform(places, at_place)
+    for size in short:
+        every = F.when(F.col("total") == size if whole else F.col("total") > size, F.concat(every, brief(size))).otherwise(every)
+    return rows.select(key, "total", "start", F.when(F.col("slots"), F.col("raw")).alias("segment"), every.alias("ws")) \
+        .select(key, "total", "start", "segment", F.explode_outer("ws").alias("w")) \
+        .select(key, "total", "start", "segment", "w.pos", "w.size", "w.plain", "w.h")
 
 
 def placed(found: DataFrame) -> DataFrame:
     """``at``, ``size`` and ``raw`` of windows in place of their segment."""
-    raw = F.slice("segment", F.col("pos") + 1, WINDOW)
-    if "plain" in found.columns:
-        raw = F.when(F.col("plain"), unnamed(raw)).otherwise(raw)
+    raw = F.slice("segment", F.col("pos") + 1, F.greatest("size", F.lit(0)))
+    raw = F.when(F.col("plain"), unnamed(raw)).otherwise(raw)
     return found.withColumns({
-        "at": F.col("start") + F.col("pos"), "size": F.least("total", F.lit(WINDOW)),
-        "raw": F.when(F.exists(raw, lambda t: t < ":"), raw)}).drop("start", "pos", "segment", "plain")
+        "at": F.col("start") + F.col("pos"), "raw": F.when(F.exists(raw, lambda t: t < ":"), raw)}).drop("start", "pos", "segment", "plain")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """``doc_id, item_id, coverage`` (share of the item's tokens covered by
-    windows that count) and ``run`` (most of them on end in one alignment) of
-    every document and item that share a window."""
-    items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id", both=True))
+    """``doc_id, item_id, covered`` (the item's tokens covered by windows that
+    count, on alignments close together), ``coverage`` (their share of the
+    item's tokens) and ``run`` (most of them on end in one alignment) of every
+    document and item that share a window."""
+    items = written(placed(windows(benchmark.where("item_id is not null").select("item_id", "text").distinct(), "item_id", both=True,
+                                   short=tuple(range(LITERALS, WINDOW)), whole=True))
                     .where("total > 0 and h is not null").select("item_id", F.col("total").alias("item_total"), F.col("at").alias("item_at"), "h",
-                            F.col("raw").alias("item_raw")).distinct(), "benchmark-windows")
-    if items.count() <= BROADCAST_WINDOWS:
+                            F.col("size").alias("item_size"), F.col("raw").alias("item_raw")).distinct(), "benchmark-windows")
+    short = tuple(sorted(r.item_total for r in items.where(F.col("item_total").between(LITERALS, WINDOW - 1))
+                         .select("item_total").distinct().collect()))
+    bulk = items.agg(F.count("*"), F.coalesce(F.sum(F.length(F.array_join("item_raw", " "))), F.lit(0))).first()
+    if bulk[0] <= BROADCAST_WINDOWS and bulk[1] <= BROADCAST_CHARS:
         items = F.broadcast(items)
-    found = placed(windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", both=True).join(items, "h"))
+    found = placed(windows(docs.where("doc_id is not null").select("doc_id", "text"), "doc_id", both=True, short=short)
+                   .join(items, "h").where("size = item_size"))
     # an alignment: the document shifted against the item by a fixed number of tokens
     aligned = found.groupBy("doc_id", "item_id", "item_total", (F.col("at") - F.col("item_at")).alias("shift")).agg(
         F.collect_set(F.struct("item_at", "size", "item_raw", "raw")).alias("ws"))
@@ -181,9 +226,14 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         return F.struct(token.alias("last"), run.alias("run"), F.greatest(acc["most"], run).alias("most"))
     run = F.aggregate("covered", F.struct(F.lit(-2).alias("last"), F.lit(0).alias("run"), F.lit(0).alias("most")), longer)["most"]
     # passages with words put in or left out lie on neighbouring alignments: they add up
-    return aligned.select("doc_id", "item_id", "item_total", run.alias("run"), F.explode("covered").alias("token")) \
-        .groupBy("doc_id", "item_id", "item_total").agg(F.count_distinct("token").alias("n"), F.max("run").alias("run")) \
-        .select("doc_id", "item_id", (F.col("n") / F.col("item_total")).alias("coverage"), "run")
+    order = Window.partitionBy("doc_id", "item_id").orderBy("shift")
+    apart = F.col("shift") - F.lag("shift").over(order) > F.col("item_total") + NEAR
+    return aligned.select("doc_id", "item_id", "item_total", "shift", run.alias("run"), "covered").where(F.size("covered") > 0) \
+        .withColumn("apart", F.coalesce(apart.cast("int"), F.lit(0))).withColumn("place", F.sum("apart").over(order)) \
+        .select("doc_id", "item_id", "item_total", "place", "run", F.explode("covered").alias("token")) \
+        .groupBy("doc_id", "item_id", "item_total", "place").agg(F.count_distinct("token").alias("n"), F.max("run").alias("run")) \
+        .groupBy("doc_id", "item_id", "item_total").agg(F.max("n").alias("covered"), F.max("run").alias("run")) \
+        .select("doc_id", "item_id", "item_total", "covered", (F.col("covered") / F.col("item_total")).alias("coverage"), "run")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, run: int = RUN) -> DataFrame:
@@ -195,7 +245,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     repeated items give the same id once; an empty table on either side gives
     no rows; other columns are ignored.
     """
-    hits = matches(docs, benchmark).where((F.col("coverage") >= coverage) | (F.col("run") >= run))
+    hits = matches(docs, benchmark).where(
+        (F.col("coverage") >= coverage) & (F.col("covered") >= F.least("item_total", F.lit(LEAST))) | (F.col("run") >= run))
     return hits.groupBy("doc_id").agg(
         F.count_distinct("item_id").alias("n_items"), F.array_sort(F.collect_set("item_id")).alias("item_ids"),
         F.max("coverage").alias("coverage"), F.max("run").cast("long").alias("run"))
