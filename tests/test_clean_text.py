@@ -42,3 +42,14 @@ def test_texts_without_a_tail_take_less_time(spark):
             best = min(best, time.time() - start)
         return best
     assert seconds(TX.clean_report_text("s")) * 2 < seconds(_chain("s"))
+
+
+def test_a_report_is_cleaned_once(spark):
+    from wardline.operators import notes
+    tx = spark.createDataFrame([(1, 7, 3.0, "  a  b---\n---- Findings were communicated---c\nElectronically signed x")],
+                               "stay_id long, note_row long, t_max_rel double, radiology_note_text string")
+    st = spark.createDataFrame([(1, None)], "stay_id long, intime timestamp_ntz")
+    seg = notes.note_segments(tx, st)
+    assert [(r.pos, r.clean_text) for r in seg.orderBy("pos").collect()] == [(0, "a b"), (3, "c")]
+    plan = seg._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("communicated.*") == 1               # also not copied into a filter
