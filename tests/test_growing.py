@@ -82,6 +82,28 @@ def test_growing_tfidf_is_that_of_the_whole_texts(spark):
             assert r[f"tfidf_{t}"] == pytest.approx(want[r.stay_id, r.t_end][f"tfidf_{t}"])
 
 
+@pytest.mark.parametrize("length", [3, 7, 128])
+def test_growing_encoding_is_that_of_the_whole_texts(spark, length):
+    rng = random.Random(8)
+    words = ["lung", "heart", "clear", "acute", "fluid", "rib"]
+    rows = []
+    for s in range(25):
+        text = []
+        for t in range(1, rng.randint(2, 7)):
+            new = None if s == 3 else " ".join(rng.choice(words + ["own%d" % s]) for _ in range(rng.choice([0, 0, 1, 4])))
+            text += [new] if new else []
+            rows.append((s, float(t), "train" if s % 3 else "test", new, " ".join(text)))
+    df = spark.createDataFrame(rows, "stay_id long, t_end double, split string, new_text string, final_text string")
+    full = TX.fit_vocab(df.where("split = 'train'"), "final_text")
+    added = TX.growing_terms(df, "stay_id", "t_end", "new_text", ["split"])
+    vocab = TX.fit_vocab_growing(added.where("split = 'train'"))
+    assert {tuple(r) for r in vocab.collect()} == {tuple(r) for r in full.collect()}
+    want = TX.encode(df, ["stay_id", "t_end"], "final_text", full, length)
+    got = TX.encode_growing(added, vocab, length)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect())) and got.count() == len(rows)
+    assert [f.dataType.simpleString() for f in got.schema] == [f.dataType.simpleString() for f in want.schema]
+
+
 def test_pairs_without_naming_tokens(spark, monkeypatch):
     rng = random.Random(5)
     df = spark.createDataFrame([(" ".join(rng.choice("aa bb cc dd ee ff".split()) for _ in range(9)),) for _ in range(60)], "t string")
