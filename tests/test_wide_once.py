@@ -20,3 +20,15 @@ def test_medians_of_a_written_table_write_nothing(spark):
     assert session.tables_made() == made
     assert got == FT.medians(df, ["a", "b"]) == {"a": 2.0, "b": 5.0}
     assert FT.fit_median(df, ["a"], written=True).medians == {"a": pytest.approx(2.0)}
+
+
+def test_matrix_is_unpivoted_before_names_and_rounding(spark):
+    from wardline.plans import registry
+    from wardline.plans.matrices import Matrices
+    rows = [(1, 24.0, "train", 0.1234567, 1.23456, None), (2, 48.0, "test", None, 2.5, 0.0000005)]
+    m = Matrices(spark.createDataFrame(rows, "stay_id long, t_end double, split string, `odd name` double, b_cum_std double, c double"), [])
+    out = registry._matrix_long(m, ["odd name", "b_cum_std", "c"])
+    assert out.columns == ["stay_id", "t_end", "split", "feature", "value"]
+    assert {(r.stay_id, r.feature): r.value for r in out.collect()} == {
+        (1, "odd name"): 0.123457, (1, "b_cum_std"): 1.235, (1, "c"): None, (2, "odd name"): None, (2, "b_cum_std"): 2.5, (2, "c"): 0.000001}
+    assert "named_struct" not in out._jdf.queryExecution().toString()      # nothing as large as all columns is named or rounded
