@@ -136,3 +136,24 @@ def test_sequences_hold_the_documents_ids(spark):
 @pytest.mark.parametrize("texts", [[]])
 def test_empty_table(spark, texts):
     assert packing.pack(spark.createDataFrame(texts, "doc_id long, text string"), PATH).count() == 0
+
+
+def test_new_parts_come_back_from_learning_without_another_lookup():
+    class Counting(packing.PieceIds):
+        asked = 0
+
+        def __getitem__(self, part):
+            Counting.asked += 1
+            return super().__getitem__(part)
+    known = Counting(PATH)
+    new = ["word", "word,", "other!)", "naïve", "ﬁn", "12,5", "...", "x1", "日本", "é", "ſ", "İ.", "ok", "nowhere", "nowhere."]
+    got = known.learn(new)
+    assert list(got) and {p: got[p] for p in new} == {p: encoded(p)[:-4] for p in new}
+    assert Counting.asked == 0 and all(dict.get(known, p) == got[p] for p in got)
+    more = known.learn(["word.", "other,"])                   # the letters and one mark are known by now
+    assert more["word."] == got["word"] + dict.get(known, ".") and more["other,"] == got["other"] + dict.get(known, ",")
+
+
+def test_a_letter_that_becomes_a_letter_and_a_mark():
+    texts = ["Σ İ. İ", "Σ \u0958. \u0958,", "<| a\u0958! \u0958"]
+    assert packing.PieceIds(PATH).encode(texts) == [encoded(t)[:-4] for t in texts]

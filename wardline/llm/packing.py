@@ -60,37 +60,48 @@ class PieceIds(dict):
         self.ends = np.zeros(max(vocabulary.values()) + 1, bool)
         self.ends[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
 
-    def learn(self, new: list[str]) -> None:
+    def learn(self, new: list[str]) -> dict[str, bytes]:
+        """Learn these parts, each given once and none known; returns their ids."""
         if len(self) + len(new) > self.limit:
             self.clear()
         # letters and then marks are tokens of their own: each is learnt once
-        whole, words, tails, closed = [], set(), set(), []
+        whole, words, more, tails, closed = [], [], set(), set(), []
         for part in new:
+            if part.isalpha():
+                words.append(part)
+                continue
             letters = part.rstrip(_MARKS)
-            if not letters.isalpha():
+            # not where a letter normalises to one and a mark, which the marks after it would join
+            if not letters.isalpha() or not (letters.isascii() or unicodedata.normalize("NFC", letters).lower().isalpha()):
                 whole.append(part)
-            elif len(letters) == len(part):
-                words.add(part)
-            else:
-                tail = part[len(letters):]
-                words.add(letters)
-                tails.add(tail)
-                closed.append((part, letters, tail))
-        whole += tails.difference(self)
-        words = list(words.difference(self))
+                continue
+            tail = part[len(letters):]
+            more.add(letters)
+            tails.add(tail)
+            closed.append((part, letters, tail))
+        # what is learnt here is looked up in a small table of its own, most of it never again
+        more.difference_update(words)
+        known = {part: self[part] for part in more | tails if part in self}
+        whole += tails.difference(known)
+        words += more.difference(known)
+        fresh: dict[str, bytes] = {}
         for i in range(0, len(words), 20_000):
-            whole += self._learn_words(words[i:i + 20_000])
+            whole += self._learn_words(words[i:i + 20_000], fresh)
         for i in range(0, len(whole), 20_000):
             some = whole[i:i + 20_000]
             for part, enc in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self[part] = array("I", enc.ids).tobytes()
+                fresh[part] = array("I", enc.ids).tobytes()
+        known.update(fresh)
         for part, letters, tail in closed:
-            self[part] = self[letters] + self[tail]
-
-    def _learn_words(self, words: list[str]) -> list[str]:
-        """Learn words of letters from one encoding of all of them: a word ends
-        with a token that closes a word.  If that does not give one part per
-        word (letters that normalise to something else), all are returned."""
+            fresh[part] = known[letters] + known[tail]
+        self.update(fresh)
+        return fresh
+
+    def _learn_words(self, words: list[str], fresh: dict[str, bytes]) -> list[str]:
+        """Put the ids of words of letters into ``fresh``, from one encoding of
+        all of them: a word ends with a token that closes a word.  If that does
+        not give one part per word (letters that normalise to something else),
+        all are returned."""
         text = " ".join(words)
         done = text == text.lower() and unicodedata.is_normalized("NFC", text)
         tokenizer = self.plain if done else self.tokenizer
@@ -98,10 +109,8 @@ class PieceIds(dict):
         cuts = (np.flatnonzero(self.ends[ids]) + 1) * 4
         if len(cuts) != len(words):
             return words
-        held, at = ids.tobytes(), 0
-        for word, cut in zip(words, cuts.tolist()):
-            self[word] = held[at:cut]
-            at = cut
+        held, ends = ids.tobytes(), cuts.tolist()
+        fresh.update(zip(words, map(held.__getitem__, map(slice, [0, *ends], ends))))
         return []
 
     def encode(self, texts: list[str]) -> list[bytes]:
@@ -125,8 +134,7 @@ class PieceIds(dict):
         own = dict.fromkeys(chain.from_iterable(split))
         own = dict(zip(own, map(self.get, own)))
         if new := [part for part, ids in own.items() if ids is None]:
-            self.learn(new)
-            own.update(zip(new, map(self.__getitem__, new)))
+            own.update(self.learn(new))
         get = own.__getitem__
         return [b"".join(map(get, parts)) for parts in split]
 
