@@ -44,7 +44,7 @@ def test_without_draws_the_trees_are_those_of_mllib(spark):
         # and the losses those of its own pass
         va, gbt = other.model.stages
         expected = gbt.evaluateEachIteration(va.transform(rows.withColumn(label, F.col(label).cast("double")).withColumn("_w", F.lit(1.0))))
-        assert MD._head_curves(head, [rows], label, 6)[0] == pytest.approx([x / 2 for x in expected], abs=1e-9)
+        assert MD._head_curve(head, rows, label, 6) == pytest.approx([x / 2 for x in expected], abs=1e-9)
 
 
 def test_a_round_takes_one_pass_a_level_for_both_heads(spark):
@@ -87,7 +87,7 @@ def test_a_missing_value_goes_right(spark):
     p = {r.gone: r.p for r in head.predict(df, "p").groupBy(F.col("x1").isNull().alias("gone")).agg(F.avg("p").alias("p")).collect()}
     assert p[True] > p[False] + 0.2
     got = head.predict(df, "p").selectExpr(f"avg(-ln(if({MD.TASK1_COL} = 1, p, 1 - p)))").first()[0]
-    assert MD._head_curves(head, [df], MD.TASK1_COL, 5)[0][-1] == pytest.approx(got)
+    assert MD._head_curve(head, df, MD.TASK1_COL, 5)[-1] == pytest.approx(got)
 
 
 def test_labels_must_be_0_or_1(spark):
