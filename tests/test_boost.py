@@ -94,3 +94,19 @@ def test_labels_must_be_0_or_1(spark):
     df = _rows(spark).withColumn(MD.TASK1_COL, F.when(F.col("stay_id") > 3, F.col(MD.TASK1_COL)))
     with pytest.raises(Exception, match="label must be 0 or 1"):
         MD.fit_head(df, FEATURES, MD.TASK1_COL, "gbt", {"rounds": 1})
+
+
+def test_split_points_come_from_all_rows(spark, monkeypatch):
+    rnd, inf = random.Random(9), float("inf")
+    rows = [([rnd.gauss(0, 1), float(rnd.randrange(6)), rnd.choice([0.0, 0.0, 0.0, rnd.random()]), rnd.choice([None, float("nan"), i * 1.0]),
+              10.0 ** rnd.randint(-300, 300) * rnd.choice([-1, 1]), 5.0 if i % 997 else float(i), rnd.choice([inf, -inf, -0.0, 0.0, rnd.random()]),
+              1.0 + i * 2 ** -40, None, 3.0], int(rnd.random() < 0.3)) for i in range(6000)]
+    df = spark.createDataFrame(rows, "x array<double>, y int").repartition(5).cache()
+    x, y = np.array([r[0] for r in rows], float), np.array([r[1] for r in rows])
+    want = [boost.split_points(x[:, f] + 0.0, np.where(y == 1, 2.25, 1.0)) for f in range(x.shape[1])]
+    monkeypatch.setattr(boost, "SPLIT_ROWS", 40)
+    for edges, finer in ((2048, 64), (7, 4)):
+        monkeypatch.setattr(boost, "EDGES", edges)
+        monkeypatch.setattr(boost, "FINER", finer)
+        got = boost._splits(df, len(rows), x.shape[1], 2.25, 42)
+        assert [a.tolist() for a in got] == [a.tolist() for a in want]

@@ -2,8 +2,8 @@
 
 The method is that of MLlib's GBTClassifier: regression trees on the gradient
 of the log loss, variance as impurity, a drawn share of the rows per round and
-of the features per node, split points at about equal weights of a bounded
-sample of rows.  What differs is how rows are held: in blocks of bin numbers,
+of the features per node, split points at about equal weights of the rows (of all,
+where MLlib takes a sample).  What differs is how rows are held: in blocks of bin numbers,
 two features in one 16-bit number, and of all heads at once.  One pass serves a
 level of every head's tree and adds up, of two siblings, only the one with fewer
 rows; the other is the parent less that.  A task returns its sums, as wide as
@@ -27,7 +27,9 @@ from ..session import cut_lineage, remove_table
 from .fit import quoted
 
 MAX_BINS = 32            # five bits a feature
-SPLIT_ROWS = 10_000      # rows that the split points are taken from, as in MLlib
+SPLIT_ROWS = 10_000      # up to so many rows, or values near split points, are looked at on the driver
+EDGES = 2048             # ranges that the values of a feature are first counted in
+FINER = 64               # parts of a range that may hold a split point, in the next pass
 BLOCK_ROWS = 32_768
 CHECKPOINT_ROUNDS = 50
 
@@ -91,12 +93,120 @@ def _labelled(target: Target, features) -> DataFrame:
         f"array({x}) AS x", f"CASE WHEN {label} IN (0, 1) THEN int({label}) ELSE raise_error('a label must be 0 or 1') END AS y")
 
 
+def _counts(rows: DataFrame, edges: list[np.ndarray], inside: list[np.ndarray] | None = None) -> list[np.ndarray]:
+    """Of each feature the rows without and with a positive label, by code: 2i + 1
+    is the value ``edges[i]``, 2i what lies below it (and above the edge before).
+    One pass; columns code, rows, rows.  With ``inside``, codes to look into: the
+    same by value, for the values of these codes."""
+    width = len(edges)
+    ends = [np.append(e, np.nan) for e in edges]
+
+    def run(batches):
+        held = [np.zeros((2, 2 * len(e) + 1), np.int64) if inside is None else [] for e in edges]
+        for batch in batches:
+            every = batch.column(0).flatten().to_numpy(zero_copy_only=False).reshape(batch.num_rows, width)
+            y = batch.column(1).to_numpy() == 1
+            for f in range(width):
+                x = every[:, f] + 0.0                                            # one zero only
+                seen = ~np.isnan(x)
+                x, own = x[seen], y[seen]
+                at = np.searchsorted(edges[f], x)
+                code = 2 * at + (ends[f][at] == x)
+                if inside is None:
+                    held[f][1] += np.bincount(code[own], minlength=held[f].shape[1])
+                    held[f][0] += np.bincount(code[~own], minlength=held[f].shape[1])
+                else:
+                    near = inside[f][code]
+                    held[f].append((x[near], own[near]))
+        for f in range(width):
+            if inside is None:
+                key = np.flatnonzero(held[f].any(0))
+                n0, n1 = held[f][:, key]
+            elif held[f]:
+                x, own = (np.concatenate(c) for c in zip(*held[f]))
+                key, at = np.unique(x, return_inverse=True)
+                n0, n1 = (np.bincount(at[own == k], minlength=len(key)) for k in (False, True))
+            else:
+                continue
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(key), f), pa.int32()), pa.array(key.astype(float)),
+                                              pa.array(n0, pa.int64()), pa.array(n1, pa.int64())], ["f", "k", "n0", "n1"])
+    got = rows.mapInArrow(run, "f int, k double, n0 long, n1 long").groupBy("f", "k").agg(
+        F.sum("n0").alias("n0"), F.sum("n1").alias("n1")).toArrow()
+    f, table = got.column("f").to_numpy(), np.stack([got.column(c).to_numpy().astype(float) for c in ("k", "n0", "n1")], 1)
+    return [(own := table[f == i])[own[:, 0].argsort()] for i in range(width)]
+
+
+def _near(weights: np.ndarray, bins: int = MAX_BINS) -> np.ndarray:
+    """Which of the ranges, in order and none empty, can hold a value that a
+    split point lies beside; every value of the others is away from all."""
+    n = len(weights)
+    if n <= bins + 1:
+        return np.ones(n, bool)
+    held, out, last = np.cumsum(weights), np.zeros(n, bool), -2
+    for target in held[-1] / bins * np.arange(1, bins):
+        at = min(int(np.searchsorted(held, target * (1 - 1e-9), "right")), n - 1)   # where the weight passes it, but for rounding
+        last = max(min(int(np.searchsorted(held, target * (1 + 1e-9), "right")), n - 1), last + 1)   # a point is after the one before
+        out[max(at - 1, 0):last + 2] = True
+    return out
+
+
+def _ordered(x: np.ndarray) -> np.ndarray:
+    """Integers in the order of the doubles, and (below) back."""
+    bits = np.asarray(x, float).view(np.int64)
+    return np.where(bits < 0, np.int64(-2 ** 63) - bits, bits)
+
+
+def _doubles(k: np.ndarray) -> np.ndarray:
+    return np.where(k < 0, np.int64(-2 ** 63) - k, k).view(float)
+
+
+def _parts(lo: float, hi: float) -> np.ndarray:
+    """Edges that cut the open range between two doubles."""
+    a, b = (int(v) for v in _ordered(np.array([lo, hi])))
+    return _doubles(np.array(sorted({a + (b - a) * i // FINER for i in range(1, FINER)} - {a, b}), np.int64))
+
+
 def _splits(rows: DataFrame, n_rows: int, width: int, weight: float, seed: int) -> list[np.ndarray]:
+    """:func:`split_points` of every feature over all rows.
+
+    Passes count the rows in ranges of values; a range that a split point may lie
+    in or beside is cut finer in the next one, until few values are left in
+    these.  Then their values are counted one by one; the others stand together
+    as one for each range, which no split point touches.  The first edges come
+    from some of the rows, and have no part in the result."""
     some = rows.sample(fraction=SPLIT_ROWS / n_rows, seed=seed) if n_rows > SPLIT_ROWS else rows
     got = some.toArrow()                                                     # about SPLIT_ROWS rows
     x = got.column("x").combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(-1, width)
-    w = np.where(got.column("y").to_numpy() == 1, weight, 1.0)
-    return [split_points(x[:, f], w) for f in range(width)]
+    if n_rows <= SPLIT_ROWS:
+        w = np.where(got.column("y").to_numpy() == 1, weight, 1.0)
+        return [split_points(x[:, f], w) for f in range(width)]
+    edges = [np.sort(x[~np.isnan(x[:, f]), f] + 0.0) for f in range(width)]
+    edges = [np.unique(e[::max(1, len(e) // EDGES)]) for e in edges]         # with every value that many rows have
+    while True:
+        counts = _counts(rows, edges)
+        near = [_near(c[:, 1] + weight * c[:, 2]) & (c[:, 0] % 2 == 0) for c in counts]
+        if sum(c[k, 1:].sum() for c, k in zip(counts, near)) <= SPLIT_ROWS * width:
+            break
+        finer = []
+        for e, c, k in zip(edges, counts, near):
+            around = np.concatenate([[-np.inf], e, [np.inf]])
+            new = [_parts(around[int(i) // 2], around[int(i) // 2 + 1]) for i in c[k, 0]]
+            finer.append(np.unique(np.concatenate([e, *new])))
+        if all(len(a) == len(b) for a, b in zip(edges, finer)):              # nothing lies between neighbouring doubles
+            break
+        edges = finer
+    inside = [np.isin(np.arange(2 * len(e) + 1), c[k, 0]) for e, c, k in zip(edges, counts, near)]
+    values = _counts(rows, edges, inside)
+    out = []
+    for e, c, k, v in zip(edges, counts, near, values):
+        rest = c[~k].copy()
+        code = rest[:, 0].astype(int)
+        around = np.concatenate([[-np.inf], e, [np.inf]])
+        # a value for each code: its own, or one between its edges
+        stands = [around[i // 2 + 1] if i % 2 else _doubles(np.array([sum(map(int, _ordered(around[i // 2:i // 2 + 2]))) // 2]))[0] for i in code]
+        every = np.concatenate([np.column_stack([stands, rest[:, 1:]]) if len(rest) else rest, v])
+        out.append(split_points(every[:, 0], every[:, 1] + weight * every[:, 2]))
+    return out
 
 
 def _blocks(rows: DataFrame, head: int, splits: list[np.ndarray]) -> DataFrame:
@@ -316,3 +426,26 @@ def round_losses(rows: DataFrame, features, label: str, ensemble: list[list[tupl
     got = part.mapInArrow(run, "n long, l array<double>").collect()           # one row a task
     n = sum(r.n for r in got)
     return (np.sum([r.l for r in got], axis=0) / n).tolist() if n else [float("nan")] * n_trees
+
+
+def contributions(x: np.ndarray, ensemble: list[list[tuple]], depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of each row (of features, a missing one NaN) and feature, what the steps of
+    its paths that split on the feature change in the nodes' values, and whether
+    any does; the last column is the value of the roots.  Trees as in
+    :func:`round_losses`."""
+    n, width = x.shape
+    part, met = np.zeros((n, width + 1)), np.zeros((n, width + 1), bool)
+    met[:, -1] = True
+    for nodes in ensemble:
+        feature, threshold, left, right, value = (np.array(c) for c in zip(*nodes))
+        at = np.zeros(n, int)
+        part[:, -1] += value[0]
+        for _ in range(depth):
+            rows = np.flatnonzero(feature[at] >= 0)
+            here = at[rows]
+            f = feature[here]
+            to = np.where(x[rows, f] <= threshold[here], left[here], right[here]).astype(int)   # NaN goes right
+            part[rows, f] += value[to] - value[here]
+            met[rows, f] = True
+            at[rows] = to
+    return part, met
