@@ -133,3 +133,90 @@ def test_radix_medians(spark):
     assert stats["even"]["m"] == 1.5 and stats["none"] == {"m": None, "s": None} and stats["odd"]["m"] == pytest.approx(4 / 3)
     rates = {r["column"]: r.missing_rate for r in FT.missing_rates(df, list(columns)).collect()}
     assert rates["none"] == 1.0 and rates["even"] == pytest.approx(1 - 2 / n) and rates["odd name `x`"] == pytest.approx(1 - 2 / n)
+
+
+def _cohort(spark):
+    from datetime import datetime, timedelta
+    from wardline.plans import master as M
+    t0, hour = datetime(2024, 1, 1), timedelta(hours=1)
+    st = spark.createDataFrame([(s, s, s, t0, t0 + (60 + 12 * s) * hour, 60.0 + 12 * s, 40.0 + s) for s in (1, 2, 3)],
+                               "stay_id long, subject_id long, hadm_id long, intime timestamp_ntz, outtime timestamp_ntz, icu_los_hours double, age double")
+    ts = spark.createDataFrame([(s, t0 + h * hour, float(h)) for s in (1, 2, 3) for h in range(0, 100, 5)], "stay_id long, hour_ts timestamp_ntz, hr double")
+    tx = spark.createDataFrame([(1, 1, 30.0, "first words---second words"), (1, 2, 50.0, "third"), (2, 3, 0.0, "early"), (9, 4, 1.0, "no stay")],
+                               "stay_id long, note_row long, t_max_rel double, radiology_note_text string")
+    return M.CohortInputs(st, ts, tx)
+
+
+def test_texts_are_not_joined_after_they_are_put_together(spark):
+    from wardline.plans import master as M
+    m = M.master_trailing(_cohort(spark))
+    got = {(r.stay_id, r.t_end): (r.final_text, r.has_text) for r in m.collect()}
+    assert got[1, 24.0] == ("", 0) and got[1, 36.0] == ("first words second words", 1)
+    assert got[1, 60.0] == ("first words second words third", 1) and got[2, 24.0] == ("early", 1) and got[3, 24.0] == ("", 0)
+    plan = m._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and plan.index("Window") < plan.index("Join")            # as-of texts are the last step
+    assert m.columns[:2] == ["stay_id", "t_end"] and m.columns.index("has_text") == m.columns.index("final_text") + 1
+
+
+def test_increments_are_read_where_they_were_written(spark):
+    from wardline.plans import master as M
+    m = M.master_trailing(_cohort(spark), increments=True)
+    rows = {(r.stay_id, r.t_end): r for r in m.collect()}
+    assert rows[1, 36.0].new_text == "first words second words" and rows[1, 60.0].new_text == "third" and rows[1, 48.0].new_text == ""
+    assert [rows[1, t].has_text for t in (24.0, 36.0, 48.0)] == [0, 1, 1] and rows[3, 24.0].has_text == 0
+    for (s, t), r in rows.items():
+        assert r.new_text_later == sum(k == s and u >= t for k, u in rows)
+    plan = m.select("stay_id", "t_end", "new_text", "new_text_later")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan and "Join" not in plan
+
+
+def test_rows_that_come_twice_keep_their_text(spark):
+    rows = spark.createDataFrame([(1, 24.0, "a"), (1, 24.0, "a"), (1, 48.0, None)], "stay_id long, t_end double, `odd name` string")
+    seg = spark.createDataFrame([(1, 3.0, 1, 0, "x"), (1, 30.0, 2, 0, "y"), (1, 60.0, 3, 0, "z")], SEG)
+    got = sorted(map(tuple, notes.with_asof_text(rows, seg).collect()), key=str)
+    assert got == [(1, 24.0, "a", "x", 1), (1, 24.0, "a", "x", 1), (1, 48.0, None, "x y", 1)]
+    inc = sorted(map(tuple, notes.with_increments(rows, seg).collect()), key=str)
+    assert inc == [(1, 24.0, "a", "x", 1, 2), (1, 24.0, "a", "x", 1, 2), (1, 48.0, None, "y", 1, 1)]
+
+
+def test_weights_along_a_group_go_on_from_batch_to_batch(spark):
+    rng = random.Random(12)
+    rows = [(s, float(t), " ".join(rng.choice("aa bb cc dd".split()) for _ in range(rng.choice([0, 0, 0, 2])))) for s, n in ((1, 700), (2, 1), (3, 40), (4, 3))
+            for t in range(n)]
+    rows.append((None, 1.0, "aa bb"))
+    inc = spark.createDataFrame(rows, "stay_id long, t_end double, new_text string")
+    added = TX.growing_tokens(inc, "stay_id", "t_end", "new_text")
+    model = TX.fit_tfidf_growing(added, 9, 2)
+    assert any(" " in t for t in model.vocabulary)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "64")
+    try:
+        got = {(r.stay_id, r.t_end): r for r in TX.tfidf_wide_growing(inc, "stay_id", "t_end", added, model).collect()}
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert len(got) == len(rows) and all(got[None, 1.0][f"tfidf_{t}"] == 0 for t in model.vocabulary)
+    for s in (1, 2, 3, 4):
+        text = []
+        for _, t, new in (r for r in rows if r[0] == s):
+            text += new.split()
+            words = text + [f"{a} {b}" for a, b in zip(text, text[1:])]
+            w = [words.count(v) * model.idf[v] for v in model.vocabulary]
+            size = math.sqrt(sum(x * x for x in w)) or 1.0
+            assert [got[s, t][f"tfidf_{v}"] for v in model.vocabulary] == pytest.approx([x / size for x in w])
+    plan = TX.tfidf_wide_growing(inc, "stay_id", "t_end", added, model)._jdf.queryExecution().optimizedPlan().toString()
+    assert "sum(" not in plan and plan.count("RepartitionByExpression") == 1     # nothing as wide as the vocabulary is moved
+
+
+def test_leading_terms_are_those_of_the_full_count(spark):
+    rng = random.Random(13)
+    words = [f"w{int(abs(rng.gauss(0, 9)))}" for _ in range(900)]
+    tok = spark.createDataFrame([(s, rng.randint(1, 4), [rng.choice(words) for _ in range(rng.randint(0, 6))]) for s in range(40) for _ in range(3)],
+                                "`group` long, later long, terms array<string>")
+    full = sorted(((r.term, r.total, r.df) for r in TX._counted_growing(tok).collect()), key=lambda r: (-r[1], r[0]))
+    for n in (1, 3, 8, 50):
+        for least in (1, 30):
+            want = [r for r in full if r[2] >= least]
+            got = TX._leading(tok, n, least)
+            if got is not None:
+                assert got[0] == want[:n] and [r for r in got[1] if r not in want] == []
+                assert got[1] == [r for r in want if len(want) < n or r[1] >= want[n - 1][1]]
+    assert TX._leading(tok, 3, 1) is not None and TX._leading(tok, 3, 10 ** 6) is None
